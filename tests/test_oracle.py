@@ -1,0 +1,65 @@
+"""Every registered query against its SQL on a second engine."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'"
+        )
+    return connection
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+
+    def plain(value):
+        if isinstance(value, float) and math.isnan(value):
+            return "NaN"
+        return repr(value)
+
+    return sorted(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+def kind(type_name):
+    type_name = type_name.lower()
+    if type_name.startswith("timestamp"):
+        return "timestamp"
+    return {"bigint": "int64", "int": "int32", "integer": "int32", "varchar": "string"}.get(
+        type_name, type_name
+    )
+
+
+def test_every_query_has_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_matches_sql(spark, sql, name):
+    result = contract.queries()[name](spark, FOLDER)
+    expected = sql.execute(contract.oracle_sql()[name])
+    columns = [d[0] for d in expected.description]
+    types = {d[0]: kind(str(d[1])) for d in expected.description}
+    rows = expected.fetchall()
+    assert sorted(result.columns) == sorted(columns)
+    assert {n: kind(t) for n, t in result.dtypes} == types
+    assert canonical(result.columns, result.collect()) == canonical(columns, rows)
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
