@@ -5,7 +5,7 @@ from sensorloom.plans.registry import HISTORY_ITEM, HISTORY_STATION
 
 def rounded(expression: str, decimals: int) -> str:
     """Round half away from zero on the printed decimal value of a double."""
-    exact = f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 10))"
+    exact = f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 20))"
     return f"CAST(round({exact}, {decimals}) AS DOUBLE)"
 
 
