@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.functions.columns import column, lenient_cast, parse_time
 from sensorloom.operators.dedup import first_per_key
-from sensorloom.operators.joins import join_dimension
+from sensorloom.operators.joins import join_lookups
 from sensorloom.schemas import THRESHOLDS, TIME_FORMAT
 
 
@@ -118,9 +118,12 @@ def latest_snapshot(
     latest = first_per_key(
         _flat(measurements), ["station_code", "item_code"], order=["ts"], last=True
     )
-    named = join_dimension(latest, _names(items, "item_code", "item_name"), "item_code")
-    named = join_dimension(
-        named, _names(stations, "station_code", "station_name"), "station_code"
+    named = join_lookups(
+        latest,
+        {
+            "item_code": _names(items, "item_code", "item_name"),
+            "station_code": _names(stations, "station_code", "station_name"),
+        },
     )
     return named.select(
         F.date_format("ts", TIME_FORMAT).alias("Datetime"),

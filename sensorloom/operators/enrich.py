@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.functions.columns import round_doubles
 from sensorloom.functions.grading import grade
-from sensorloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, join_dimension
+from sensorloom.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, join_lookups
 from sensorloom.schemas import THRESHOLDS
 
 
@@ -21,11 +21,10 @@ def enrich_measure(
     """Add station and item columns and a ``Status`` grade; keeps unmatched measurements.
 
     Doubles are rounded before grading. ``unknown_status`` labels rows that cannot be graded;
-    without it they take the worst grade. See ``join_dimension`` for the last three arguments.
+    without it they take the worst grade. See ``join_lookups`` for the last three arguments.
     """
-    joined = measurements
-    for dimension, key in ((stations, "Station_Code"), (items, "Item_Code")):
-        joined = join_dimension(joined, dimension, key, hot_from, max_rows, max_bytes)
+    lookups = {"Station_Code": stations, "Item_Code": items}
+    joined = join_lookups(measurements, lookups, hot_from, max_rows, max_bytes)
     graded = round_doubles(joined, decimals).withColumn(
         "Status", grade(F.col("Average_Value"), unknown_status)
     )

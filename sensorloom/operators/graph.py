@@ -11,9 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.operators.dedup import first_per_key
-from sensorloom.operators.joins import spread_left_join
+from sensorloom.operators.joins import join_lookups
 
-MEASUREMENT_ID = ["Station_Code", "Item_Code", "Raw_Datetime"]
+# In the key order of cleaned measurements, whose sorting and partitioning then carry over.
+MEASUREMENT_ID = ["Raw_Datetime", "Station_Code", "Item_Code"]
 
 # Edge types with the labels they connect.
 EDGES = (
@@ -36,29 +37,52 @@ class Graph:
     rejected: DataFrame
 
 
-def _first_written(
-    rows: DataFrame, key: str, properties: Mapping[str, str], written: Column
-) -> DataFrame:
-    """One vertex per key with the properties of its first write.
+STATION_PROPERTIES = {
+    "Name": "Station_Name",
+    "Latitude": "Latitude",
+    "Longitude": "Longitude",
+    "Address": "Address",
+}
+ITEM_PROPERTIES = {"Name": "Item_Name", "Unit": "Unit"}
 
-    Equal versions of a vertex are combined with a fixed-width minimum first. That runs as a
-    hash aggregate inside each input partition and leaves a handful of versions per key to rank.
+
+def _versions(rows: DataFrame, written: Column) -> DataFrame:
+    """Every combination of station, item and status properties with its first write.
+
+    A fixed-width minimum makes this a hash aggregate that shrinks inside each input partition,
+    however the keys are skewed. Station, item and status vertices all come from it, so the
+    measurements are read once for the three.
     """
+    described = [
+        "Station_Code",
+        *STATION_PROPERTIES.values(),
+        "Item_Code",
+        *ITEM_PROPERTIES.values(),
+        "Status",
+    ]
+    return rows.groupBy(*described).agg(F.min(written).alias("_written"))
+
+
+def _first_written(versions: DataFrame, key: str, properties: Mapping[str, str]) -> DataFrame:
+    """One vertex per key with the properties of its first write."""
     named = [F.col(source).alias(name) for name, source in properties.items()]
-    versions = (
-        rows.select(key, *named, written.alias("_written"))
-        .groupBy(key, *properties)
-        .agg(F.min("_written").alias("_written"))
-    )
-    return first_per_key(versions, [key], order=["_written"]).drop("_written")
+    return first_per_key(
+        versions.select(key, *named, "_written"), [key], order=["_written"]
+    ).drop("_written")
 
 
-def build_graph(enriched: DataFrame, seq: str | None = None) -> Graph:
+def build_graph(
+    enriched: DataFrame, seq: str | None = None, folder: str | None = None
+) -> Graph:
     """Merge enriched measurements into vertices.
 
     Stations and items keep their first write, measurements their last. ``seq`` names the
     column that gives the write order; by default rows are written in time order. Writes of
     equal order are ranked by their content. Rows with a NULL in any key are set apart.
+
+    Everything is lazy unless ``folder`` names a place for the properties of stations, items and
+    statuses. They are then written there, one line per combination, and queries over several
+    vertex tables need not derive them from the measurements again.
     """
     if "Address" not in enriched.columns:
         enriched = enriched.withColumn("Address", F.lit(None).cast("string"))
@@ -71,9 +95,9 @@ def build_graph(enriched: DataFrame, seq: str | None = None) -> Graph:
 
     measurement = first_per_key(
         rows.select(
+            F.col("Measurement_Date").alias("Raw_Datetime"),
             "Station_Code",
             "Item_Code",
-            F.col("Measurement_Date").alias("Raw_Datetime"),
             *([written.alias("_written")] if seq else []),
             F.col("Average_Value").alias("Value"),
             "Instrument_Status",
@@ -83,20 +107,14 @@ def build_graph(enriched: DataFrame, seq: str | None = None) -> Graph:
         order=["_written"] if seq else [],
         last=True,
     ).drop("_written")
+    versions = _versions(rows, written)
+    if folder is not None:
+        versions.write.mode("overwrite").parquet(folder)
+        versions = enriched.sparkSession.read.schema(versions.schema).parquet(folder)
     return Graph(
-        station=_first_written(
-            rows,
-            "Station_Code",
-            {
-                "Name": "Station_Name",
-                "Latitude": "Latitude",
-                "Longitude": "Longitude",
-                "Address": "Address",
-            },
-            written,
-        ),
-        item=_first_written(rows, "Item_Code", {"Name": "Item_Name", "Unit": "Unit"}, written),
-        status=rows.select(F.col("Status").alias("Level")).distinct(),
+        station=_first_written(versions, "Station_Code", STATION_PROPERTIES),
+        item=_first_written(versions, "Item_Code", ITEM_PROPERTIES),
+        status=versions.select(F.col("Status").alias("Level")).distinct(),
         time=rows.select(F.col("Measurement_Date").alias("Raw_Datetime"))
         .distinct()
         .withColumn("Datetime", F.col("Raw_Datetime").cast("timestamp")),
@@ -158,20 +176,18 @@ def edge_tables(graph: Graph) -> dict[str, DataFrame]:
     }
 
 
-def _with_names(rows: DataFrame, graph: Graph, unique_on: Sequence[str]) -> DataFrame:
-    """Add ``Station`` and ``Pollutant`` names to rows that are unique on ``unique_on``."""
-    for table, code, name in (
-        (graph.station, "Station_Code", "Station"),
-        (graph.item, "Item_Code", "Pollutant"),
-    ):
-        names = table.select(code, F.col("Name").alias(name))
-        rows = spread_left_join(rows, names, code, [c for c in unique_on if c != code])
-    return rows
+def _with_names(rows: DataFrame, graph: Graph) -> DataFrame:
+    """Add the ``Station`` and ``Pollutant`` names that belong to the codes."""
+    lookups = {
+        "Station_Code": graph.station.select("Station_Code", F.col("Name").alias("Station")),
+        "Item_Code": graph.item.select("Item_Code", F.col("Name").alias("Pollutant")),
+    }
+    return join_lookups(rows, lookups, hot_from=graph.measurement)
 
 
 def match_paths(graph: Graph) -> DataFrame:
     """Every path from a station over a measurement to an item, with both names."""
-    return _with_names(graph.measurement, graph, MEASUREMENT_ID)
+    return _with_names(graph.measurement, graph)
 
 
 def hot_spots(graph: Graph) -> DataFrame:
@@ -189,7 +205,7 @@ def hot_spots(graph: Graph) -> DataFrame:
     )
     share = F.round(F.lit(100.0) * F.col("Bad_Count") / F.col("Total"), 2)
     return (
-        _with_names(pairs, graph, ["Station_Code", "Item_Code"])
+        _with_names(pairs, graph)
         .withColumn("Weightage", share)
         .orderBy(
             F.desc_nulls_first("Weightage"),
@@ -213,18 +229,12 @@ def hot_spots(graph: Graph) -> DataFrame:
 def daily_avg(graph: Graph) -> DataFrame:
     """Mean value per day, station name and item name, by day and station.
 
-    Sums and counts are taken per day and code first, named, and combined by name; vertices
-    that share a name, or have none, fall into one group.
+    Vertices that share a name, or have none, fall into one group.
     """
-    per_code = (
-        graph.measurement.withColumn("Day", F.to_date("Datetime"))
-        .groupBy("Day", "Station_Code", "Item_Code")
-        .agg(F.sum("Value").alias("_sum"), F.count("Value").alias("_count"))
-    )
     return (
-        _with_names(per_code, graph, ["Day", "Station_Code", "Item_Code"])
-        .groupBy("Day", "Station", "Pollutant")
-        .agg(F.round(F.sum("_sum") / F.sum("_count"), 2).alias("Daily_Avg_Value"))
+        _with_names(graph.measurement, graph)
+        .groupBy(F.to_date("Datetime").alias("Day"), "Station", "Pollutant")
+        .agg(F.round(F.avg("Value"), 2).alias("Daily_Avg_Value"))
         .orderBy("Day", "Station", "Pollutant")
     )
 

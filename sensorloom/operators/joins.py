@@ -1,6 +1,6 @@
 """Left joins to lookup tables that hold up at any table size and key skew."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -14,15 +14,29 @@ HOT_SHARE = 0.001
 
 
 def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure the table: true when both its row count and its bytes are within the bounds."""
-    width = F.lit(16 * len(df.columns))
-    for field in df.schema.fields:
-        if isinstance(field.dataType, StringType):
-            width = width + F.coalesce(F.octet_length(column(field.name)), F.lit(0))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    *tables: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[bool]:
+    """Measure tables in one job: true for each whose row count and bytes are within the bounds.
+
+    Each table sends one line per partition, so measuring is safe at any size.
+    """
+    sizes = None
+    for position, table in enumerate(tables):
+        width = F.lit(16 * len(table.columns))
+        for field in table.schema.fields:
+            if isinstance(field.dataType, StringType):
+                width = width + F.coalesce(F.octet_length(column(field.name)), F.lit(0))
+        size = table.agg(
+            F.lit(position).alias("position"),
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
+        )
+        sizes = size if sizes is None else sizes.union(size)
+    fits = {
+        line["position"]: line["rows"] <= max_rows and line["bytes"] <= max_bytes
+        for line in sizes.collect()
+    }
+    return [fits[position] for position in range(len(tables))]
 
 
 def frequent_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
@@ -41,15 +55,33 @@ def frequent_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     ]
 
 
-def join_dimension(
+def _split_join(
     fact: DataFrame,
-    dimension: DataFrame,
+    lookup: DataFrame,
     key: str,
+    hot_from: DataFrame,
+    max_rows: int,
+    max_bytes: int,
+) -> DataFrame:
+    """Join to a large lookup table without moving the rows of hot or NULL keys."""
+    hot = frequent_values(hot_from, key)
+    hot_lookup = lookup.filter(column(key).isin(hot))
+    if not hot or not fits_broadcast(hot_lookup, max_rows=max_rows, max_bytes=max_bytes)[0]:
+        hot, hot_lookup = [], lookup.filter(F.lit(False))
+    stays = column(key).isNull() | column(key).isin(hot)
+    heavy = fact.filter(stays).join(F.broadcast(hot_lookup), key, "left")
+    light = fact.filter(~stays).join(lookup, key, "left")
+    return heavy.unionByName(light)
+
+
+def join_lookups(
+    fact: DataFrame,
+    lookups: Mapping[str, DataFrame],
     hot_from: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left outer join of a fact table to a lookup table on one column.
+    """Left outer join of a fact table to a lookup table per key column.
 
     A lookup table measured to be small is broadcast. Beyond that bound the fact is shuffled by
     key, except for the rows of hot keys and of NULL keys: those stay where they are and meet
@@ -58,31 +90,14 @@ def join_dimension(
 
     ``hot_from`` is a cheaper table to find the hot keys in, such as the raw scan of the fact.
     """
-    if fits_broadcast(dimension, max_rows, max_bytes):
-        return fact.join(F.broadcast(dimension), key, "left")
-    if fact.isStreaming:
-        return fact.join(dimension, key, "left")
-    hot = frequent_values(fact if hot_from is None else hot_from, key)
-    hot_dimension = dimension.filter(column(key).isin(hot))
-    if not hot or not fits_broadcast(hot_dimension, max_rows, max_bytes):
-        hot, hot_dimension = [], dimension.filter(F.lit(False))
-    stays = column(key).isNull() | column(key).isin(hot)
-    heavy = fact.filter(stays).join(F.broadcast(hot_dimension), key, "left")
-    light = fact.filter(~stays).join(dimension, key, "left")
-    return heavy.unionByName(light)
-
-
-def spread_left_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: Sequence[str], salts: int = 16
-) -> DataFrame:
-    """Left outer join for rows that are unique on ``key`` plus ``spread_by``.
-
-    The rows of one key are spread over ``salts`` groups by a hash of their other columns, and
-    each lookup row is repeated once per group. Spark still picks a broadcast by itself when it
-    measures the lookup to be small.
-    """
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[column(c) for c in spread_by]), F.lit(salts)).cast("int")
-    )
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    small = fits_broadcast(*lookups.values(), max_rows=max_rows, max_bytes=max_bytes)
+    joined = fact
+    for (key, lookup), is_small in zip(lookups.items(), small):
+        if is_small:
+            joined = joined.join(F.broadcast(lookup), key, "left")
+        elif joined.isStreaming:
+            joined = joined.join(lookup, key, "left")
+        else:
+            source = fact if hot_from is None else hot_from
+            joined = _split_join(joined, lookup, key, source, max_rows, max_bytes)
+    return joined

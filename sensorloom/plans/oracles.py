@@ -334,7 +334,7 @@ FROM v_measurement, (VALUES ('HAS_MEASUREMENT', 'Station', 'Measurement'),
                 _audit("Status", "v_status", "Level"),
                 _audit("MeasurementTime", "v_time", "Raw_Datetime"),
                 _audit(
-                    "Measurement", "v_measurement", "Station_Code", "Item_Code", "Raw_Datetime"
+                    "Measurement", "v_measurement", "Raw_Datetime", "Station_Code", "Item_Code"
                 ),
                 _audit(
                     "Measurement", "v_measurement", "Station_Code", "Item_Code", "Datetime"

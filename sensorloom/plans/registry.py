@@ -205,7 +205,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "historical_trend": history,
     "history_head": lambda t: documents.history_head(history(t)),
     "graph_vertices": lambda t: graph.vertex_rows(t.graph),
-    "graph_edges": lambda t: graph.edge_rows(t.graph),
+    "graph_edges": lambda t: graph.edge_rows(t.lazy_graph),
     "graph_key_audit": key_audit,
     "graph_paths": lambda t: graph.match_paths(t.graph),
     "hot_spots": lambda t: graph.hot_spots(t.graph),

@@ -16,6 +16,7 @@ from sensorloom.operators.clean import clean_item, clean_measure, clean_station
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.operators.graph import Graph, build_graph
 from sensorloom.schemas import ITEM, MEASUREMENT, STATION, TIME_FORMAT, WIDE_CODES
+from sensorloom.sources.files import shared_folder
 
 
 def measurement_source(lineitem: DataFrame) -> DataFrame:
@@ -142,4 +143,10 @@ class Tables:
 
     @cached_property
     def graph(self) -> Graph:
+        """The graph, with its vertex properties in the shared folder."""
+        return build_graph(self.enriched, folder=shared_folder(self.spark, "graph"))
+
+    @cached_property
+    def lazy_graph(self) -> Graph:
+        """The graph, for uses of a single vertex table."""
         return build_graph(self.enriched)

@@ -1,0 +1,157 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.functions.columns import (
+    parse_time,
+    recast,
+    round_doubles,
+    safe_names,
+    sanitize_columns,
+    trim_strings,
+)
+from sensorloom.functions.grading import grade, grade_rank
+from sensorloom.functions.messages import decode_messages, to_messages
+from sensorloom.schemas import ITEM, MEASUREMENT, TIME_FORMAT, WIDE_CODES
+
+
+def test_recast_renames_casts_fills_and_keeps_extras(spark):
+    df = spark.createDataFrame(
+        [("7", " SO2 ", "x")], "`Item code` string, `Item name` string, note string"
+    )
+    out = recast(df, ITEM)
+    assert out.dtypes == [
+        ("Item_Code", "int"),
+        ("Item_Name", "string"),
+        ("Unit", "string"),
+        ("note", "string"),
+    ]
+    assert out.collect() == [(7, " SO2 ", None, "x")]
+
+
+def test_recast_takes_columns_already_renamed(spark):
+    df = spark.createDataFrame([(7, "SO2")], "Item_Code long, `Item name` string")
+    assert recast(df, ITEM).collect() == [(7, "SO2", None)]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("4", 4),
+        ("4.0", 4),
+        ("1e2", 100),
+        ("four", None),
+        ("", None),
+        ("99999999999", None),
+        ("NaN", None),
+        (None, None),
+    ],
+)
+def test_lenient_integers(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "`Item code` string")
+    assert recast(df, ITEM).first()["Item_Code"] == expected
+
+
+def test_wide_codes_hold_large_keys_exactly(spark):
+    df = spark.createDataFrame([("9007199254740993",)], "`Item code` string")
+    assert recast(df, ITEM, WIDE_CODES).first()["Item_Code"] == 9007199254740993
+
+
+def test_recast_of_unreadable_values_gives_null(spark):
+    df = spark.createDataFrame(
+        [("bad", "1", "2", "x", None)], ", ".join(f"`{h}` string" for h, _, _ in MEASUREMENT)
+    )
+    assert recast(df, MEASUREMENT).collect() == [(None, 1, 2, None, None)]
+
+
+def test_trim_removes_spaces_only(spark):
+    df = spark.createDataFrame([(1, "\tA "), (2, "  B\t"), (3, None)], "id int, `a b` string")
+    assert [r["a b"] for r in trim_strings(df).orderBy("id").collect()] == ["\tA", "B\t", None]
+
+
+def test_safe_names_stay_distinct():
+    assert safe_names(["a b", "a_b", "A.b", "ok"]) == ["a_b", "a_b_2", "A_b_3", "ok"]
+
+
+def test_sanitized_columns_can_be_selected(spark):
+    df = spark.createDataFrame([(1, 2)], "`a b` int, a_b int")
+    assert sanitize_columns(df).select("a_b", "a_b_2").collect() == [(1, 2)]
+
+
+def test_round_half_away_from_zero(spark):
+    df = spark.createDataFrame([(1.0005, -1.0005, "x")], "a double, b double, c string")
+    assert round_doubles(df, 3).collect() == [(1.001, -1.001, "x")]
+
+
+def test_parse_time_is_strict_on_text_only(spark):
+    text = spark.createDataFrame([("2017-01-01 05:00",), ("2017-01-01",), ("bad",)], "t string")
+    parsed = [r[0] for r in text.select(parse_time(text, "t", TIME_FORMAT)).collect()]
+    assert parsed == [datetime(2017, 1, 1, 5), None, None]
+    typed = text.select(F.lit(datetime(2017, 1, 1, 5, 30, 7)).alias("t"))
+    assert typed.select(parse_time(typed, "t", TIME_FORMAT)).first()[0].second == 7
+    lenient = text.select(parse_time(text, "t", None))
+    assert [r[0] for r in lenient.collect()][1] == datetime(2017, 1, 1)
+
+
+def graded(spark, value, bounds=(1.0, 2.0, 3.0), unknown=None):
+    df = spark.createDataFrame(
+        [(value, *bounds)],
+        "v double, `Good(Blue)` double, `Normal(Green)` double, `Bad(Yellow)` double",
+    )
+    return df.select(grade(F.col("v"), unknown)).first()[0]
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [(0.0, "Good"), (1.0, "Good"), (2.0, "Normal"), (3.0, "Bad"), (3.1, "Very Bad"),
+     (None, "Very Bad"), (float("nan"), "Very Bad")],
+)
+def test_grade(spark, value, expected):
+    assert graded(spark, value) == expected
+
+
+def test_missing_threshold_is_worst_unless_labelled(spark):
+    assert graded(spark, 0.5, (None, None, None)) == "Very Bad"
+    assert graded(spark, 0.5, (None, None, None), "Unknown") == "Unknown"
+    assert graded(spark, 0.5, unknown="Unknown") == "Good"
+
+
+def test_grade_rank(spark):
+    df = spark.createDataFrame(
+        [("Good",), ("Normal",), ("Bad",), ("Very Bad",), ("Other",), (None,)], "s string"
+    )
+    assert [r[0] for r in df.select(grade_rank(F.col("s"))).collect()] == [1, 2, 3, 4, 99, 99]
+
+
+def test_messages_round_trip_with_spaced_names_and_nulls(spark):
+    df = spark.createDataFrame([("a", None), (None, "b")], "`x y` string, `z.w` string")
+    sent = to_messages(df)
+    assert sent.first()["value"] == '{"x y":"a","z.w":null}'
+    as_bytes = sent.select(F.col("value").cast("binary").alias("value"))
+    assert sorted(decode_messages(as_bytes, df.schema).collect(), key=str) == sorted(
+        df.collect(), key=str
+    )
+
+
+def test_message_limit(spark):
+    assert to_messages(spark.range(10), limit=3).count() == 3
+
+
+def test_bare_nan_keeps_its_quotes_unless_asked(spark):
+    messages = spark.createDataFrame([('{"v": NaN}',)], "value string")
+    schema = spark.createDataFrame([], "v string").schema
+    assert decode_messages(messages, schema).first()["v"] == '"NaN"'
+    assert decode_messages(messages, schema, plain_nan=True).first()["v"] == "NaN"
+
+
+def test_unreadable_message_gives_nulls(spark):
+    messages = spark.createDataFrame([("not json",)], "value string")
+    schema = spark.createDataFrame([], "a string, b string").schema
+    assert decode_messages(messages, schema).collect() == [(None, None)]
+
+
+def test_decode_needs_fields(spark):
+    messages = spark.createDataFrame([("{}",)], "value string")
+    with pytest.raises(ValueError):
+        decode_messages(messages, spark.createDataFrame([], "").schema)
