@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom.functions.columns import column, lenient_cast, parse_time
 from sensorloom.operators.dedup import first_per_key
 from sensorloom.operators.joins import join_lookups
-from sensorloom.schemas import THRESHOLDS, TIME_FORMAT
+from sensorloom.schemas import THRESHOLD_FIELDS, THRESHOLDS, TIME_FORMAT
 
 
 def _cast(df: DataFrame, name: str, target: str) -> Column:
@@ -19,7 +19,7 @@ def item_documents(items: DataFrame, code_type: str = "int") -> DataFrame:
     bounds = F.struct(
         *[
             _cast(items, name, "double").alias(field)
-            for name, field in zip(THRESHOLDS, ("good", "normal", "bad", "very_bad"))
+            for name, field in zip(THRESHOLDS, THRESHOLD_FIELDS)
         ]
     )
     return items.select(

@@ -47,18 +47,17 @@ ITEM_PROPERTIES = {"Name": "Item_Name", "Unit": "Unit"}
 
 
 def _versions(rows: DataFrame, written: Column) -> DataFrame:
-    """Every combination of station, item and status properties with its first write.
+    """Every combination of station and item properties with its first write.
 
     A fixed-width minimum makes this a hash aggregate that shrinks inside each input partition,
-    however the keys are skewed. Station, item and status vertices all come from it, so the
-    measurements are read once for the three.
+    however the keys are skewed. Station and item vertices both come from it, so the
+    measurements are read once for the two, and only for their keys.
     """
     described = [
         "Station_Code",
         *STATION_PROPERTIES.values(),
         "Item_Code",
         *ITEM_PROPERTIES.values(),
-        "Status",
     ]
     return rows.groupBy(*described).agg(F.min(written).alias("_written"))
 
@@ -80,9 +79,9 @@ def build_graph(
     column that gives the write order; by default rows are written in time order. Writes of
     equal order are ranked by their content. Rows with a NULL in any key are set apart.
 
-    Everything is lazy unless ``folder`` names a place for the properties of stations, items and
-    statuses. They are then written there, one line per combination, and queries over several
-    vertex tables need not derive them from the measurements again.
+    Everything is lazy unless ``folder`` names a place for the properties of stations and items.
+    They are then written there, one line per combination, and queries over these vertices need
+    not derive them from the measurements again.
     """
     if "Address" not in enriched.columns:
         enriched = enriched.withColumn("Address", F.lit(None).cast("string"))
@@ -114,7 +113,7 @@ def build_graph(
     return Graph(
         station=_first_written(versions, "Station_Code", STATION_PROPERTIES),
         item=_first_written(versions, "Item_Code", ITEM_PROPERTIES),
-        status=versions.select(F.col("Status").alias("Level")).distinct(),
+        status=rows.select(F.col("Status").alias("Level")).distinct(),
         time=rows.select(F.col("Measurement_Date").alias("Raw_Datetime"))
         .distinct()
         .withColumn("Datetime", F.col("Raw_Datetime").cast("timestamp")),
@@ -123,6 +122,28 @@ def build_graph(
     )
 
 
+def merge_graphs(stored: Graph, incoming: Graph) -> Graph:
+    """The graph after an upsert of ``incoming`` into ``stored``.
+
+    Stations, items and times keep their stored properties, measurements take the incoming ones.
+    """
+
+    def merged(name: str, keys: Sequence[str], incoming_wins: bool = False) -> DataFrame:
+        old = getattr(stored, name).withColumn("_load", F.lit(0))
+        new = getattr(incoming, name).withColumn("_load", F.lit(1))
+        both = old.unionByName(new)
+        return first_per_key(both, keys, order=["_load"], last=incoming_wins).drop("_load")
+
+    return Graph(
+        station=merged("station", ["Station_Code"]),
+        item=merged("item", ["Item_Code"]),
+        status=stored.status.union(incoming.status).distinct(),
+        time=merged("time", ["Raw_Datetime"]),
+        measurement=merged("measurement", MEASUREMENT_ID, incoming_wins=True),
+        rejected=stored.rejected.unionByName(incoming.rejected),
+    )
+
+
 def vertex_rows(graph: Graph) -> DataFrame:
     """All vertices in one table; columns that a label lacks are NULL."""
     labelled = {
@@ -182,7 +203,7 @@ def _with_names(rows: DataFrame, graph: Graph) -> DataFrame:
         "Station_Code": graph.station.select("Station_Code", F.col("Name").alias("Station")),
         "Item_Code": graph.item.select("Item_Code", F.col("Name").alias("Pollutant")),
     }
-    return join_lookups(rows, lookups, hot_from=graph.measurement)
+    return join_lookups(rows, lookups)
 
 
 def match_paths(graph: Graph) -> DataFrame:

@@ -7,11 +7,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom.functions.columns import parse_time
 from sensorloom.operators.clean import clean_item, clean_station
 from sensorloom.schemas import (
+    BAD_DATE,
     BAD_INSTRUMENT_STATUS,
+    INVALID_CODES,
     LATITUDE_RANGE,
     LONGITUDE_RANGE,
     MEASUREMENT_KEY,
+    MISSING_VALUES,
+    NEGATIVE_AVERAGE,
+    RULES,
     TIME_FORMAT,
+    UNRELIABLE_DATA,
 )
 
 
@@ -25,14 +31,14 @@ def removal_reason(
     value = F.col("Average_Value")
     station, item = F.col("Station_Code"), F.col("Item_Code")
     reason = (
-        F.when(parse_time(measurements, time_column, time_format).isNull(), "Bad date")
-        .when(station.isNull() | item.isNull() | value.isNull(), "Missing values")
-        .when(value < 0, "Negative average")
-        .when((station <= 0) | (item <= 0), "Invalid codes")
+        F.when(parse_time(measurements, time_column, time_format).isNull(), BAD_DATE)
+        .when(station.isNull() | item.isNull() | value.isNull(), MISSING_VALUES)
+        .when(value < 0, NEGATIVE_AVERAGE)
+        .when((station <= 0) | (item <= 0), INVALID_CODES)
     )
     if bad_statuses:
         unreliable = F.col("Instrument_Status").isin(*bad_statuses)
-        reason = reason.when(unreliable, "Unreliable data")
+        reason = reason.when(unreliable, UNRELIABLE_DATA)
     return reason
 
 
@@ -161,20 +167,6 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     )
 
 
-# The rules in report order.
-RULES = (
-    "Duplicates",
-    "Nulls",
-    "Missing_Station_Info",
-    "Missing_Item_Info",
-    "Orphan_Station",
-    "Orphan_Item",
-    "Negative_Values",
-    "Bad_Status",
-    "Bad_Latitude_Longitude",
-)
-
-
 def validation_details(
     enriched: DataFrame,
     stations: DataFrame,

@@ -32,12 +32,35 @@ ITEM = (
 # Threshold columns of the item table, lowest bound first.
 THRESHOLDS = ("Good(Blue)", "Normal(Green)", "Bad(Yellow)", "Very bad(Red)")
 
+# The document fields that hold the thresholds.
+THRESHOLD_FIELDS = ("good", "normal", "bad", "very_bad")
+
 # Grades from best to worst.
 GRADES = ("Good", "Normal", "Bad", "Very Bad")
 
 # Instrument states that make a reading unreliable.
 BAD_INSTRUMENT_STATUS = (2, 4, 8, 9)
 
+# Why a raw reading is removed, by priority.
+BAD_DATE = "Bad date"
+MISSING_VALUES = "Missing values"
+NEGATIVE_AVERAGE = "Negative average"
+INVALID_CODES = "Invalid codes"
+UNRELIABLE_DATA = "Unreliable data"
+
+# The validation rules in report order.
+RULES = (
+    "Duplicates",
+    "Nulls",
+    "Missing_Station_Info",
+    "Missing_Item_Info",
+    "Orphan_Station",
+    "Orphan_Item",
+    "Negative_Values",
+    "Bad_Status",
+    "Bad_Latitude_Longitude",
+)
+
 # Text form of a measurement time.
 TIME_FORMAT = "yyyy-MM-dd HH:mm"
 
