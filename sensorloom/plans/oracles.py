@@ -128,6 +128,10 @@ ITEM_STATUS = """
   SELECT Item_Name, Status, count(*) AS "Count", avg(Average_Value) AS avg_value,
     min(Average_Value) AS min_value, max(Average_Value) AS max_value"""
 
+MEASUREMENT_DOCUMENTS = """
+SELECT Measurement_Date AS ts, Average_Value AS avg, Instrument_Status AS instrument_status,
+  Status AS status, Station_Code AS station_code, Item_Code AS item_code FROM enriched"""
+
 DETAILS = {
     "validate_nulls": "Measurement_Date IS NULL OR Station_Code IS NULL OR Item_Code IS NULL"
     " OR Average_Value IS NULL",
@@ -261,6 +265,7 @@ WHERE Removal_Reason IS NOT NULL""",
 SELECT * FROM (SELECT {REASON} AS Removal_Reason, count(*) AS count FROM measurement_raw
   GROUP BY ALL) WHERE Removal_Reason IS NOT NULL ORDER BY count DESC, Removal_Reason""",
         "enrich_measure": full + " SELECT * FROM enriched",
+        "csv_roundtrip": full + " SELECT * FROM enriched",
         "validate_summary": uncleaned + f" SELECT * FROM ({summary})",
         "validate_duplicates": uncleaned + DUPLICATES,
         "validate_orphan_station": uncleaned
@@ -278,10 +283,8 @@ FROM item_raw""",
         + """
 SELECT Station_Code AS _id, Station_Name AS name, Address AS address, 'Point' AS type,
   Longitude AS longitude, Latitude AS latitude FROM station_raw""",
-        "doc_measurements": full
-        + """
-SELECT Measurement_Date AS ts, Average_Value AS avg, Instrument_Status AS instrument_status,
-  Status AS status, Station_Code AS station_code, Item_Code AS item_code FROM enriched""",
+        "doc_measurements": full + MEASUREMENT_DOCUMENTS,
+        "doc_stored_measurements": full + MEASUREMENT_DOCUMENTS,
         "doc_insert_ignore": _with(fresh) + " SELECT * FROM new_keys",
         "doc_insert_counts": _with(fresh)
         + """

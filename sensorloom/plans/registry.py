@@ -10,7 +10,8 @@ from sensorloom.operators import documents, graph, quality, reports
 from sensorloom.plans.tables import Tables, measurement_source, measurement_text
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.schemas import MEASUREMENT, WIDE_CODES
-from sensorloom.sources.files import shared_folder
+from sensorloom.sources.documents import load_measurements, read_collection
+from sensorloom.sources.files import read_csv, shared_folder, write_csv
 from sensorloom.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +78,21 @@ def flat_measurements(t: Tables) -> DataFrame:
     )
 
 
+def stored_measurements(t: Tables) -> DataFrame:
+    """The measurement documents after a load into a collection partitioned by day."""
+    folder = shared_folder(t.spark, "measurements")
+    load_measurements(documents.measurement_documents(t.enriched, "bigint"), folder)
+    stored = read_collection(t.spark, folder)
+    return stored.select("ts", "avg", "instrument_status", "status", "meta.*")
+
+
+def csv_roundtrip(t: Tables) -> DataFrame:
+    """The enriched measurements written as CSV and read back with their schema."""
+    folder = shared_folder(t.spark, "csv")
+    write_csv(t.enriched, folder)
+    return read_csv(t.spark, folder, t.enriched.schema)
+
+
 def offered_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Orders as documents keyed by customer, and supplier keys as the documents present."""
     incoming = t.read("orders").select(
@@ -184,6 +200,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "detect_errors": lambda t: quality.detect_errors(t.measurement_raw),
     "error_counts": lambda t: quality.error_counts(quality.detect_errors(t.measurement_raw)),
     "enrich_measure": lambda t: t.enriched,
+    "csv_roundtrip": csv_roundtrip,
     "validate_summary": lambda t: quality.validation_summary(
         t.enriched_raw, t.station_raw, t.item_raw
     ),
@@ -196,6 +213,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "doc_items": flat_items,
     "doc_stations": flat_stations,
     "doc_measurements": flat_measurements,
+    "doc_stored_measurements": stored_measurements,
     "doc_insert_ignore": lambda t: documents.insert_ignore(
         *offered_documents(t), order=["order_no"]
     ),
