@@ -8,7 +8,6 @@ BENCH_QUERIES may list names, separated by commas.
 import json
 import os
 import statistics
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -53,7 +52,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sensorloom-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

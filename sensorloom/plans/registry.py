@@ -79,9 +79,11 @@ def flat_measurements(t: Tables) -> DataFrame:
 
 
 def stored_measurements(t: Tables) -> DataFrame:
-    """The measurement documents after a load into a collection partitioned by day."""
+    """The measurement documents after a load into a collection partitioned by month."""
     folder = shared_folder(t.spark, "measurements")
-    load_measurements(documents.measurement_documents(t.enriched, "bigint"), folder)
+    load_measurements(
+        documents.measurement_documents(t.enriched, "bigint"), folder, period="month"
+    )
     stored = read_collection(t.spark, folder)
     return stored.select("ts", "avg", "instrument_status", "status", "meta.*")
 

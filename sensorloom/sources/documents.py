@@ -46,20 +46,24 @@ def load_collection(
     return LoadCounts(offered.get["rows"], taken.get["rows"])
 
 
-def load_measurements(documents: DataFrame, path: str, drop_existing: bool = False) -> LoadCounts:
-    """Write measurement documents by day; a repeated load repeats its rows.
+def load_measurements(
+    documents: DataFrame, path: str, drop_existing: bool = False, period: str = "day"
+) -> LoadCounts:
+    """Write measurement documents by period of time; a repeated load repeats its rows.
 
-    The rebalance gathers each day's rows into few files and splits a day that is too large for
-    one. Within a file rows are sorted by station, item and time, which lets the point query
-    skip row groups.
+    Choose the ``period`` ("day", "month" or "year") so that one holds at least a file's worth of
+    rows. The rebalance gathers the rows of a period into few files and splits a period that is
+    too large for one. Within a file rows are sorted by station, item and time, which lets the
+    point query skip row groups.
     """
     offered = Observation()
     dated = (
         documents.observe(offered, F.count(F.lit(1)).alias("rows"))
-        .withColumn("day", F.to_date("ts"))
-        .hint("rebalance", "day")
-        .sortWithinPartitions("day", "meta.station_code", "meta.item_code", "ts")
+        .withColumn(period, F.to_date(F.date_trunc(period, "ts")))
+        .hint("rebalance", period)
+        .sortWithinPartitions(period, "meta.station_code", "meta.item_code", "ts")
     )
-    dated.write.mode("overwrite" if drop_existing else "append").partitionBy("day").parquet(path)
+    mode = "overwrite" if drop_existing else "append"
+    dated.write.mode(mode).partitionBy(period).parquet(path)
     rows = offered.get["rows"]
     return LoadCounts(rows, rows)

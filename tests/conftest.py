@@ -10,10 +10,11 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

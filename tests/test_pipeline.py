@@ -115,6 +115,28 @@ def test_watch(spark, work, tmp_path):
     assert sorted(totals.collect(), key=str) == sorted(expected.collect(), key=str)
 
 
+def test_ingest_decodes_and_appends(spark, work, tmp_path, monkeypatch):
+    folder, _ = work
+    landed = spark.read.parquet(f"{folder}/landed")
+    to_messages(landed).write.text(f"{tmp_path}/messages")
+    header = tmp_path / "h.csv"
+    header.write_text(",".join(landed.columns) + "\n")
+    monkeypatch.setattr(
+        pipeline,
+        "kafka_stream",
+        lambda spark, servers, topic: spark.readStream.text(f"{tmp_path}/messages"),
+    )
+    query = pipeline.ingest(
+        spark, "", "", str(header), f"{tmp_path}/out", f"{tmp_path}/chk", sanitize_names=True
+    )
+    query.processAllAvailable()
+    query.stop()
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert stored.columns == [c.replace(" ", "_") for c in landed.columns]
+    assert stored.toDF(*landed.columns).exceptAll(landed).count() == 0
+    assert stored.count() == landed.count()
+
+
 def test_ingest_needs_the_connector(spark, work, tmp_path):
     folder, _ = work
     header = tmp_path / "h.csv"

@@ -199,6 +199,19 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError):
+        shared_folder(Session(), "x")
+
+
 def test_kafka_options():
     assert kafka.source_options("host:9092", "topic") == {
         "kafka.bootstrap.servers": "host:9092",
