@@ -8,10 +8,13 @@ from sensorloom.functions.columns import parse_time, trim_strings
 from sensorloom.operators.dedup import first_per_key
 from sensorloom.schemas import (
     BAD_INSTRUMENT_STATUS,
+    ITEM,
     LATITUDE_RANGE,
     LONGITUDE_RANGE,
     MEASUREMENT_KEY,
+    STATION,
     TIME_FORMAT,
+    declared,
 )
 
 
@@ -19,7 +22,7 @@ def clean_station(stations: DataFrame) -> DataFrame:
     """Named stations with coordinates on the globe, one row per code."""
     located = (
         trim_strings(stations)
-        .na.drop(subset=["Station_Code", "Station_Name", "Latitude", "Longitude"])
+        .na.drop(subset=declared(STATION))
         .filter(F.col("Latitude").between(*LATITUDE_RANGE))
         .filter(F.col("Longitude").between(*LONGITUDE_RANGE))
     )
@@ -28,7 +31,7 @@ def clean_station(stations: DataFrame) -> DataFrame:
 
 def clean_item(items: DataFrame) -> DataFrame:
     """Items with a name and a unit, one row per code."""
-    named = trim_strings(items).na.drop(subset=["Item_Code", "Item_Name", "Unit"])
+    named = trim_strings(items).na.drop(subset=declared(ITEM))
     return first_per_key(named, ["Item_Code"])
 
 

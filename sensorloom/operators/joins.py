@@ -9,8 +9,10 @@ from sensorloom.functions.columns import column
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 200
-HOT_SHARE = 0.001
+# A key of fewer rows is no burden for one task. Keys beyond the most frequent ones hold less than
+# 1 / HOT_KEYS of the rows each, which is below one core's part on any cluster of that many cores.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def fits_broadcast(
@@ -39,20 +41,15 @@ def fits_broadcast(
     return [fits[position] for position in range(len(tables))]
 
 
-def frequent_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """At most ``HOT_KEYS`` values that hold at least ``share`` of the rows.
+def frequent_values(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
+    """The values with at least ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
 
-    A fixed-size sketch finds them in one pass without a shuffle of the keys. The list decides
-    only how rows travel in a join, never which rows come out.
+    Only the key column is read and counts combine before the shuffle. The list decides how rows
+    travel in a join, never which rows come out.
     """
-    found, total = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS * 50})"), F.count(F.lit(1))
-    ).first()
-    return [
-        row["item"]
-        for row in found or []
-        if row["item"] is not None and row["count"] >= share * total
-    ]
+    counts = df.filter(column(key).isNotNull()).groupBy(column(key).alias("value")).count()
+    hot = counts.filter(F.col("count") >= hot_rows).orderBy(F.desc("count"), "value")
+    return [row["value"] for row in hot.limit(HOT_KEYS).collect()]
 
 
 def _split_join(
@@ -60,11 +57,12 @@ def _split_join(
     lookup: DataFrame,
     key: str,
     hot_from: DataFrame,
+    hot_rows: int,
     max_rows: int,
     max_bytes: int,
 ) -> DataFrame:
     """Join to a large lookup table without moving the rows of hot or NULL keys."""
-    hot = frequent_values(hot_from, key)
+    hot = frequent_values(hot_from, key, hot_rows)
     hot_lookup = lookup.filter(column(key).isin(hot))
     if not hot or not fits_broadcast(hot_lookup, max_rows=max_rows, max_bytes=max_bytes)[0]:
         hot, hot_lookup = [], lookup.filter(F.lit(False))
@@ -78,6 +76,7 @@ def join_lookups(
     fact: DataFrame,
     lookups: Mapping[str, DataFrame],
     hot_from: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -89,6 +88,8 @@ def join_lookups(
     then large enough to overload a task.
 
     ``hot_from`` is a cheaper table to find the hot keys in, such as the raw scan of the fact.
+    A stream joins large lookup tables by a plain shuffle: no key can then hold more rows than
+    its micro-batch does.
     """
     small = fits_broadcast(*lookups.values(), max_rows=max_rows, max_bytes=max_bytes)
     joined = fact
@@ -99,5 +100,7 @@ def join_lookups(
             joined = joined.join(lookup, key, "left")
         else:
             source = fact if hot_from is None else hot_from
-            joined = _split_join(joined, lookup, key, source, max_rows, max_bytes)
+            joined = _split_join(
+                joined, lookup, key, source, hot_rows, max_rows, max_bytes
+            )
     return joined

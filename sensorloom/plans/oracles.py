@@ -265,6 +265,7 @@ WHERE Removal_Reason IS NOT NULL""",
 SELECT * FROM (SELECT {REASON} AS Removal_Reason, count(*) AS count FROM measurement_raw
   GROUP BY ALL) WHERE Removal_Reason IS NOT NULL ORDER BY count DESC, Removal_Reason""",
         "enrich_measure": full + " SELECT * FROM enriched",
+        "enrich_measure_shuffled": full + " SELECT * FROM enriched",
         "csv_roundtrip": full + " SELECT * FROM enriched",
         "validate_summary": uncleaned + f" SELECT * FROM ({summary})",
         "validate_duplicates": uncleaned + DUPLICATES,

@@ -78,6 +78,18 @@ def flat_measurements(t: Tables) -> DataFrame:
     )
 
 
+def enriched_by_shuffle(t: Tables) -> DataFrame:
+    """The enrichment as it runs with lookup tables too large to broadcast."""
+    return enrich_measure(
+        t.measurement,
+        t.station,
+        t.item,
+        hot_from=t.measurement_raw,
+        hot_rows=1000,
+        max_rows=50,
+    )
+
+
 def stored_measurements(t: Tables) -> DataFrame:
     """The measurement documents after a load into a collection partitioned by month."""
     folder = shared_folder(t.spark, "measurements")
@@ -202,6 +214,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "detect_errors": lambda t: quality.detect_errors(t.measurement_raw),
     "error_counts": lambda t: quality.error_counts(quality.detect_errors(t.measurement_raw)),
     "enrich_measure": lambda t: t.enriched,
+    "enrich_measure_shuffled": enriched_by_shuffle,
     "csv_roundtrip": csv_roundtrip,
     "validate_summary": lambda t: quality.validation_summary(
         t.enriched_raw, t.station_raw, t.item_raw

@@ -29,6 +29,12 @@ ITEM = (
     ("Unit of measurement", "Unit", "string"),
 )
 
+
+def declared(spec: tuple[tuple[str, str, str], ...]) -> list[str]:
+    """The column names that a table specification declares."""
+    return [name for _, name, _ in spec]
+
+
 # Threshold columns of the item table, lowest bound first.
 THRESHOLDS = ("Good(Blue)", "Normal(Green)", "Bad(Yellow)", "Very bad(Red)")
 

@@ -60,8 +60,9 @@ def test_enrich(tables):
 def test_large_lookups_give_the_same_rows(tables):
     small = sorted(enrich_measure(*tables).collect(), key=str)
     for max_rows in (0, 1, 2):
-        large = enrich_measure(*tables, max_rows=max_rows).collect()
-        assert sorted(large, key=str) == small
+        for hot_rows in (1, 2, 100):
+            large = enrich_measure(*tables, max_rows=max_rows, hot_rows=hot_rows).collect()
+            assert sorted(large, key=str) == small
 
 
 def skewed(spark):
@@ -76,9 +77,10 @@ def skewed(spark):
 def test_skewed_key_stays_out_of_the_shuffle(spark):
     fact, lookup = skewed(spark)
     expected = sorted(fact.join(lookup, "k", "left").collect(), key=str)
-    joined = join_lookups(fact, {"k": lookup}, max_rows=100)
+    joined = join_lookups(fact, {"k": lookup}, max_rows=100, hot_rows=1000)
     assert sorted(joined.collect(), key=str) == expected
-    assert frequent_values(fact, "k") == [7]
+    assert frequent_values(fact, "k", 1000) == [7]
+    assert frequent_values(fact, "k") == []
     light = fact.filter("k IS NOT NULL AND k <> 7").groupBy("k").count()
     assert light.agg(F.max("count")).first()[0] == 1
     plan = joined._jdf.queryExecution().executedPlan().toString()
@@ -87,14 +89,14 @@ def test_skewed_key_stays_out_of_the_shuffle(spark):
 
 def test_hot_keys_may_come_from_another_table(spark):
     fact, lookup = skewed(spark)
-    joined = join_lookups(fact, {"k": lookup}, hot_from=spark.range(3).select(F.lit(9).alias("k")), max_rows=100)
+    joined = join_lookups(fact, {"k": lookup}, hot_from=spark.range(3).select(F.lit(9).alias("k")), hot_rows=2, max_rows=100)
     assert joined.count() == fact.join(lookup, "k", "left").count()
 
 
 def test_repeated_lookup_rows_of_a_hot_key_are_not_broadcast_unchecked(spark):
     fact = spark.range(50).select(F.lit(1).alias("k"), "id")
     lookup = spark.range(40).select(F.lit(1).alias("k"), F.col("id").alias("v"))
-    joined = join_lookups(fact, {"k": lookup}, max_rows=10)
+    joined = join_lookups(fact, {"k": lookup}, max_rows=10, hot_rows=5)
     assert joined.count() == 2000
 
 
@@ -105,9 +107,10 @@ def test_size_check_counts_rows_and_bytes(spark):
     assert fits_broadcast(df, df.select("id"), max_bytes=9000) == [False, True]
 
 
-def test_hot_list_is_bounded(spark):
-    df = spark.range(1000).select((F.col("id") % 300).alias("k"))
-    assert len(frequent_values(df, "k")) <= joins.HOT_KEYS
+def test_hot_list_is_bounded_and_starts_with_the_hottest(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_KEYS", 2)
+    df = spark.range(100).select(F.sqrt("id").cast("int").alias("k"))
+    assert frequent_values(df, "k", 5) == [9, 8]
 
 
 def test_validation(tables):
