@@ -19,6 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The point that the history queries look up.
 HISTORY_ITEM, HISTORY_STATION = 1, 5
 
+# Bounds a micro-batch when a stream works through a large backlog.
+FILES_PER_TRIGGER = 100
+
 VALIDATION_KEYS = {
     "validate_duplicates": "Duplicates",
     "validate_nulls": "Nulls",
@@ -156,7 +159,7 @@ def lineitem_stream(t: Tables) -> DataFrame:
         f"{t.folder}/[l]ineitem.parquet",
         t.read("lineitem").schema,
         source_format="parquet",
-        files_per_trigger=None,
+        files_per_trigger=FILES_PER_TRIGGER,
     )
 
 

@@ -110,7 +110,8 @@ def clean_measure_stream(
     """Valid readings of a stream, the first to arrive per time, station and item.
 
     ``watermark`` says how late a reading may come; the state of older keys is then dropped, and
-    later arrivals with it. None keeps every key and every reading.
+    later arrivals with it. None keeps every key and every reading. Copies that arrive in one
+    micro-batch meet in one task, so let the source bound its batches.
     """
     valid = valid_measurements(
         measurements, time_format=time_format, bad_statuses=bad_statuses
