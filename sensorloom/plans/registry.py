@@ -137,7 +137,7 @@ def history(t: Tables) -> DataFrame:
 
 
 def key_audit(t: Tables) -> DataFrame:
-    vertices = t.graph
+    vertices = t.lazy_graph
     raw_key = ["Station_Code", "Item_Code", "Measurement_Date"]
     return graph.key_audit(
         [

@@ -148,5 +148,5 @@ class Tables:
 
     @cached_property
     def lazy_graph(self) -> Graph:
-        """The graph, for uses of a single vertex table."""
+        """The graph, for uses without its stations and items."""
         return build_graph(self.enriched)
