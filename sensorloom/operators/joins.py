@@ -3,7 +3,7 @@
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from sensorloom.functions.columns import column
 
@@ -26,8 +26,12 @@ def fits_broadcast(
     for position, table in enumerate(tables):
         width = F.lit(16 * len(table.columns))
         for field in table.schema.fields:
-            if isinstance(field.dataType, StringType):
-                width = width + F.coalesce(F.octet_length(column(field.name)), F.lit(0))
+            value = column(field.name)
+            if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+                value = F.to_json(F.struct(value))
+            elif not isinstance(field.dataType, (StringType, BinaryType)):
+                continue
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
         size = table.agg(
             F.lit(position).alias("position"),
             F.count(F.lit(1)).alias("rows"),

@@ -20,9 +20,9 @@ def read_csv(
 
 def header_schema(spark: SparkSession, path: str) -> StructType:
     """A schema of nullable strings named by the header line of a CSV file."""
-    if not spark.read.text(path).take(1):
-        raise ValueError(f"no header row in {path}")
     names = spark.read.option("header", True).csv(path).columns
+    if not names:
+        raise ValueError(f"no header row in {path}")
     return StructType([StructField(n.removeprefix("\ufeff").strip(), StringType()) for n in names])
 
 

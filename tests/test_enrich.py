@@ -105,6 +105,8 @@ def test_size_check_counts_rows_and_bytes(spark):
     assert fits_broadcast(df, df.limit(0)) == [True, True]
     assert fits_broadcast(df, max_rows=9) == [False]
     assert fits_broadcast(df, df.select("id"), max_bytes=9000) == [False, True]
+    nested = df.select(F.array("s", "s").alias("a"), F.col("s").cast("binary").alias("b"))
+    assert fits_broadcast(nested, max_bytes=29000) == [False]
 
 
 def test_hot_list_is_bounded_and_starts_with_the_hottest(spark, monkeypatch):

@@ -70,10 +70,11 @@ def test_header_schema(spark, tmp_path):
     schema = header_schema(spark, str(path))
     assert schema.fieldNames() == ["Measurement date", "Station code", "a,b"]
     assert {f.dataType.simpleString() for f in schema.fields} == {"string"}
-    empty = tmp_path / "empty.csv"
-    empty.write_text("")
-    with pytest.raises(ValueError):
-        header_schema(spark, str(empty))
+    for text in ("", "\n"):
+        empty = tmp_path / "empty.csv"
+        empty.write_text(text)
+        with pytest.raises(ValueError):
+            header_schema(spark, str(empty))
 
 
 def test_one_file_per_batch(spark, csv_path, schema):
