@@ -46,6 +46,12 @@ STATION_PROPERTIES = {
 ITEM_PROPERTIES = {"Name": "Item_Name", "Unit": "Unit"}
 
 
+def _with_address(rows: DataFrame) -> DataFrame:
+    if "Address" in rows.columns:
+        return rows
+    return rows.withColumn("Address", F.lit(None).cast("string"))
+
+
 def _versions(rows: DataFrame, written: Column) -> DataFrame:
     """Every combination of station and item properties with its first write.
 
@@ -71,7 +77,10 @@ def _first_written(versions: DataFrame, key: str, properties: Mapping[str, str])
 
 
 def build_graph(
-    enriched: DataFrame, seq: str | None = None, folder: str | None = None
+    enriched: DataFrame,
+    seq: str | None = None,
+    folder: str | None = None,
+    described: DataFrame | None = None,
 ) -> Graph:
     """Merge enriched measurements into vertices.
 
@@ -82,9 +91,12 @@ def build_graph(
     Everything is lazy unless ``folder`` names a place for the properties of stations and items.
     They are then written there, one line per combination, and queries over these vertices need
     not derive them from the measurements again.
+
+    ``described`` is a cheaper source of those properties: a table with the station and item
+    columns of ``enriched`` and the first write order of each station and item in it, such as
+    one aggregated from the scan before any deduplication.
     """
-    if "Address" not in enriched.columns:
-        enriched = enriched.withColumn("Address", F.lit(None).cast("string"))
+    enriched = _with_address(enriched)
     keys = ["Station_Code", "Item_Code", "Status", "Measurement_Date"]
     complete = F.lit(True)
     for key in keys:
@@ -106,7 +118,7 @@ def build_graph(
         order=["_written"] if seq else [],
         last=True,
     ).drop("_written")
-    versions = _versions(rows, written)
+    versions = _versions(rows if described is None else _with_address(described), written)
     if folder is not None:
         versions.write.mode("overwrite").parquet(folder)
         versions = enriched.sparkSession.read.schema(versions.schema).parquet(folder)

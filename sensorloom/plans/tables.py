@@ -11,10 +11,16 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.functions.columns import recast
-from sensorloom.operators.clean import clean_item, clean_measure, clean_station
+from sensorloom.functions.columns import recast, round_doubles
+from sensorloom.operators.clean import (
+    clean_item,
+    clean_measure,
+    clean_station,
+    valid_measurements,
+)
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.operators.graph import Graph, build_graph
+from sensorloom.operators.joins import join_lookups
 from sensorloom.schemas import ITEM, MEASUREMENT, STATION, TIME_FORMAT, WIDE_CODES
 from sensorloom.sources.files import shared_folder
 
@@ -141,10 +147,26 @@ class Tables:
         """Uncleaned facts and lookups joined, on which every validation rule can fire."""
         return enrich_measure(self.measurement_raw, self.station_raw, self.item_raw)
 
+    @cached_property
+    def first_readings(self) -> DataFrame:
+        """When each station first measured each item, with the properties of both.
+
+        Deduplication keeps a reading of every time, so the valid rows give the same answer
+        without it, and the measurements are not shuffled.
+        """
+        first = (
+            valid_measurements(self.measurement_raw)
+            .groupBy("Station_Code", "Item_Code")
+            .agg(F.min("Measurement_Date").alias("Measurement_Date"))
+        )
+        lookups = {"Station_Code": self.station, "Item_Code": self.item}
+        return round_doubles(join_lookups(first, lookups), 3)
+
     @cached_property
     def graph(self) -> Graph:
         """The graph, with its vertex properties in the shared folder."""
-        return build_graph(self.enriched, folder=shared_folder(self.spark, "graph"))
+        folder = shared_folder(self.spark, "graph")
+        return build_graph(self.enriched, folder=folder, described=self.first_readings)
 
     @cached_property
     def lazy_graph(self) -> Graph:

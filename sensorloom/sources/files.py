@@ -44,7 +44,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="sensorloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

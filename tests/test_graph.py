@@ -137,6 +137,17 @@ def test_stored_properties_give_the_same_graph(spark, graph, tmp_path):
     assert hot_spots(stored).collect() == hot_spots(graph).collect()
 
 
+def test_properties_may_come_from_another_table(spark, graph):
+    df = spark.createDataFrame(ROWS, ENRICHED)
+    keys = ["Station_Code", "Item_Code", "Status", "Measurement_Date"]
+    described = df.na.drop(subset=keys).drop("Average_Value", "Instrument_Status", "Status")
+    other = build_graph(df, described=described)
+    for table in ("station", "item"):
+        assert sorted(getattr(other, table).collect(), key=str) == sorted(
+            getattr(graph, table).collect(), key=str
+        )
+
+
 def test_address_is_optional(spark):
     df = spark.createDataFrame(ROWS, ENRICHED).drop("Address")
     assert build_graph(df).station.first()["Address"] is None

@@ -207,7 +207,6 @@ def test_a_cluster_must_name_its_shared_folder():
 
     class Session:
         conf = Conf()
-        sparkContext = type("Context", (), {"master": "yarn"})
 
     with pytest.raises(ValueError):
         shared_folder(Session(), "x")
