@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import chat, licenses, pieces
+from sensorloom.llm import chat, decontaminate, licenses, pieces
 from sensorloom.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -19,6 +19,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_benchmark(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return decontaminate.contamination(found)
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).drop("detections")
 
@@ -41,6 +48,7 @@ def op8_piece_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op4_license_scan": op4_license_scan,
     "op7_chat_format": op7_chat_format,
     "op8_piece_ids": op8_piece_ids,
