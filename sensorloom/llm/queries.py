@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import chat, decontaminate, licenses, pieces
+from sensorloom.llm import chat, decontaminate, licenses, pieces, quality, secrets
 from sensorloom.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -26,6 +26,15 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(found)
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return quality.score(documents, quality.fit(documents, table(spark, folder, "labels")))
+
+
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digest(secrets.find_secrets(table(spark, folder, "documents")))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).drop("detections")
 
@@ -49,6 +58,8 @@ def op8_piece_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op4_license_scan": op4_license_scan,
     "op7_chat_format": op7_chat_format,
     "op8_piece_ids": op8_piece_ids,
