@@ -149,25 +149,31 @@ def battery(token: Column) -> Column:
     """(encoding, p) of a token; NULL where it is in none of the encodings."""
     result = F.lit(None).cast("struct<encoding:string,p:double>")
     for name, (alphabet, pattern) in reversed(ALPHABETS.items()):
-        n, size = F.length(token).cast("double"), F.lit(float(len(alphabet)))
-        numbers = F.transform(
-            F.sequence(F.lit(1), F.length(token)),
-            lambda i, a=alphabet: F.instr(F.lit(a), F.substr(token, i, F.lit(1))) - 1,
+        fits = token.rlike(f"^(?:{pattern})$")
+        result = F.when(fits, _tested(token, name, alphabet)).otherwise(result)
+    return result
+
+
+def _tested(token: Column, name: str, alphabet: str) -> Column:
+    """The tests of a token by the numbers of its characters in the alphabet."""
+    n, size = F.length(token).cast("double"), F.lit(float(len(alphabet)))
+    numbers = F.transform(
+        F.sequence(F.lit(1), F.length(token)),
+        lambda i: F.instr(F.lit(alphabet), F.substr(token, i, F.lit(1))) - 1,
+    )
+
+    def joint(values: Column) -> Column:
+        cells = F.transform(values, lambda v: F.floor(v * CELLS / len(alphabet)))
+        x = -(
+            F.log(chi_squared_p(cells, n))
+            + F.log(runs_p(values, n, size))
+            + F.log(serial_p(values, n, size))
         )
+        p = F.exp(-x) * (1 + x + x * x / 2)
+        return F.struct(F.lit(name).alias("encoding"), p.alias("p"))
 
-        def tested(values: Column, n=n, size=size, alphabet=alphabet, name=name) -> Column:
-            cells = F.transform(values, lambda v: F.floor(v * CELLS / len(alphabet)))
-            x = -(
-                F.log(chi_squared_p(cells, n))
-                + F.log(runs_p(values, n, size))
-                + F.log(serial_p(values, n, size))
-            )
-            joint = F.exp(-x) * (1 + x + x * x / 2)
-            return F.struct(F.lit(name).alias("encoding"), joint.alias("p"))
-
-        once = F.transform(F.array(numbers), tested)[0]
-        result = F.when(token.rlike(f"^(?:{pattern})$"), once).otherwise(result)
-    return result
+    # A one-element array lets the numbers be worked out once.
+    return F.transform(F.array(numbers), joint)[0]
 
 
 def rounded_p(p: Column) -> Column:
