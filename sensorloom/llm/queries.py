@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import chat, decontaminate, licenses, pieces, quality, secrets, substrings
+from sensorloom.llm import chat, decontaminate, jaccard, licenses, pieces, quality, secrets, substrings
 from sensorloom.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -56,6 +56,10 @@ def op8_piece_ids(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_documents(documents, tokenizer_path(PIECE_MODEL), digest=True)
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
 def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeat_digest(substrings.remove_repeats(table(spark, folder, "documents")))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op7_chat_format": op7_chat_format,
     "op8_piece_ids": op8_piece_ids,
+    "op9_jaccard": op9_jaccard,
     "op10_repeats": op10_repeats,
 }
 
