@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import chat, decontaminate, jaccard, licenses, pieces, quality, secrets, substrings
-from sensorloom.llm.common import table
+from sensorloom.llm import chat, decontaminate, jaccard, licenses, pieces, quality, rollups, secrets, substrings, vectors
+from sensorloom.llm.common import shared_folder, stored, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+COUNT_RANKS, COUNT_VERSION = "byte_bpe_50k.tiktoken", "byte_bpe_50k"
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,6 +40,32 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents")).drop("detections")
 
 
+def op5_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents are inserted; then exact copies are deleted; then the documents that white
+    space normalisation changes are counted again. The last two batches are committed twice."""
+    import public_tokenizers
+
+    def counted(documents: DataFrame) -> DataFrame:
+        path = tokenizer_path(COUNT_RANKS)
+        return rollups.token_counts(documents, path, public_tokenizers.PATTERN, COUNT_VERSION)
+
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    counts = stored(counted(documents), "token-counts")
+    rollup = rollups.Rollup(spark, shared_folder(spark, "rollup"))
+    rollup.commit(1, rollups.inserts(counts))
+    gone = stored(rollups.copies(counts), "copies")
+    kept = counts.join(gone.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"], "left_anti")
+    changed = stored(counted(rollups.squeezed(documents)), "token-counts")
+    for _ in range(2):
+        rollup.commit(2, rollups.deletes(gone))
+        rollup.commit(3, rollups.revisions(kept, changed))
+    return rollup.totals()
+
+
+def op6_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     both = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(
@@ -69,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_license_scan": op4_license_scan,
+    "op5_token_rollup": op5_token_rollup,
+    "op6_near_vectors": op6_near_vectors,
     "op7_chat_format": op7_chat_format,
     "op8_piece_ids": op8_piece_ids,
     "op9_jaccard": op9_jaccard,

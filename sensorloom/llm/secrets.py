@@ -184,21 +184,22 @@ def rounded_p(p: Column) -> Column:
 
 
 def _marked(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """The kept columns with base spans and tested tokens of every row."""
+    """The kept columns of every row as one, its base spans and its tested tokens."""
     text = F.coalesce("text", F.lit(""))
-    rows = documents.select(*[F.col(f"`{c}`") for c in keep], text.alias("__text"))
+    row = F.struct(*[F.col(f"`{name}`") for name in keep])
+    rows = documents.select(row.alias("row"), text.alias("text"))
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "token": TOKEN}
     found = rows.select(
         "*",
         *[
-            F.regexp_extract_all("__text", F.lit(pattern), F.lit(0)).alias(f"__m_{kind}")
+            F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(f"{kind}_matches")
             for kind, pattern in patterns.items()
         ],
     )
     placed = found.select(
-        *keep,
+        "row",
         *[
-            _spans(F.col("__text"), pattern, F.col(f"__m_{kind}")).alias(f"__{kind}")
+            _spans(F.col("text"), pattern, F.col(f"{kind}_matches")).alias(kind)
             for kind, pattern in patterns.items()
         ],
     )
@@ -215,16 +216,16 @@ def _marked(documents: DataFrame, keep: list[str]) -> DataFrame:
         )
 
     long_enough = F.filter(
-        "__assign",
+        "assign",
         lambda s: F.length(F.regexp_extract(s["match"], f"^{ASSIGN}", 2)) >= ASSIGN_LEAST,
     )
     base = F.concat(
         named("assign", long_enough),
-        named("access", F.col("__access")),
-        named("hex", F.col("__hex")),
+        named("access", F.col("access")),
+        named("hex", F.col("hex")),
     )
     tested = F.transform(
-        "__token",
+        "token",
         lambda s: F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
@@ -239,7 +240,7 @@ def _marked(documents: DataFrame, keep: list[str]) -> DataFrame:
             rounded_p(t["test"]["p"]).alias("step"),
         ),
     )
-    return placed.select(*keep, base.alias("__base"), tokens.alias("__tokens"))
+    return placed.select("row", base.alias("base"), tokens.alias("tokens"))
 
 
 def rejected_steps(tokens: DataFrame, rate: float = FALSE_DISCOVERIES) -> dict[int, int]:
@@ -263,22 +264,21 @@ def rejected_steps(tokens: DataFrame, rate: float = FALSE_DISCOVERIES) -> dict[i
 def find_secrets(
     documents: DataFrame, keep: list[str] | None = None, rate: float = FALSE_DISCOVERIES
 ) -> DataFrame:
-    """One row per row of ``documents`` (text, and the columns to keep, by default doc_id) with
-    secrets: an array of (start, end, rank, kind) by start and kind; random spans that overlap a
-    base span are left out.
+    """One row per row of ``documents``: the columns to keep, by default doc_id, as the fields of
+    ``row``, and secrets, an array of (start, end, rank, kind) by start and kind. Random spans that
+    overlap a base span are left out.
 
     A null text is empty and has no spans. Null ids and repeated rows give a row each. The marks
     of all rows are stored once, as the thresholds depend on all of them.
     """
-    keep = keep or ["doc_id"]
-    marked = stored(_marked(documents, keep), "secrets")
-    tokens = marked.select(F.explode("__tokens").alias("t")).select("t.length_class", "t.step")
+    marked = stored(_marked(documents, keep or ["doc_id"]), "secrets")
+    tokens = marked.select(F.explode("tokens").alias("t")).select("t.length_class", "t.step")
     limits = rejected_steps(tokens, rate)
     table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]) if limits else None
 
     def random(token: Column) -> Column:
         apart = ~F.exists(
-            "__base", lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])
+            "base", lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])
         )
         if table is None:
             return apart
@@ -286,15 +286,15 @@ def find_secrets(
         return (token["step"] < limit) & apart
 
     extra = F.transform(
-        F.filter("__tokens", random),
+        F.filter("tokens", random),
         lambda t: F.struct(
             t["start"], t["end"], F.lit(KINDS.index("random")).alias("rank"), F.lit("random").alias("kind")
         ),
     )
     return marked.select(
-        *keep,
+        "row",
         F.array_sort(
-            F.concat("__base", extra),
+            F.concat("base", extra),
             lambda a, b: F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1))
             .when(a["rank"] != b["rank"], F.when(a["rank"] < b["rank"], -1).otherwise(1))
             .otherwise(F.lit(0)),
@@ -314,7 +314,7 @@ def secret_digest(found: DataFrame) -> DataFrame:
         return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
 
     return found.select(
-        "doc_id",
+        "row.doc_id",
         count("assign").alias("n_assign"),
         count("access").alias("n_access"),
         count("hex").alias("n_hex"),
