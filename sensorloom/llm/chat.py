@@ -56,11 +56,11 @@ def _read_block(block: Column) -> Column:
 
 
 def _blocks(formatted: Column) -> Column:
-    """The blocks of a rendered conversation without their closing marks. What stands behind the
-    last mark is kept as a block of its own unless it is empty, and breaks the grammar then."""
+    """The blocks of a rendered conversation without their closing marks. Where something stands
+    behind the last mark an empty block, which breaks the grammar, takes its place."""
     pieces = F.split(formatted, _CLOSE, -1)
-    last = F.element_at(pieces, -1)
-    return F.when(last == "", F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
+    closed = F.slice(pieces, 1, F.size(pieces) - 1)
+    return F.when(F.element_at(pieces, -1) == "", closed).otherwise(F.concat(closed, F.array(F.lit(""))))
 
 
 def parse(formatted: Column) -> Column:

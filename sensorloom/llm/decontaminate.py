@@ -93,12 +93,12 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     """Start positions of the suffixes of ``text`` in order, by doubling the sorted length. The
     first keys hold as many symbols as fit into 62 bits; later steps sort only what is tied."""
     size = len(text)
-    bits = max(1, int(text.max()).bit_length()) if size else 1
-    packed = max(1, 62 // bits)
+    bits = int(text.max() + 1).bit_length() if size else 1
+    packed = max(1, min(62 // bits, size))
     key = np.zeros(size, np.int64)
     for at in range(packed):
         key <<= bits
-        key[: size - at] |= text[at:]
+        key[: size - at] |= text[at:] + 1  # 0 is behind the end
     order = np.argsort(key)
     sorted_key = key[order]
     fresh = np.ones(size, bool)

@@ -67,8 +67,10 @@ def features(column: pa.Array) -> np.ndarray:
     pairs = np.bincount(pair, minlength=count * CLASSES * CLASSES).reshape(count, -1)
     out[:, :-EXTRA] = np.sqrt(pairs / np.maximum(lengths - 1, 1)[:, None])
     inside = np.concatenate([[False], (kind != 3) & (kind != 4), [False]])
-    starts = np.flatnonzero(inside[1:] & ~inside[:-1])
-    ends = np.flatnonzero(~inside[1:] & inside[:-1])
+    border = np.zeros(len(raw) + 1, bool)
+    border[offsets] = True  # a word ends where its text does
+    edge = (inside[1:] != inside[:-1]) | (border & inside[1:] & inside[:-1])
+    starts, ends = np.flatnonzero(edge & inside[1:]), np.flatnonzero(edge & inside[:-1])
     if len(starts):
         words = span_hashes(raw, starts, ends)
         of = owner[starts]

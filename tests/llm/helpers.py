@@ -1,0 +1,42 @@
+"""Small tables with the awkward cases that every operator must take."""
+
+import random
+
+DOCUMENTS = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, id bigint, "
+    "print string, score double, secrets string, spans string, `odd name` string"
+)
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa Lambda MU été наука".split()
+
+
+def documents(spark, texts):
+    """A table of (doc_id, text) pairs with further columns whose names operators use inside."""
+    rows = [
+        (i, t, "en", "s", None if t is None else len(t), "r", 7, "p", 0.5, "x", "y", "z")
+        for i, t in texts
+    ]
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+def prose(seed, count=60):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(count))
+
+
+def edited(text, seed, changes):
+    rng, words = random.Random(seed), text.split(" ")
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"edit{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def awkward():
+    """Nulls, empty and long texts, ties, repeated rows, copies and near copies."""
+    base = prose(1)
+    texts = [(i, prose(i + 10)) for i in range(12)]
+    texts += [(20, base), (21, base), (22, base), (23, edited(base, 5, 2)), (24, edited(base, 6, 1))]
+    texts += [(30, None), (31, ""), (32, "   \n\t "), (33, "one"), (34, "one two three four")]
+    texts += [(35, "one two three four"), (40, prose(99, 6000)), (41, "word " * 400), (42, "word " * 500)]
+    texts += [(None, base), (50, prose(77)), (50, prose(77)), (60, "x" * 5000), (61, "a\x00b é 😀 ▁ z")]
+    texts += [(70, base + " " + prose(500, 50)), (71, prose(501, 9) + " " + base)]
+    return texts

@@ -1,0 +1,64 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from sensorloom.llm import quality as Q
+from sensorloom.llm.common import table
+from tests.llm.helpers import awkward, documents
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy_and_prior(spark):
+    labels = table(spark, FOLDER, "labels")
+    docs = table(spark, FOLDER, "documents")
+    model = Q.fit(docs, labels, sample_rows=3000)
+    rows = Q.score(docs, model).join(labels.select("doc_id", "quality"), "doc_id").collect()
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    right = np.mean([r["predicted"] == r["quality"] for r in held])
+    assert right > 0.97
+    assert abs(model.prior - np.mean([r["quality"] for r in rows])) < 0.12
+
+
+def test_awkward_rows_are_scored(spark):
+    texts = awkward()
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame(
+        [(1, 1, 5), (2, 1, 5), (3, 0, 5), (3, 1, 5), (None, 1, 5), (4, None, 5)],
+        "doc_id bigint, quality int, score int",
+    )
+    model = Q.fit(docs, labels)
+    rows = Q.score(docs, model).collect()
+    assert len(rows) == len(texts)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    by_text = {}
+    for (doc_id, text), row in zip(texts, rows):
+        assert row["doc_id"] == doc_id and row["predicted"] == int(row["score"] >= 0.3)
+        assert by_text.setdefault(text or "", row["score"]) == row["score"]
+    kept = Q.accepted(docs, model).collect()
+    assert len(kept) == sum(r["predicted"] for r in rows)
+    assert kept == [] or kept[0].asDict().keys() == set(docs.columns)
+
+
+def test_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    docs = documents(spark, [(1, "text")])
+    assert [r["predicted"] for r in Q.score(docs, Q.fit(docs, none)).collect()] == [1]
+    empty = documents(spark, [])
+    assert Q.score(empty, Q.fit(empty, none)).count() == 0
+
+
+def test_features_do_not_depend_on_neighbours():
+    texts = ["one two two", None, "", "Étage!!\n\nx|y", "w" * 3000]
+    together = Q.features(pa.array(texts))
+    alone = np.concatenate([Q.features(pa.array([t], pa.string())) for t in texts])
+    assert np.allclose(together, alone)
+
+
+def test_prior_is_found_from_scores():
+    rng = np.random.default_rng(0)
+    positive = rng.normal(2, 1, 4000)
+    mixed = np.concatenate([rng.normal(2, 1, 2800), rng.normal(-2, 1, 1200)])
+    assert abs(Q.estimated_prior(positive, mixed) - 0.7) < 0.05
