@@ -45,6 +45,7 @@ def valid_measurements(
 
     With ``bad_statuses``, rows of an unreliable or unknown instrument state go as well.
     """
+    bad_statuses = tuple(bad_statuses or ())
     trimmed = trim_strings(measurements)
     timed = trimmed.withColumn(time_column, parse_time(trimmed, time_column, time_format))
     valid = timed.na.drop(subset=[*MEASUREMENT_KEY, "Average_Value"]).filter(

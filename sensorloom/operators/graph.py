@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.operators.dedup import first_per_key
-from sensorloom.operators.joins import join_lookups
+from sensorloom.operators.joins import join_lookups, join_small
 
 # In the key order of cleaned measurements, whose sorting and partitioning then carry over.
 MEASUREMENT_ID = ["Raw_Datetime", "Station_Code", "Item_Code"]
@@ -90,7 +90,7 @@ def build_graph(
 
     Everything is lazy unless ``folder`` names a place for the properties of stations and items.
     They are then written there, one line per combination, and queries over these vertices need
-    not derive them from the measurements again.
+    not derive them from the measurements again; a folder that exists is refused.
 
     ``described`` is a cheaper source of those properties: a table with the station and item
     columns of ``enriched`` and the first write order of each station and item in it, such as
@@ -120,7 +120,7 @@ def build_graph(
     ).drop("_written")
     versions = _versions(rows if described is None else _with_address(described), written)
     if folder is not None:
-        versions.write.mode("overwrite").parquet(folder)
+        versions.write.parquet(folder)
         versions = enriched.sparkSession.read.schema(versions.schema).parquet(folder)
     return Graph(
         station=_first_written(versions, "Station_Code", STATION_PROPERTIES),
@@ -209,18 +209,17 @@ def edge_tables(graph: Graph) -> dict[str, DataFrame]:
     }
 
 
-def _with_names(rows: DataFrame, graph: Graph) -> DataFrame:
-    """Add the ``Station`` and ``Pollutant`` names that belong to the codes."""
-    lookups = {
+def _names(graph: Graph) -> dict[str, DataFrame]:
+    """The ``Station`` and ``Pollutant`` names that belong to the codes."""
+    return {
         "Station_Code": graph.station.select("Station_Code", F.col("Name").alias("Station")),
         "Item_Code": graph.item.select("Item_Code", F.col("Name").alias("Pollutant")),
     }
-    return join_lookups(rows, lookups)
 
 
 def match_paths(graph: Graph) -> DataFrame:
     """Every path from a station over a measurement to an item, with both names."""
-    return _with_names(graph.measurement, graph)
+    return join_lookups(graph.measurement, _names(graph))
 
 
 def hot_spots(graph: Graph) -> DataFrame:
@@ -238,7 +237,7 @@ def hot_spots(graph: Graph) -> DataFrame:
     )
     share = F.round(F.lit(100.0) * F.col("Bad_Count") / F.col("Total"), 2)
     return (
-        _with_names(pairs, graph)
+        join_small(pairs, _names(graph))
         .withColumn("Weightage", share)
         .orderBy(
             F.desc_nulls_first("Weightage"),
@@ -262,12 +261,17 @@ def hot_spots(graph: Graph) -> DataFrame:
 def daily_avg(graph: Graph) -> DataFrame:
     """Mean value per day, station name and item name, by day and station.
 
-    Vertices that share a name, or have none, fall into one group.
+    Vertices that share a name, or have none, fall into one group. Values are summed by code and
+    day before names are looked up, so the lookups see one row per pair and day.
     """
+    sums = graph.measurement.groupBy(
+        F.to_date("Datetime").alias("Day"), "Station_Code", "Item_Code"
+    ).agg(F.sum("Value").alias("_sum"), F.count("Value").alias("_count"))
+    mean = F.try_divide(F.sum("_sum"), F.sum("_count"))
     return (
-        _with_names(graph.measurement, graph)
-        .groupBy(F.to_date("Datetime").alias("Day"), "Station", "Pollutant")
-        .agg(F.round(F.avg("Value"), 2).alias("Daily_Avg_Value"))
+        join_small(sums, _names(graph))
+        .groupBy("Day", "Station", "Pollutant")
+        .agg(F.round(mean, 2).alias("Daily_Avg_Value"))
         .orderBy("Day", "Station", "Pollutant")
     )
 

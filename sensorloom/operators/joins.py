@@ -9,10 +9,11 @@ from sensorloom.functions.columns import column
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key of fewer rows is no burden for one task. Keys beyond the most frequent ones hold less than
-# 1 / HOT_KEYS of the rows each, which is below one core's part on any cluster of that many cores.
+# A key of fewer rows, or of a smaller share of all rows, is no burden for one task.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
+HOT_SHARE = 1e-4
+# Into how many parts the rows of a hot key are dealt.
+SALTS = 64
 
 
 def fits_broadcast(
@@ -45,66 +46,81 @@ def fits_broadcast(
     return [fits[position] for position in range(len(tables))]
 
 
-def frequent_values(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """The values with at least ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
+def frequent_values(
+    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, share: float = HOT_SHARE
+) -> list:
+    """The values with at least ``hot_rows`` rows and at least ``share`` of all rows.
 
-    Only the key column is read and counts combine before the shuffle. The list decides how rows
-    travel in a join, never which rows come out.
+    There cannot be more than 1 / share of them. Only the key column is read and counts combine
+    before the shuffle. The list decides how rows travel in a join, never which rows come out.
     """
-    counts = df.filter(column(key).isNotNull()).groupBy(column(key).alias("value")).count()
-    hot = counts.filter(F.col("count") >= hot_rows).orderBy(F.desc("count"), "value")
-    return [row["value"] for row in hot.limit(HOT_KEYS).collect()]
+    counts = df.groupBy(column(key).alias("value")).count()
+    frequent = counts.filter(F.col("value").isNotNull() & (F.col("count") >= hot_rows))
+    most = counts.agg(F.sum("count")).first()[0] or 0
+    return sorted(
+        row["value"] for row in frequent.filter(F.col("count") >= share * most).collect()
+    )
 
 
-def _split_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    hot_from: DataFrame,
-    hot_rows: int,
-    max_rows: int,
-    max_bytes: int,
+def _salted_join(
+    fact: DataFrame, lookup: DataFrame, key: str, hot: list, salts: int = SALTS
 ) -> DataFrame:
-    """Join to a large lookup table without moving the rows of hot or NULL keys."""
-    hot = frequent_values(hot_from, key, hot_rows)
-    hot_lookup = lookup.filter(column(key).isin(hot))
-    if not hot or not fits_broadcast(hot_lookup, max_rows=max_rows, max_bytes=max_bytes)[0]:
-        hot, hot_lookup = [], lookup.filter(F.lit(False))
-    stays = column(key).isNull() | column(key).isin(hot)
-    heavy = fact.filter(stays).join(F.broadcast(hot_lookup), key, "left")
-    light = fact.filter(~stays).join(lookup, key, "left")
-    return heavy.unionByName(light)
+    """Left join in one pass over both tables, with the rows of hot and NULL keys dealt out.
+
+    The lookup rows of a hot key, one per key and so few, are repeated for every salt. The salt of
+    a fact row comes from its partition and its content, so exact copies spread as well and a task
+    that is run again deals its rows alike.
+    """
+    salt = "_salt"
+    while salt in fact.columns or salt in lookup.columns:
+        salt += "_"
+    others = [column(c) for c in fact.columns if c != key]
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *others), F.lit(salts)).cast("int")
+    spread, one = column(key).isNull(), F.array(F.lit(0))
+    copies = one
+    if hot:
+        spread = spread | column(key).isin(hot)
+        every = F.array(*[F.lit(i) for i in range(salts)])
+        copies = F.when(column(key).isin(hot), every).otherwise(one)
+    left = fact.withColumn(salt, F.when(spread, dealt).otherwise(F.lit(0)))
+    right = lookup.withColumn(salt, F.explode(copies))
+    return left.join(right, [key, salt], "left").drop(salt)
 
 
 def join_lookups(
     fact: DataFrame,
     lookups: Mapping[str, DataFrame],
     hot_from: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left outer join of a fact table to a lookup table per key column.
 
-    A lookup table measured to be small is broadcast. Beyond that bound the fact is shuffled by
-    key, except for the rows of hot keys and of NULL keys: those stay where they are and meet
-    the few lookup rows of the hot keys, which are measured and broadcast in turn. No key is
-    then large enough to overload a task.
+    A lookup table measured to be small is broadcast. Beyond that bound both sides are shuffled by
+    key, and the rows of hot keys and of NULL keys are dealt out to many tasks. The fact is read
+    once, whatever is hot.
 
     ``hot_from`` is a cheaper table to find the hot keys in, such as the raw scan of the fact.
-    A stream joins large lookup tables by a plain shuffle: no key can then hold more rows than
-    its micro-batch does.
+    ``hot_rows`` None looks for none, for a fact that has few rows per key. A stream looks for none
+    either: no key can hold more rows than its micro-batch does; its NULL keys are dealt out.
     """
     small = fits_broadcast(*lookups.values(), max_rows=max_rows, max_bytes=max_bytes)
     joined = fact
     for (key, lookup), is_small in zip(lookups.items(), small):
         if is_small:
             joined = joined.join(F.broadcast(lookup), key, "left")
-        elif joined.isStreaming:
-            joined = joined.join(lookup, key, "left")
-        else:
-            source = fact if hot_from is None else hot_from
-            joined = _split_join(
-                joined, lookup, key, source, hot_rows, max_rows, max_bytes
-            )
+            continue
+        source = fact if hot_from is None else hot_from
+        look = hot_rows is not None and not source.isStreaming and not fact.isStreaming
+        hot = frequent_values(source, key, hot_rows) if look else []
+        joined = _salted_join(joined, lookup, key, hot)
     return joined
+
+
+def join_small(fact: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
+    """The same join for a fact that is already aggregated to a few rows per key: nothing is
+    measured, and adaptive execution broadcasts what turns out small."""
+    for key, lookup in lookups.items():
+        fact = fact.join(lookup, key, "left")
+    return fact

@@ -4,7 +4,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.functions.columns import parse_time
+from sensorloom.functions.columns import parse_time, trim_strings
 from sensorloom.operators.clean import clean_item, clean_station
 from sensorloom.schemas import (
     BAD_DATE,
@@ -30,6 +30,7 @@ def removal_reason(
     """The first rule a raw reading breaks, or NULL."""
     value = F.col("Average_Value")
     station, item = F.col("Station_Code"), F.col("Item_Code")
+    bad_statuses = tuple(bad_statuses or ())
     reason = (
         F.when(parse_time(measurements, time_column, time_format).isNull(), BAD_DATE)
         .when(station.isNull() | item.isNull() | value.isNull(), MISSING_VALUES)
@@ -63,6 +64,8 @@ def error_counts(errors: DataFrame) -> DataFrame:
 def _measure_outcomes(
     measurements: DataFrame, time_format: str | None, bad_statuses: Iterable[int] | None
 ) -> DataFrame:
+    # Cleaning trims text before it reads the time; the account has to do the same.
+    measurements, bad_statuses = trim_strings(measurements), tuple(bad_statuses or ())
     dropped = F.coalesce(
         removal_reason(
             measurements, time_format=time_format, bad_statuses=bad_statuses
@@ -176,6 +179,7 @@ def validation_details(
     longitude_range: tuple[float, float] = LONGITUDE_RANGE,
 ) -> dict[str, DataFrame]:
     """For each rule the offending rows, keys or codes, as lazy tables."""
+    bad_statuses = tuple(bad_statuses)
     details = {
         rule: enriched.filter(condition)
         for rule, condition in _row_rules(
@@ -201,6 +205,7 @@ def validation_summary(
     The six row rules are counted in one pass without a shuffle; the duplicate and orphan rules
     add one small aggregate each.
     """
+    bad_statuses = tuple(bad_statuses)
     row_rules = _row_rules(bad_statuses, latitude_range, longitude_range)
 
     def line(rule: str, count: Column) -> Column:

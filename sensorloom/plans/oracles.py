@@ -371,6 +371,55 @@ SELECT CASE WHEN row_number() OVER (PARTITION BY Item_Name ORDER BY grade_rank)
     THEN Item_Name ELSE '' END AS Item, Status, "Count",
   {rounded("avg_value", 3)} AS Average, min_value AS Min_Value, max_value AS Max_Value
 FROM stats""",
+        "processed_roundtrip": full + " SELECT * FROM enriched",
+        "doc_load_twice": full
+        + """
+SELECT 'measurements 1' AS "Load", count(*) AS Attempted, count(*) AS Inserted
+FROM enriched WHERE Item_Code % 2 = 1
+UNION ALL SELECT 'measurements 2', 2 * count(*), count(*) FILTER (WHERE Item_Code % 2 = 0)
+FROM enriched
+UNION ALL SELECT 'orders 1', count(*), count(DISTINCT o_custkey)
+FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT 'orders 2', count(*), count(DISTINCT o_custkey)
+  - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 3 = 0) FROM orders""",
+        "doc_edge_cases": raw
+        + """
+, source AS (
+  SELECT CASE WHEN Address <> 'nation 3' THEN Station_Code END AS _id, Station_Name AS name,
+    Address AS address, CASE WHEN Address <> 'nation 5' THEN Latitude END AS latitude,
+    Longitude AS longitude FROM station_raw),
+offered AS (SELECT * FROM source UNION ALL SELECT * REPLACE ('B' || name AS name) FROM source)
+SELECT DISTINCT ON (_id) _id, name, address,
+  CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 'Point' END AS type,
+  CASE WHEN latitude IS NOT NULL THEN longitude END AS longitude,
+  CASE WHEN longitude IS NOT NULL THEN latitude END AS latitude
+FROM offered WHERE _id IS NOT NULL ORDER BY _id, name NULLS FIRST""",
+        "graph_conflicts": uncleaned
+        + """
+, renamed AS (
+  SELECT * REPLACE (coalesce(Station_Name, '?') || year(Measurement_Date) AS Station_Name)
+  FROM enriched_raw WHERE Measurement_Date IS NOT NULL AND Station_Code IS NOT NULL
+    AND Item_Code IS NOT NULL AND Status IS NOT NULL),
+last AS (
+  SELECT DISTINCT ON (Measurement_Date, Station_Code, Item_Code)
+    'Measurement' AS "Label", Measurement_Date AS Raw_Datetime, Station_Code, Item_Code,
+    Average_Value AS Value, Instrument_Status, Status
+  FROM renamed ORDER BY Measurement_Date, Station_Code, Item_Code,
+    Average_Value DESC NULLS LAST, Instrument_Status DESC NULLS LAST, Status DESC),
+first AS (
+  SELECT DISTINCT ON (Station_Code) 'Station' AS "Label", Station_Code, Station_Name AS Name
+  FROM renamed ORDER BY Station_Code, Measurement_Date, Station_Name)
+SELECT * FROM last UNION ALL BY NAME SELECT * FROM first""",
+        "graph_rejected": uncleaned
+        + """
+SELECT * REPLACE (coalesce(Station_Name, '?') || year(Measurement_Date) AS Station_Name)
+FROM enriched_raw WHERE Measurement_Date IS NULL OR Station_Code IS NULL OR Item_Code IS NULL
+  OR Status IS NULL""",
+        "stream_bad_records_by_time": streamed
+        + """
+SELECT Measurement_Date, Item_Code, Item_Name, Station_Name, Average_Value AS Value, Status
+FROM streamed WHERE Status = 'Bad'
+ORDER BY Measurement_Date, Station_Name, Item_Code, Value""",
         "bad_records": full
         + """
 SELECT Measurement_Date, Item_Code, Item_Name, Station_Name, Average_Value AS Value, Status
@@ -381,10 +430,10 @@ SELECT date_trunc('hour', Measurement_Date) AS "Hour", Item_Code, Item_Name, Sta
   Average_Value AS Value FROM enriched WHERE Status = 'Bad'""",
         "stream_append": text + " SELECT * FROM texts",
         "stream_clean": clean
-        + " SELECT Measurement_Date, Station_Code, Item_Code FROM measurement",
+        + " SELECT * FROM measurement",
         "stream_item_status": streamed
         + ITEM_STATUS
-        + " FROM streamed WHERE NOT isnan(Average_Value) GROUP BY ALL",
+        + " FROM streamed WHERE Average_Value IS NOT NULL GROUP BY ALL",
         "stream_bad_records": streamed
         + """
 SELECT Measurement_Date, Item_Code, Item_Name, Station_Name, Average_Value AS Value, Status

@@ -4,11 +4,12 @@ Each writes its result as files and hands back lazy tables, so that the next job
 last one stored.
 """
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from sensorloom.functions.columns import recast
 from sensorloom.functions.messages import decode_messages
@@ -28,7 +29,13 @@ from sensorloom.operators.quality import (
     validation_summary,
 )
 from sensorloom.operators.reports import bad_records, item_status_stats
-from sensorloom.schemas import BAD_INSTRUMENT_STATUS, ENRICHED, ITEM, MEASUREMENT, STATION
+from sensorloom.schemas import (
+    BAD_INSTRUMENT_STATUS,
+    ITEM,
+    MEASUREMENT,
+    STATION,
+    enriched_schema,
+)
 from sensorloom.sources.documents import LoadCounts, load_collection, load_measurements
 from sensorloom.sources.files import header_schema, read_csv, write_csv
 from sensorloom.sources.graphs import read_graph, save_graph
@@ -36,6 +43,19 @@ from sensorloom.sources.kafka import kafka_stream
 from sensorloom.streaming.streams import append_stream, file_stream, snapshot_stream
 
 
+@dataclass(frozen=True)
+class Store:
+    """How results are kept between the jobs: "parquet" or "csv", with single types overridden,
+    such as by ``WIDE_CODES`` where codes outgrow an int."""
+
+    format: str = "parquet"
+    types: Mapping[str, str] = field(default_factory=dict)
+
+    @property
+    def schema(self) -> StructType:
+        return enriched_schema(self.types)
+
+
 def ingest(
     spark: SparkSession,
     servers: str,
@@ -73,19 +93,21 @@ def process(
     out_path: str,
     files: int | None = None,
     bad_statuses: Iterable[int] | None = BAD_INSTRUMENT_STATUS,
+    store: Store = Store(),
 ) -> Audit:
     """Clean, enrich and store the ingested measurements, and audit the outcome.
 
     The validation reads the stored result, so that nothing is cleaned or joined twice for it.
     """
-    raw = recast(spark.read.parquet(measurement_path), MEASUREMENT)
-    station_raw = recast(read_csv(spark, station_csv), STATION)
-    item_raw = recast(read_csv(spark, item_csv), ITEM)
+    bad_statuses = None if bad_statuses is None else tuple(bad_statuses)
+    raw = recast(spark.read.parquet(measurement_path), MEASUREMENT, store.types)
+    station_raw = recast(read_csv(spark, station_csv), STATION, store.types)
+    item_raw = recast(read_csv(spark, item_csv), ITEM, store.types)
     measure = clean_measure(raw, bad_statuses=bad_statuses)
     station, item = clean_station(station_raw), clean_item(item_raw)
-    write_csv(enrich_measure(measure, station, item, hot_from=raw), out_path, files)
+    write_processed(enrich_measure(measure, station, item, hot_from=raw), out_path, files, store)
 
-    stored = read_processed(spark, out_path)
+    stored = read_processed(spark, out_path, store)
     errors = detect_errors(raw, bad_statuses=bad_statuses)
     flagged = tuple(bad_statuses or BAD_INSTRUMENT_STATUS)
     return Audit(
@@ -97,9 +119,32 @@ def process(
     )
 
 
-def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """The stored result of ``process`` with its declared types."""
-    return read_csv(spark, path, ENRICHED)
+def write_processed(
+    enriched: DataFrame, path: str, files: int | None = None, store: Store = Store()
+) -> None:
+    """Store exactly the declared columns, in their order: a missing one as a typed NULL, others
+    left out, so that what reads the result never meets another layout."""
+    present = set(enriched.columns)
+    rows = enriched.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in store.schema.fields
+        ]
+    )
+    if store.format == "csv":
+        write_csv(rows, path, files)
+        return
+    spread = rows.hint("rebalance") if files is None else rows.repartition(files)
+    spread.write.mode("overwrite").parquet(path)
+
+
+def read_processed(spark: SparkSession, path: str, store: Store = Store()) -> DataFrame:
+    """The stored result of ``process`` with its declared types. A CSV file whose header is not
+    the declared one is refused."""
+    if store.format == "csv":
+        reader = spark.read.option("header", True).option("enforceSchema", False)
+        return reader.schema(store.schema).csv(path)
+    return spark.read.schema(store.schema).parquet(path)
 
 
 def load_documents(
@@ -109,36 +154,50 @@ def load_documents(
     item_csv: str,
     folder: str,
     drop_measurements: bool = False,
+    store: Store = Store(),
+    distinct: bool = False,
 ) -> dict[str, LoadCounts]:
-    """Store items and stations anew and add the measurements, as document collections."""
+    """Store items and stations anew and add the measurements, as document collections. With
+    ``distinct`` a measurement is added once, however often it is loaded."""
     return {
         "items": load_collection(item_documents(read_csv(spark, item_csv)), f"{folder}/items"),
         "stations": load_collection(
             station_documents(read_csv(spark, station_csv)), f"{folder}/stations"
         ),
         "measurements": load_measurements(
-            measurement_documents(read_processed(spark, processed_path)),
+            measurement_documents(
+                read_processed(spark, processed_path, store), store.types.get("Item_Code", "int")
+            ),
             f"{folder}/measurements",
             drop_measurements,
+            distinct=distinct,
         ),
     }
 
 
 def load_graph(
-    spark: SparkSession, processed_path: str, folder: str, previous: str | None = None
+    spark: SparkSession,
+    processed_path: str,
+    folder: str,
+    previous: str | None = None,
+    store: Store = Store(),
 ) -> Graph:
     """Store the measurements as a graph, merged into the one stored at ``previous`` if given."""
-    graph = build_graph(read_processed(spark, processed_path))
+    graph = build_graph(read_processed(spark, processed_path, store))
     if previous is not None:
         graph = merge_graphs(read_graph(spark, previous), graph)
     return save_graph(graph, folder)
 
 
 def watch(
-    spark: SparkSession, processed_path: str, folder: str, drain: bool = False
+    spark: SparkSession,
+    processed_path: str,
+    folder: str,
+    drain: bool = False,
+    store: Store = Store(),
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Keep the status totals and the bad readings up to date as result files arrive."""
-    rows = file_stream(spark, processed_path, ENRICHED)
+    rows = file_stream(spark, processed_path, store.schema, store.format)
     totals = snapshot_stream(
         item_status_stats(rows),
         f"{folder}/item_status",

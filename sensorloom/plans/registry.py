@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorloom.functions.columns import recast, sanitize_columns, trim_strings
 from sensorloom.functions.messages import decode_messages, to_messages
 from sensorloom.operators import documents, graph, quality, reports
+from sensorloom.plans.pipeline import Store, read_processed, write_processed
 from sensorloom.plans.tables import Tables, measurement_source, measurement_text
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.schemas import MEASUREMENT, WIDE_CODES
-from sensorloom.sources.documents import load_measurements, read_collection
+from sensorloom.sources.documents import load_collection, load_measurements, read_collection
 from sensorloom.sources.files import read_csv, shared_folder, write_csv
 from sensorloom.streaming import streams
 
@@ -65,7 +66,11 @@ def flat_items(t: Tables) -> DataFrame:
 
 
 def flat_stations(t: Tables) -> DataFrame:
-    return documents.station_documents(t.station_source, "bigint").select(
+    return flat_station_documents(documents.station_documents(t.station_source, "bigint"))
+
+
+def flat_station_documents(stations: DataFrame) -> DataFrame:
+    return stations.select(
         "_id",
         "name",
         "address",
@@ -110,6 +115,79 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     return read_csv(t.spark, folder, t.enriched.schema)
 
 
+def processed_roundtrip(t: Tables) -> DataFrame:
+    """Measurements enriched from a station table with a column more, in another order, stored
+    between the jobs as CSV and read back."""
+    station = t.station.select("Address", F.lit("x").alias("Owner"), *t.station.columns[:-1])
+    enriched = enrich_measure(t.measurement, station, t.item, hot_from=t.measurement_raw)
+    folder, store = shared_folder(t.spark, "processed"), Store("csv", WIDE_CODES)
+    write_processed(enriched, folder, store=store)
+    return read_processed(t.spark, folder, store)
+
+
+def load_twice(t: Tables) -> DataFrame:
+    """Attempted and inserted documents of loads that overlap: measurements of the odd items and
+    then all of them twice, and orders by customer before and after others are there."""
+    folder = shared_folder(t.spark, "loads")
+    rows = documents.measurement_documents(t.enriched, "bigint")
+    odd = rows.filter("meta.item_code % 2 = 1")
+    incoming, _ = offered_documents(t)
+    old = incoming.filter("order_no % 3 = 0")
+    loads = [
+        ("measurements 1", load_measurements(odd, f"{folder}/m", period="month", distinct=True)),
+        (
+            "measurements 2",
+            load_measurements(rows.union(rows), f"{folder}/m", period="month", distinct=True),
+        ),
+        ("orders 1", load_collection(old, f"{folder}/o", order=["order_no"])),
+        (
+            "orders 2",
+            load_collection(incoming, f"{folder}/o", drop_existing=False, order=["order_no"]),
+        ),
+    ]
+    return t.spark.createDataFrame(
+        [(name, counts.attempted, counts.inserted) for name, counts in loads],
+        "Load string, Attempted bigint, Inserted bigint",
+    )
+
+
+def edge_documents(t: Tables) -> DataFrame:
+    """Station documents from a source with every code twice, missing codes and missing
+    coordinates; the one of the least name is kept."""
+    nation = F.substring_index("Address", " ", -1).cast("int")
+    source = t.station_source.withColumns(
+        {
+            "Station code": F.when(nation != 3, F.col("`Station code`")),
+            "Latitude": F.when(nation != 5, F.col("Latitude")),
+        }
+    )
+    name = F.col("`Station name(district)`")
+    again = source.withColumn("Station name(district)", F.concat(F.lit("B"), name))
+    offered = documents.station_documents(source.unionByName(again), "bigint")
+    return flat_station_documents(documents.insert_ignore(offered, order=["name"]))
+
+
+def conflicting_graph(t: Tables) -> graph.Graph:
+    """A graph from uncleaned rows in which the name of a station changes from year to year."""
+    year = F.year("Measurement_Date").cast("string")
+    name = F.concat(F.coalesce("Station_Name", F.lit("?")), year)
+    return graph.build_graph(t.enriched_raw.withColumn("Station_Name", name))
+
+
+def graph_conflicts(t: Tables) -> DataFrame:
+    """The vertices that several writes compete for."""
+    built = conflicting_graph(t)
+    rows = built.measurement.select(
+        F.lit("Measurement").alias("Label"),
+        *graph.MEASUREMENT_ID,
+        "Value",
+        "Instrument_Status",
+        "Status",
+    )
+    named = built.station.select(F.lit("Station").alias("Label"), "Station_Code", "Name")
+    return rows.unionByName(named, allowMissingColumns=True)
+
+
 def offered_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Orders as documents keyed by customer, and supplier keys as the documents present."""
     incoming = t.read("orders").select(
@@ -163,10 +241,14 @@ def lineitem_stream(t: Tables) -> DataFrame:
     )
 
 
-def drained(t: Tables, start: Callable, rows: DataFrame, purpose: str) -> DataFrame:
+def drained(
+    t: Tables, start: Callable, rows: DataFrame, purpose: str, snapshot: bool = False
+) -> DataFrame:
     """Run a stream over all present input and read what it wrote."""
     folder = shared_folder(t.spark, purpose)
     start(rows, f"{folder}/out", f"{folder}/checkpoint", drain=True).awaitTermination()
+    if snapshot:
+        return streams.read_snapshot(t.spark, f"{folder}/out")
     return t.spark.read.parquet(f"{folder}/out")
 
 
@@ -183,17 +265,13 @@ def stream_append(t: Tables) -> DataFrame:
 
 
 def stream_clean(t: Tables) -> DataFrame:
-    """Keys of the cleaned stream; which reading arrives first is not defined, so none is shown."""
     raw = recast(measurement_source(lineitem_stream(t)), MEASUREMENT, WIDE_CODES)
-    keys = streams.clean_measure_stream(raw, watermark=None).select(
-        "Measurement_Date", "Station_Code", "Item_Code"
-    )
-    return drained(t, streams.append_stream, keys, "clean")
+    return drained(t, streams.clean_measure_sink, raw, "clean").drop("batch", "day")
 
 
 def stream_item_status(t: Tables) -> DataFrame:
-    totals = reports.item_status_stats(streamed_enriched(t).na.drop(subset=["Average_Value"]))
-    return drained(t, streams.snapshot_stream, totals, "item-status")
+    totals = reports.item_status_stats(streamed_enriched(t))
+    return drained(t, streams.snapshot_stream, totals, "item-status", snapshot=True)
 
 
 def stream_bad_records(t: Tables) -> DataFrame:
@@ -251,6 +329,12 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "item_status_pretty": lambda t: reports.item_status_pretty(
         reports.item_status_stats(t.enriched)
     ),
+    "processed_roundtrip": processed_roundtrip,
+    "doc_load_twice": load_twice,
+    "doc_edge_cases": edge_documents,
+    "graph_conflicts": graph_conflicts,
+    "graph_rejected": lambda t: conflicting_graph(t).rejected,
+    "stream_bad_records_by_time": lambda t: streams.bad_records_by_time(stream_bad_records(t)),
     "bad_records": lambda t: reports.bad_records(t.enriched),
     "bad_records_hourly": lambda t: reports.bad_records_hourly(t.enriched),
     "stream_append": stream_append,

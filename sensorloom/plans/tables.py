@@ -20,9 +20,8 @@ from sensorloom.operators.clean import (
 )
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.operators.graph import Graph, build_graph
-from sensorloom.operators.joins import join_lookups
+from sensorloom.operators.joins import join_small
 from sensorloom.schemas import ITEM, MEASUREMENT, STATION, TIME_FORMAT, WIDE_CODES
-from sensorloom.sources.files import shared_folder
 
 
 def measurement_source(lineitem: DataFrame) -> DataFrame:
@@ -160,13 +159,12 @@ class Tables:
             .agg(F.min("Measurement_Date").alias("Measurement_Date"))
         )
         lookups = {"Station_Code": self.station, "Item_Code": self.item}
-        return round_doubles(join_lookups(first, lookups), 3)
+        return round_doubles(join_small(first, lookups), 3)
 
     @cached_property
     def graph(self) -> Graph:
-        """The graph, with its vertex properties in the shared folder."""
-        folder = shared_folder(self.spark, "graph")
-        return build_graph(self.enriched, folder=folder, described=self.first_readings)
+        """The graph, with the properties of stations and items from the first readings."""
+        return build_graph(self.enriched, described=self.first_readings)
 
     @cached_property
     def lazy_graph(self) -> Graph:

@@ -1,6 +1,9 @@
 """Names, types and constants of the sensor tables."""
 
+from collections.abc import Mapping
+
 from pyspark.sql.types import (
+    DataType,
     DoubleType,
     IntegerType,
     StringType,
@@ -78,6 +81,21 @@ MEASUREMENT_KEY = ("Measurement_Date", "Station_Code", "Item_Code")
 # Station and item codes as bigint, for tables whose keys outgrow an int.
 WIDE_CODES = {"Station_Code": "bigint", "Item_Code": "bigint"}
 
+def enriched_schema(types: Mapping[str, str] | None = None) -> StructType:
+    """The schema of stored results; ``types`` overrides single types, as it does in ``recast``."""
+    types = types or {}
+    return StructType(
+        [
+            StructField(f.name, _parse(types[f.name]) if f.name in types else f.dataType)
+            for f in ENRICHED.fields
+        ]
+    )
+
+
+def _parse(name: str) -> DataType:
+    return StructType.fromDDL(f"c {name}").fields[0].dataType
+
+
 ENRICHED = StructType(
     [
         StructField("Item_Code", IntegerType()),

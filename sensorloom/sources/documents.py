@@ -1,10 +1,12 @@
 """Document collections kept as parquet tables."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from sensorloom.operators.dedup import first_per_key
 from sensorloom.operators.documents import insert_ignore
 
 
@@ -27,19 +29,25 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def load_collection(
-    documents: DataFrame, path: str, drop_existing: bool = True, key: str | None = "_id"
+    documents: DataFrame,
+    path: str,
+    drop_existing: bool = True,
+    key: str | None = "_id",
+    order: Sequence[str] = (),
 ) -> LoadCounts:
     """Write documents, replacing the collection or adding to it.
 
-    With a ``key``, documents whose key is already there are ignored. Both counts are observed
-    while the write runs, so nothing is computed twice.
+    With a ``key``, documents whose key is already there are ignored, and of several incoming
+    ones of a key the first by ``order`` is taken. Rows of a table have no order of their own:
+    without one the document of the least content is taken. Both counts are observed while the
+    write runs, so nothing is computed twice.
     """
     offered, taken = Observation(), Observation()
     rows = F.count(F.lit(1)).alias("rows")
     incoming = documents.observe(offered, rows)
     if key is not None:
         existing = None if drop_existing else read_collection(documents.sparkSession, path)
-        incoming = insert_ignore(incoming, existing, key)
+        incoming = insert_ignore(incoming, existing, key, order)
     incoming.observe(taken, rows).write.mode(
         "overwrite" if drop_existing else "append"
     ).parquet(path)
@@ -47,23 +55,55 @@ def load_collection(
 
 
 def load_measurements(
-    documents: DataFrame, path: str, drop_existing: bool = False, period: str = "day"
+    documents: DataFrame,
+    path: str,
+    drop_existing: bool = False,
+    period: str = "day",
+    distinct: bool = False,
 ) -> LoadCounts:
     """Write measurement documents by period of time; a repeated load repeats its rows.
 
+    With ``distinct`` one document per time, station and item is kept, the least of the incoming
+    ones, and those already stored are left out. Only the stored periods between the first and
+    the last incoming one are read for that.
+
     Choose the ``period`` ("day", "month" or "year") so that one holds at least a file's worth of
     rows. The rebalance gathers the rows of a period into few files and splits a period that is
     too large for one. Within a file rows are sorted by station, item and time, which lets the
     point query skip row groups.
     """
-    offered = Observation()
+    offered, taken = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    incoming = documents.observe(offered, rows)
+    if distinct:
+        stored = None if drop_existing else read_collection(documents.sparkSession, path)
+        incoming = _unstored(incoming, stored, documents, period).observe(taken, rows)
     dated = (
-        documents.observe(offered, F.count(F.lit(1)).alias("rows"))
-        .withColumn(period, F.to_date(F.date_trunc(period, "ts")))
+        incoming.withColumn(period, F.to_date(F.date_trunc(period, "ts")))
         .hint("rebalance", period)
         .sortWithinPartitions(period, "meta.station_code", "meta.item_code", "ts")
     )
     mode = "overwrite" if drop_existing else "append"
     dated.write.mode(mode).partitionBy(period).parquet(path)
-    rows = offered.get["rows"]
-    return LoadCounts(rows, rows)
+    attempted = offered.get["rows"]
+    return LoadCounts(attempted, taken.get["rows"] if distinct else attempted)
+
+
+def _unstored(
+    incoming: DataFrame, stored: DataFrame | None, documents: DataFrame, period: str
+) -> DataFrame:
+    """The first document per time, station and item, unless it is stored."""
+    keys = ["ts", "_station", "_item"]
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns(
+            {"_station": F.col("meta.station_code"), "_item": F.col("meta.item_code")}
+        )
+
+    fresh = first_per_key(keyed(incoming), keys)
+    if stored is not None:
+        first, last = documents.agg(F.min("ts"), F.max("ts")).first()
+        start = F.to_date(F.date_trunc(period, F.lit(first)))
+        near = stored.filter(F.col(period).between(start, F.to_date(F.lit(last))))
+        fresh = fresh.join(keyed(near).select(keys), keys, "left_anti")
+    return fresh.drop("_station", "_item")

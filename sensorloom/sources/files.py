@@ -1,6 +1,5 @@
 """CSV and parquet files, and the shared folder for intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,12 +38,10 @@ def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the one that ``spark.checkpoint.dir`` names.
 
-    A cluster must set it to storage that all executors see; only a local session falls back to
-    a temporary folder.
+    Where that is unset the session's warehouse folder takes its place; either must be storage
+    that all executors see.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="sensorloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from sensorloom.functions.columns import sanitize_columns
 from sensorloom.operators.clean import valid_measurements
+from sensorloom.operators.dedup import first_per_key
 from sensorloom.schemas import BAD_INSTRUMENT_STATUS, MEASUREMENT_KEY, TIME_FORMAT
 from sensorloom.sources.files import read_csv
 
@@ -73,10 +74,13 @@ def append_stream(
 def table_stream(
     rows: DataFrame, name: str, output_mode: str, drain: bool = False
 ) -> StreamingQuery:
-    """Keep a stream's result as a named in-memory table, for small results under inspection.
+    """Keep an aggregated stream's result as a named in-memory table, for inspection.
 
-    The table lies on the driver: use ``snapshot_stream`` or ``append_stream`` for real output.
+    The table lies on the driver, so only complete results of a bounded number of groups are
+    taken: use ``append_stream`` for rows and ``snapshot_stream`` for large totals.
     """
+    if output_mode != "complete":
+        raise ValueError("only complete results are kept in memory; rows go to append_stream")
     writer = rows.writeStream.format("memory").queryName(name).outputMode(output_mode)
     if drain:
         writer = writer.trigger(availableNow=True)
@@ -86,10 +90,18 @@ def table_stream(
 def snapshot_stream(
     totals: DataFrame, path: str, checkpoint: str, drain: bool = False
 ) -> StreamingQuery:
-    """Keep the running totals of an aggregated stream as the parquet table at ``path``."""
+    """Keep the running totals of an aggregated stream under ``path``, a folder per micro-batch.
+
+    ``read_snapshot`` gives the newest complete one. A folder is never changed while it may be
+    read: the one before the newest stays, older ones go.
+    """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        files, root = _files(batch.sparkSession, path)
+        for old in _complete_batches(files, root):
+            if old < batch_id - 1:
+                files.delete(_child(batch.sparkSession, root, f"batch={old}"), True)
 
     writer = (
         totals.writeStream.outputMode("complete")
@@ -101,6 +113,78 @@ def snapshot_stream(
     return writer.start()
 
 
+def _files(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def _child(spark: SparkSession, root, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(root, name)
+
+
+def _complete_batches(files, root) -> list[int]:
+    """The ids of the micro-batches under a folder whose writing has ended."""
+    if not files.exists(root):
+        return []
+    names = [status.getPath() for status in files.listStatus(root)]
+    return sorted(
+        int(name.getName().removeprefix("batch="))
+        for name in names
+        if name.getName().startswith("batch=") and files.exists(name.suffix("/_SUCCESS"))
+    )
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete totals that ``snapshot_stream`` has written, None before the first."""
+    batches = _complete_batches(*_files(spark, path))
+    return spark.read.parquet(f"{path}/batch={batches[-1]}") if batches else None
+
+
+def bad_records_by_time(stored: DataFrame) -> DataFrame:
+    """The bad readings that a stream has stored, in order of time."""
+    return stored.orderBy("Measurement_Date", "Station_Name", "Item_Code", "Value")
+
+
+def clean_measure_sink(
+    measurements: DataFrame,
+    path: str,
+    checkpoint: str,
+    time_format: str | None = TIME_FORMAT,
+    bad_statuses: Iterable[int] | None = BAD_INSTRUMENT_STATUS,
+    drain: bool = False,
+) -> StreamingQuery:
+    """Store the valid readings of a stream, one per time, station and item.
+
+    The first micro-batch that brings a key decides; within it the lowest reading does, as in
+    ``clean_measure``. Each micro-batch is reduced to one row per key, which combines before the
+    shuffle, and joined against the stored keys of the days it touches, so no state is kept and
+    nothing is too late. A micro-batch has its own folder and replaces what a broken attempt left.
+    """
+    valid = valid_measurements(measurements, time_format=time_format, bad_statuses=bad_statuses)
+    keys = list(MEASUREMENT_KEY)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = first_per_key(batch, keys).withColumn("day", F.to_date("Measurement_Date"))
+        files, root = _files(spark, path)
+        before = [b for b in _complete_batches(files, root) if b < batch_id]
+        if before:
+            first, last = batch.agg(
+                F.to_date(F.min("Measurement_Date")), F.to_date(F.max("Measurement_Date"))
+            ).first()
+            folders = [f"{path}/batch={b}" for b in before]
+            schema = fresh.schema
+            known = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+            known = known.filter(F.col("day").between(F.lit(first), F.lit(last)))
+            fresh = fresh.join(known.select(keys), keys, "left_anti")
+        fresh.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
+
+    writer = valid.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    if drain:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def clean_measure_stream(
     measurements: DataFrame,
     watermark: str | None,

@@ -146,3 +146,20 @@ def test_first_per_key_orders_and_directions(spark):
     assert sorted(first, key=str) == sorted([(1, 1, "y"), (None, 3, "n")], key=str)
     assert sorted(last, key=str) == sorted([(1, 2, "x"), (None, 3, "n")], key=str)
     assert first_per_key(df.select("k"), ["k"]).count() == 2
+
+
+def test_report_adds_up_for_padded_times_and_one_shot_statuses(spark):
+    rows = [(" 2017-01-01 00:00 ", 1, 1, 1.0, 0), ("2017-01-01 01:00", 1, 1, 2.0, 4), ("x", 1, 1, 3.0, 0)]
+    raw = spark.createDataFrame(
+        rows,
+        "Measurement_Date string, Station_Code int, Item_Code int, Average_Value double, Instrument_Status int",
+    )
+    once = (status for status in (2, 4, 8, 9))
+    clean = clean_measure(raw, bad_statuses=once).count()
+    stations = spark.createDataFrame([], "Station_Code int, Station_Name string, Latitude double, Longitude double")
+    items = spark.createDataFrame([], "Item_Code int, Item_Name string, Unit string")
+    report = clean_report(raw, stations, items, bad_statuses=(s for s in (2, 4, 8, 9)))
+    lines = {r["Outcome"]: r["Rows"] for r in report.filter("Table = 'measurement'").collect()}
+    assert lines["Clean"] == clean == 1
+    assert lines.pop("Raw") == sum(lines.values()) == 3
+    assert detect_errors(raw, bad_statuses=(s for s in (4,))).count() == 3

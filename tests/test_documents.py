@@ -139,6 +139,26 @@ def test_load_replaces_or_adds(spark, items, tmp_path):
     assert read_collection(spark, path).count() == 4
 
 
+def test_first_in_load_order_stays(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (2, "z", 3)], "_id int, name string, seq int")
+    path = str(tmp_path / "ordered")
+    assert load_collection(rows, path, order=["seq"]) == LoadCounts(3, 2)
+    assert {r["_id"]: r["name"] for r in read_collection(spark, path).collect()} == {1: "b", 2: "z"}
+
+
+def test_measurements_are_added_once(spark, measurements, tmp_path):
+    path = str(tmp_path / "once")
+    some = measurements.limit(2)
+    first = load_measurements(some, path, period="month", distinct=True)
+    assert first.attempted == 2
+    both = measurements.union(measurements)
+    second = load_measurements(both, path, period="month", distinct=True)
+    stored = read_collection(spark, path)
+    keys = stored.select("ts", "meta").distinct().count()
+    assert second.attempted == 10 and first.inserted + second.inserted == stored.count() == keys
+    assert load_measurements(both, path, period="month", distinct=True).inserted == 0
+
+
 def test_measurements_are_appended_by_day(
     spark, measurements, items, stations, tmp_path, capsys
 ):

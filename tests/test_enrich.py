@@ -3,9 +3,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sensorloom.operators import joins
 from sensorloom.operators.enrich import enrich_measure
-from sensorloom.operators.joins import fits_broadcast, frequent_values, join_lookups
+from sensorloom.operators.joins import (
+    _salted_join,
+    fits_broadcast,
+    frequent_values,
+    join_lookups,
+)
 from sensorloom.operators.quality import RULES, validation_details, validation_summary
 
 T = datetime(2020, 1, 1, 5)
@@ -109,10 +113,29 @@ def test_size_check_counts_rows_and_bytes(spark):
     assert fits_broadcast(nested, max_bytes=29000) == [False]
 
 
-def test_hot_list_is_bounded_and_starts_with_the_hottest(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_KEYS", 2)
+def test_hot_keys_are_bounded_by_their_share(spark):
     df = spark.range(100).select(F.sqrt("id").cast("int").alias("k"))
-    assert frequent_values(df, "k", 5) == [9, 8]
+    assert frequent_values(df, "k", 5) == [2, 3, 4, 5, 6, 7, 8, 9]
+    assert frequent_values(df, "k", 5, share=0.16) == [8, 9]
+    assert frequent_values(df.limit(0), "k", 1) == []
+
+
+def test_one_pass_over_the_fact_with_hot_lookup_rows_above_the_bound(spark):
+    fact, lookup = skewed(spark)
+    joined = join_lookups(fact, {"k": lookup}, max_rows=0, hot_rows=1)
+    expected = fact.join(lookup, "k", "left")
+    assert joined.exceptAll(expected).count() == expected.exceptAll(joined).count() == 0
+    hot = _salted_join(fact, lookup, "k", [7], salts=16).withColumn("p", F.spark_partition_id())
+    most = hot.filter("k = 7 OR k IS NULL").groupBy("p").count().agg(F.max("count")).first()[0]
+    assert most < 3000  # of 5,200 hot and NULL rows
+    assert joined.columns == ["k", "id", "v"]
+
+
+def test_salt_column_clashes_with_none(spark):
+    fact = spark.range(9).select(F.lit(1).alias("k"), F.col("id").alias("_salt"))
+    lookup = spark.sql("SELECT 1 AS k, 'x' AS _salt_")
+    joined = join_lookups(fact, {"k": lookup}, max_rows=0, hot_rows=1)
+    assert joined.columns == ["k", "_salt", "_salt_"] and joined.count() == 9
 
 
 def test_validation(tables):

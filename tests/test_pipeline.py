@@ -16,9 +16,10 @@ from sensorloom.operators.graph import (
 from sensorloom.operators.reports import bad_records, item_status_stats
 from sensorloom.plans import pipeline
 from sensorloom.plans.tables import Tables, item_source, measurement_text, station_source
-from sensorloom.schemas import ENRICHED, RULES
+from sensorloom.schemas import ENRICHED, GRADES, RULES, WIDE_CODES
 from sensorloom.sources.documents import read_collection
 from sensorloom.sources.graphs import read_edges, read_graph
+from sensorloom.streaming.streams import read_snapshot
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -57,6 +58,64 @@ def test_process(spark, work, tmp_path_factory):
         assert summary[clean_rule] == audit.details[clean_rule].count() == 0
 
 
+@pytest.mark.parametrize("store_format", ["parquet", "csv"])
+@pytest.mark.parametrize("change", ["missing", "extra", "reordered"])
+def test_stored_layout_is_fixed(spark, work, tmp_path, change, store_format):
+    folder, _ = work
+    for name, last in (("station", "Address"), ("item", "Unit of measurement")):
+        rows = spark.read.option("header", True).csv(f"{folder}/{name}")
+        if change == "missing":
+            rows = rows.drop(last) if name == "station" else rows
+        elif change == "extra":
+            rows = rows.select(rows.columns[0], F.lit("City").alias("Owner" + name), *rows.columns[1:])
+        else:
+            rows = rows.select(*reversed(rows.columns))
+        rows.coalesce(1).write.option("header", True).csv(f"{tmp_path}/{name}")
+    store = pipeline.Store(store_format)
+    audit = pipeline.process(
+        spark, f"{folder}/landed", f"{tmp_path}/station", f"{tmp_path}/item", f"{tmp_path}/out", store=store
+    )
+    stored = pipeline.read_processed(spark, f"{tmp_path}/out", store)
+    expected = pipeline.read_processed(spark, f"{folder}/out")
+    if change == "missing":
+        expected = expected.withColumn("Address", F.lit(None).cast("string"))
+    assert stored.schema == ENRICHED
+    assert stored.exceptAll(expected).count() == expected.exceptAll(stored).count() == 0
+    assert {r["Status"] for r in stored.select("Status").distinct().collect()} <= set(GRADES)
+    assert audit.summary.count() == len(RULES)
+
+
+def test_csv_of_another_layout_is_refused(spark, work, tmp_path):
+    folder, _ = work
+    rows = pipeline.read_processed(spark, f"{folder}/out").drop("Address")
+    rows.write.option("header", True).csv(f"{tmp_path}/out")
+    with pytest.raises(Exception, match="(?i)header"):
+        pipeline.read_processed(spark, f"{tmp_path}/out", pipeline.Store("csv")).collect()
+
+
+def test_wide_codes_survive(spark, work, tmp_path):
+    folder, _ = work
+    code = 3_000_000_000
+    landed = spark.read.parquet(f"{folder}/landed").limit(1)
+    one = landed.select(
+        F.lit("2020-01-01 00:00").alias("Measurement date"),
+        F.lit("1").alias("Station code"),
+        F.lit(str(code)).alias("Item code"),
+        F.lit("1.5").alias("Average value"),
+        F.lit("0").alias("Instrument status"),
+    )
+    one.write.parquet(f"{tmp_path}/landed")
+    store = pipeline.Store(types=WIDE_CODES)
+    args = (f"{tmp_path}/landed", f"{folder}/station", f"{folder}/item", f"{tmp_path}/out")
+    pipeline.process(spark, *args, bad_statuses=(x for x in (2, 4)), store=store)
+    stored = pipeline.read_processed(spark, f"{tmp_path}/out", store)
+    assert [r["Item_Code"] for r in stored.collect()] == [code]
+    pipeline.load_documents(spark, f"{tmp_path}/out", *args[1:3], f"{tmp_path}/docs", store=store)
+    loaded = read_collection(spark, f"{tmp_path}/docs/measurements")
+    assert loaded.first()["meta"]["item_code"] == code
+    assert pipeline.load_graph(spark, f"{tmp_path}/out", f"{tmp_path}/g", store=store).item.count() == 1
+
+
 def test_documents(spark, work, tmp_path):
     folder, _ = work
     args = (spark, f"{folder}/out", f"{folder}/station", f"{folder}/item", str(tmp_path))
@@ -110,7 +169,7 @@ def test_watch(spark, work, tmp_path):
     bad = spark.read.parquet(f"{tmp_path}/bad_records")
     assert bad.exceptAll(bad_records(rows)).count() == 0
     assert bad.count() == bad_records(rows).count()
-    totals = spark.read.parquet(f"{tmp_path}/item_status").select("Item_Name", "Status", "Count")
+    totals = read_snapshot(spark, f"{tmp_path}/item_status").select("Item_Name", "Status", "Count")
     expected = item_status_stats(rows).select("Item_Name", "Status", "Count")
     assert sorted(totals.collect(), key=str) == sorted(expected.collect(), key=str)
 

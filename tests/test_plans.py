@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from sensorloom.operators.documents import measurement_documents
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.operators.reports import bad_records
+from sensorloom.plans import registry
 from sensorloom.plans.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -19,9 +19,9 @@ def formatted(df, capsys):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_and_no_cross_join(spark, capsys, name):
-    plan = formatted(contract.queries()[name](spark, FOLDER), capsys)
+    plan = formatted(registry.queries()[name](spark, FOLDER), capsys)
     assert not any(node in plan for node in (*PYTHON_NODES, "CartesianProduct", "NestedLoop"))
 
 
@@ -42,6 +42,16 @@ def test_large_lookups_are_shuffled(spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def scans(df, column):
+    """How often the plan reads a table with the column."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum("Relation" in line and f"{column}#" in line for line in plan.splitlines())
+
+
+def test_large_lookups_read_the_fact_once(spark):
+    assert scans(registry.queries()["enrich_measure_shuffled"](spark, FOLDER), "l_orderkey") == 1
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path, capsys):
     t = Tables(spark, FOLDER)
     path = str(tmp_path / "enriched")
