@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows of about this many bytes of text are worked on at a time inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,12 +26,25 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written once to the shared folder and read back, so that lost executors cost no
-    recomputation and no lineage grows."""
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    recomputation and no lineage grows. Shuffle files of the write are of no use afterwards and
+    are dropped with it."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def text_slices(
@@ -111,3 +124,66 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the named columns; others, whatever their names, are left out."""
     return df.select(*[F.col(f"`{name}`") for name in columns])
+
+
+def _slots(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values.view(np.uint64) * np.uint64(BASE)) >> np.uint64(64 - bits)
+
+
+class HashFilter:
+    """A set of 64-bit hashes as a table of bits: false alarms are possible, misses are not."""
+
+    def __init__(self, bits: int, words: np.ndarray) -> None:
+        self.bits, self.words = bits, words
+
+    def __contains__(self, value: int) -> bool:
+        return bool(self.has(np.array([value]))[0])
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        slot = _slots(values, self.bits)
+        word = self.words[(slot >> np.uint64(6)).astype(np.int64)]
+        return (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def hash_filter(hashes: DataFrame, known: int, least: int = 20, most: int = 30) -> HashFilter:
+    """A filter of a column of about ``known`` hashes: eight bits for each, at least 2 ** least
+    and at most 2 ** most in all. Beyond that there are more false alarms, never misses. Tasks
+    send words of bits, which combine before they are gathered."""
+    bits = min(max(least, int(known * 8).bit_length()), most)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.unique(_slots(np.asarray(batch.column(0)), bits))
+            if len(slot):
+                word = (slot >> np.uint64(6)).astype(np.int64)
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                merged = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word[first]), pa.array(merged.view(np.int64))], names=["word", "bits"]
+                )
+
+    filled = (
+        hashes.mapInArrow(words, "word bigint, bits bigint")
+        .groupBy("word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[np.asarray(filled["word"])] = np.asarray(filled["bits"]).view(np.uint64)
+    return HashFilter(bits, table)
+
+
+def counted_hashes(texts: DataFrame, hashes_of, name: str) -> DataFrame:
+    """(name, count): in how many texts each hash of ``hashes_of`` occurs. ``hashes_of`` gives the
+    hashes of a column of texts, each once per text. Equal hashes of a batch are counted before
+    the shuffle, so that one that all texts have is no burden."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [hashes_of(part.column(0)) for part in text_slices(batch, "text")]
+            if parts:
+                values, counts = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], names=[name, "count"])
+
+    rows = texts.select("text").mapInArrow(run, f"{name} bigint, count bigint")
+    return rows.repartition(name).groupBy(name).agg(F.sum("count").alias("count"))

@@ -9,12 +9,12 @@ from sensorloom.llm.common import stored
 MOST_ROUNDS = 60
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"),
-    ).first()
-    return row["n"], row["s"]
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node that has a smaller neighbour has just one, which has none itself."""
+    parents = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    if not parents.filter("n > 1").isEmpty():
+        return False
+    return edges.join(parents.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,33 +32,24 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = _signature(current)
     for _ in range(MOST_ROUNDS):
-        if before[0] == 0:
+        if _settled(current):
             break
         both = current.union(current.select(F.col("b"), F.col("a")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = (
-            current.union(current.select(F.col("b"), F.col("a")))
-            .join(least, "a")
-            .filter("b > a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(least.filter("m < a").select("a", F.col("m").alias("b")))
-            .distinct()
+        large = stored(
+            both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")),
+            "edges",
         )
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         current = stored(
-            large.join(small_least, "a")
+            large.join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(small_least.select("a", F.col("m").alias("b")))
+            .union(least.select("a", F.col("m").alias("b")))
             .filter("a != b")
             .distinct(),
             "edges",
         )
-        now = _signature(current)
-        if now == before:
-            break
-        before = now
     else:
         raise RuntimeError("components did not settle")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -5,9 +5,9 @@ so that two similar sets share a shingle of their prefixes. Sets with the same p
 one group: groups are paired through shared prefix shingles, pairs are filtered by size and
 position, and what is left is expanded to its members and verified on the whole sets.
 
-Pairs are looked for twice. First every group meets only the least group of each of its prefix
-shingles, and every member the least member of its group; the components of what is verified are
-found. Then pairs are formed across components alone. A link within a component adds nothing to the
+Pairs are looked for twice. First every group meets one other, of the least groups of its prefix
+shingles the one it shares most with, and every member the least member of its group; the components
+of what is verified are found. Then pairs are formed across components alone. A link within a component adds nothing to the
 result, so none is lost, and a large group of near copies costs about as many pairs as members.
 """
 
@@ -21,6 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.llm.common import (
+    HashFilter,
+    counted_hashes,
+    hash_filter,
     lower_ascii,
     mix64,
     require,
@@ -36,8 +39,6 @@ SIMILAR = 80  # in hundredths
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-# Bits of the filter of shingles that several sets may have: eight for each, within these bounds.
-LEAST_BITS, MOST_BITS = 20, 30
 # The most frequent shingles, at most so many, are ordered by how frequent they are.
 FREQUENT = 1 << 20
 
@@ -73,35 +74,17 @@ def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.n
     return value, np.searchsorted(text, np.arange(len(counts) + 1))
 
 
-def _shingle_rows(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                values, _ = shingle_sets(part.column(0), words)
-                yield pa.RecordBatch.from_arrays([pa.array(values)], names=["shingle"])
-
-    return run
-
-
-def _slot(values: np.ndarray, bits: int) -> np.ndarray:
-    return (values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-
-
 @dataclass(frozen=True)
 class Order:
     """The common order of shingles: those of one set, those of several, the frequent ones by
     their counts. A shingle of one set may be taken for one of several, never the reverse."""
 
-    bits: int
-    words: np.ndarray
+    several: HashFilter
     frequent: np.ndarray
     counts: np.ndarray
 
     def keys(self, values: np.ndarray) -> np.ndarray:
-        slot = _slot(values, self.bits)
-        level = (
-            self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))
-        ).astype(np.int64) & 1
+        level = self.several.has(values).astype(np.int64)
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, values), len(self.frequent) - 1)
             level = np.where(self.frequent[at] == values, self.counts[at] + 1, level)
@@ -111,12 +94,7 @@ class Order:
 def shingle_order(texts: DataFrame, words: int = WORDS) -> Order:
     """Count the sets of every shingle, of all documents; the counts combine before the shuffle.
     What is sent on is a filter of bounded size and a bounded list of the most frequent."""
-    counts = (
-        texts.select("text")
-        .mapInArrow(_shingle_rows(words), "shingle bigint")
-        .groupBy("shingle")
-        .count()
-    )
+    counts = counted_hashes(texts, lambda column: shingle_sets(column, words)[0], "shingle")
     several = stored(counts.filter("count > 1"), "shingles")
     levels = (
         several.groupBy(F.floor(F.log2(F.col("count").cast("double"))).cast("int").alias("level"))
@@ -124,38 +102,19 @@ def shingle_order(texts: DataFrame, words: int = WORDS) -> Order:
         .collect()
     )
     known = sum(row["count"] for row in levels)
-    bits = min(max(LEAST_BITS, int(known * 8).bit_length()), MOST_BITS)
     least, kept = 3, known
     while kept > FREQUENT or least == 3:
         kept = sum(row["count"] for row in levels if row["level"] >= least)
         least += 1
     least -= 1
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = np.unique(_slot(np.asarray(batch.column(0)), bits))
-            if len(slot):
-                word = (slot >> np.uint64(6)).astype(np.int64)
-                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-                merged = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word[first]), pa.array(merged.view(np.int64))], names=["word", "bits"]
-                )
-
-    filled = (
-        several.select("shingle")
-        .mapInArrow(slots, "word bigint, bits bigint")
-        .groupBy("word")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    table[np.asarray(filled["word"])] = np.asarray(filled["bits"]).view(np.uint64)
     often = several.filter(F.col("count") >= 1 << least).toArrow()
     values = np.asarray(often["shingle"], dtype=np.int64)
     by_value = np.argsort(values)
     return Order(
-        bits, table, values[by_value], np.asarray(often["count"], dtype=np.int64)[by_value]
+        hash_filter(several.select("shingle"), known),
+        values[by_value],
+        np.asarray(often["count"], dtype=np.int64)[by_value],
     )
 
 
@@ -233,9 +192,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 
 
 def _fits(similar: int):
-    """Whether the sizes, and the places of a shared prefix shingle, allow enough overlap."""
+    """Whether the sizes, and the places of a shared prefix shingle, allow enough overlap.
+
+    The place counts as that of the first shingle the two sets share: nothing before it can add to
+    the overlap. A similar pair passes at its first shared shingle, so none is lost.
+    """
     a, b = F.col("n_a"), F.col("n_b")
-    most = F.least("at_a", "at_b") + F.least(a - F.col("at_a"), b - F.col("at_b"))
+    most = F.least(a - F.col("at_a"), b - F.col("at_b"))
     return (
         (a * 100 >= b * similar)
         & (b * 100 >= a * similar)
@@ -291,7 +254,11 @@ def similar_documents(
         .join(first, "shingle")
         .select("b", "n_b", "at_b", F.col("least.id").alias("a"), F.col("least.n").alias("n_a"), F.col("least.at").alias("at_a"))
         .filter((F.col("a") != F.col("b")) & _fits(similar))
-        .select("a", "b")
+        .groupBy("b", "a")
+        .count()
+        .groupBy("b")
+        .agg(F.max(F.struct("count", (-F.col("a")).alias("minus"))).alias("best"))
+        .select((-F.col("best.minus")).alias("a"), "b")
     )
     tried = stored(star.union(in_group).distinct(), "pairs")
     links = stored(_verified(tried, sets, similar), "links")
@@ -334,10 +301,29 @@ def similar_documents(
         .distinct()
         .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    more = _verified(across, sets, similar)
-    final = components(links.union(more).union(same))
+    # What is linked across components joins them as wholes.
+    c = found.withColumnRenamed("node", "a").withColumnRenamed("component", "c_a")
+    d = found.withColumnRenamed("node", "b").withColumnRenamed("component", "c_b")
+    more = _verified(across, sets, similar).join(c, "a", "left").join(d, "b", "left")
+    more = more.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    # A doc_id of several sets joins their components.
+    several = same.groupBy("a").agg(F.min("b").alias("first"), F.max("b").alias("last"))
+    several = same.join(several.filter("first != last").select("a", "first"), "a")
+    several = several.select(F.col("first").alias("a"), "b")
+    several = several.join(c, "a", "left").join(d, "b", "left")
+    joined = components(
+        more.union(several.select(F.coalesce("c_a", "a"), F.coalesce("c_b", "b")))
+    )
+    final = (
+        same.select(F.col("a").alias("doc_id"), F.col("b").alias("node"))
+        .join(found, "node", "left")
+        .select("doc_id", F.coalesce("component", "node").alias("node"))
+        .join(joined, "node", "left")
+        .groupBy("doc_id")
+        .agg(F.min(F.coalesce("component", "node")).alias("component"))
+    )
     return (
         made.select("doc_id", "n_shingles")
-        .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .join(final, "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
