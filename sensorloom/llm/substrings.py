@@ -11,12 +11,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.llm.common import (
+    INVERSE,
+    HashFilter,
+    counted_hashes,
+    hash_filter,
     mix64,
     powers,
     prefix_sums,
@@ -24,17 +29,15 @@ from sensorloom.llm.common import (
     stored,
     text_bytes,
     text_slices,
-    INVERSE,
 )
 
 MATCH = 50
-GRAM = 16
+GRAM = 24
 REACH = MATCH - GRAM + 1  # grams in a string
 BEFORE = REACH - 1  # bytes of surroundings before an anchor
-# Bits of the filter of repeated anchors: eight for each, within these bounds.
-LEAST_BITS, MOST_BITS = 20, 30
-# An anchor of more occurrences than this share of all, and than so many, is routed by windows.
-HOT_SHARE, HOT_LEAST = 1e-4, 2000
+# An anchor in more texts than this share of all occurrences, and than so many, is routed by the
+# strings around it.
+HOT_SHARE, HOT_LEAST = 1e-3, 20_000
 BLOCK_ROWS = 20_000
 
 
@@ -66,154 +69,152 @@ def anchors(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return places, grams[places].view(np.int64)
 
 
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64), pa.int64())
-
-
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct anchors of each text."""
-    for batch in batches:
-        for part in text_slices(batch, "text"):
-            raw, offsets = text_bytes(part.column(0))
-            places, grams = anchors(raw, offsets)
-            text = np.searchsorted(offsets, places, side="right")
-            order = np.lexsort((grams, text))
-            grams, text = grams[order], text[order]
-            fresh = np.ones(len(grams), bool)
-            fresh[1:] = (grams[1:] != grams[:-1]) | (text[1:] != text[:-1])
-            yield pa.RecordBatch.from_arrays([_signed(grams[fresh])], names=["anchor"])
-
-
-def _slot(anchor: np.ndarray, bits: int) -> np.ndarray:
-    return (anchor.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+def _text_anchors(column: pa.Array) -> np.ndarray:
+    """The anchors of texts, each once per text."""
+    raw, offsets = text_bytes(column)
+    places, grams = anchors(raw, offsets)
+    text = np.searchsorted(offsets, places, side="right")
+    order = np.lexsort((grams, text))
+    grams, text = grams[order], text[order]
+    fresh = np.ones(len(grams), bool)
+    fresh[1:] = (grams[1:] != grams[:-1]) | (text[1:] != text[:-1])
+    return grams[fresh]
 
 
+@dataclass(frozen=True)
 class Repeated:
-    """Which anchors may occur in several texts (a filter: false alarms are possible, misses are
-    not), and which are hot."""
+    """Which anchors may occur in several texts, and which of them are hot."""
 
-    def __init__(self, bits: int, words: np.ndarray, hot: np.ndarray) -> None:
-        self.bits, self.words, self.hot = bits, words, hot
-
-    def has(self, anchor: np.ndarray) -> np.ndarray:
-        slot = _slot(anchor, self.bits)
-        return (self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    anchors: HashFilter
+    hot: np.ndarray
 
 
 def repeated_anchors(texts: DataFrame) -> Repeated:
-    """Count the texts of every anchor and keep those of two or more as a filter of bounded size.
-    The counts combine before the shuffle."""
-    counts = (
-        texts.select("text").mapInArrow(_anchor_rows, "anchor bigint").groupBy("anchor").count()
-    )
-    twice = stored(counts.filter("count > 1"), "anchors")
+    """Count the texts of every anchor, over all documents. What is sent on is a filter of bounded
+    size and the hot anchors, of which there are at most 1 / HOT_SHARE."""
+    twice = stored(counted_hashes(texts, _text_anchors, "anchor").filter("count > 1"), "anchors")
     known, total = twice.agg(F.count(F.lit(1)), F.sum("count")).first()
-    bits = min(max(LEAST_BITS, int(known * 8).bit_length()), MOST_BITS)
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = np.unique(_slot(np.asarray(batch.column(0)), bits))
-            word, bit = (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63))
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else []
-            merged = np.bitwise_or.reduceat(bit, first) if len(word) else bit
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word[first] if len(word) else word), _signed(merged)], names=["word", "bits"]
-            )
-
-    filled = (
-        twice.select("anchor")
-        .mapInArrow(slots, "word bigint, bits bigint")
-        .groupBy("word")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[np.asarray(filled["word"])] = np.asarray(filled["bits"]).view(np.uint64)
     least = max(HOT_LEAST, int((total or 0) * HOT_SHARE))
-    # At most 1 / HOT_SHARE anchors can be above the share.
     hot = twice.filter(F.col("count") > least).select("anchor").toArrow()["anchor"]
-    return Repeated(bits, words, np.sort(np.asarray(hot, dtype=np.int64)))
+    return Repeated(
+        hash_filter(twice.select("anchor"), known), np.sort(np.asarray(hot, dtype=np.int64))
+    )
 
 
-def _surroundings(sent):
-    """Rows of two kinds: occurrences (doc, text, low, high, place), and for each slice of texts
-    the distinct surroundings (place, anchor, lead, body) with their least doc."""
+class Surroundings:
+    """The surroundings of the repeated anchors of texts that lie end to end: of each the text,
+    its first and last byte, the anchor, and the place, a hash of all that makes it equal to
+    another."""
+
+    def __init__(self, column: pa.Array, repeated: Repeated) -> None:
+        raw, offsets = text_bytes(column)
+        places, grams = anchors(raw, offsets)
+        some = repeated.anchors.has(grams)
+        places, grams = places[some], grams[some]
+        text = np.searchsorted(offsets, places, side="right") - 1
+        low = np.maximum(places - BEFORE, offsets[text])
+        high = np.minimum(places + MATCH, offsets[text + 1])
+        self.raw, self.offsets = raw, offsets
+        self.text, self.low, self.high, self.anchor = text, low, high, grams
+        lead = places - low
+        sums, inverse = prefix_sums(raw), powers(INVERSE, len(raw) + 1)
+        if len(repeated.hot) and len(places):
+            lead = self._by_window(repeated.hot, lead, sums, inverse)
+        low, high = self.low, self.high
+        self.place = mix64(
+            mix64((sums[high] - sums[low]) * inverse[low])
+            + mix64(((high - low) * 64 + lead).astype(np.uint64))
+            + self.anchor.view(np.uint64)
+        ).view(np.int64)
+
+    def _by_window(self, hot, lead, sums, inverse) -> np.ndarray:
+        """Replace the surroundings of hot anchors by their strings of MATCH bytes, each with its
+        own hash as anchor, so that different strings go to different tasks."""
+        is_hot = hot[np.minimum(np.searchsorted(hot, self.anchor), len(hot) - 1)] == self.anchor
+        cold = ~is_hot
+        count = (self.high - self.low - MATCH + 1)[is_hot]
+        skipped = np.repeat(np.cumsum(count) - count, count)
+        begin = np.repeat(self.low[is_hot], count) + np.arange(count.sum()) - skipped
+        own = mix64((sums[begin + MATCH] - sums[begin]) * inverse[begin] + np.uint64(1))
+        self.text = np.concatenate([self.text[cold], np.repeat(self.text[is_hot], count)])
+        self.low = np.concatenate([self.low[cold], begin])
+        self.high = np.concatenate([self.high[cold], begin + MATCH])
+        self.anchor = np.concatenate([self.anchor[cold], own.view(np.int64)])
+        return np.concatenate([lead[cold], np.zeros(len(begin), np.int64)])
+
+
+_PLACES = "doc bigint, print bigint, low int, high int, anchor bigint, place bigint"
+
+
+def _place_rows(sent):
+    """A row for each surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated: Repeated = sent.value
         for batch in batches:
             for part in text_slices(batch, "text"):
-                raw, offsets = text_bytes(part.column(1))
-                docs = np.asarray(part.column(0), dtype=np.int64)
-                prints = np.asarray(part.column(2), dtype=np.int64)
-                places, grams = anchors(raw, offsets)
-                some = repeated.has(grams)
-                places, grams = places[some], grams[some]
-                text = np.searchsorted(offsets, places, side="right") - 1
-                low = np.maximum(places - BEFORE, offsets[text])
-                high = np.minimum(places + MATCH, offsets[text + 1])
-                lead = places - low
-                if len(repeated.hot) and len(places):
-                    low, high, lead, grams, text = _by_window(
-                        repeated.hot, raw, low, high, lead, grams, text
-                    )
-                yield from _two_kinds(raw, offsets, docs, prints, low, high, lead, grams, text)
+                found = Surroundings(part.column(1), sent.value)
+                docs, prints = (np.asarray(part.column(i), dtype=np.int64) for i in (0, 2))
+                begin = found.offsets[found.text]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(docs[found.text]),
+                        pa.array(prints[found.text]),
+                        pa.array(found.low - begin, pa.int32()),
+                        pa.array(found.high - begin, pa.int32()),
+                        pa.array(found.anchor),
+                        pa.array(found.place),
+                    ],
+                    names=[field.split(" ")[0] for field in _PLACES.split(", ")],
+                )
 
     return run
 
 
-def _by_window(hot, raw, low, high, lead, grams, text):
-    """Replace each surroundings of a hot anchor by its strings of MATCH bytes, each with its own
-    hash as anchor, so that different strings go to different tasks."""
-    is_hot = hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams
-    cold = ~is_hot
-    count = (high - low - MATCH + 1)[is_hot]
-    begin = np.repeat(low[is_hot], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    sums, inverse = prefix_sums(raw), powers(INVERSE, len(raw) + 1)
-    own = mix64((sums[begin + MATCH] - sums[begin]) * inverse[begin] + np.uint64(1)).view(np.int64)
-    return (
-        np.concatenate([low[cold], begin]),
-        np.concatenate([high[cold], begin + MATCH]),
-        np.concatenate([lead[cold], np.zeros(len(begin), np.int64)]),
-        np.concatenate([grams[cold], own]),
-        np.concatenate([text[cold], np.repeat(text[is_hot], count)]),
-    )
+_BODIES = "anchor bigint, place bigint, doc bigint, body binary"
 
 
-_ROWS = "doc bigint, print bigint, low bigint, high bigint, place bigint, anchor bigint, lead bigint, body binary"
+def _body_rows(sent):
+    """The bytes of the surroundings whose anchor has others too, with the least doc of a batch. A
+    task sends one again only where a later batch has a smaller doc."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated, mixed = sent.value
+        least: dict[int, int] = {}
+        for batch in batches:
+            parts, bodies = [], []
+            for part in text_slices(batch, "text"):
+                found = Surroundings(part.column(1), repeated)
+                docs = np.asarray(part.column(0), dtype=np.int64)[found.text]
+                some = np.flatnonzero(mixed.has(found.anchor))
+                some = some[np.lexsort((docs[some], found.place[some]))]
+                place = found.place[some]
+                some = some[np.append(True, place[1:] != place[:-1])[: len(some)]]
+                blob = found.raw.tobytes()
+                bodies += [blob[a:b] for a, b in zip(found.low[some].tolist(), found.high[some].tolist())]
+                parts.append(np.stack([found.anchor[some], found.place[some], docs[some]]))
+            if not bodies:
+                continue
+            anchor, place, doc = np.concatenate(parts, axis=1)
+            order = np.lexsort((doc, place))
+            order = order[np.append(True, place[order][1:] != place[order][:-1])[: len(order)]]
+            new = []
+            for at, name, own in zip(order.tolist(), place[order].tolist(), doc[order].tolist()):
+                known = least.get(name)
+                if known is None or own < known:
+                    least[name] = own
+                    new.append(at)
+            order = np.array(new, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(anchor[order]),
+                    pa.array(place[order]),
+                    pa.array(doc[order]),
+                    pa.array([bodies[i] for i in order.tolist()], pa.binary()),
+                ],
+                names=["anchor", "place", "doc", "body"],
+            )
 
-def _two_kinds(raw, offsets, docs, prints, low, high, lead, grams, text):
-    if not len(low):
-        return
-    sums, inverse = prefix_sums(raw), powers(INVERSE, len(raw) + 1)
-    size = high - low
-    place = mix64(
-        mix64((sums[high] - sums[low]) * inverse[low])
-        + mix64((size * 64 + lead).astype(np.uint64))
-        + grams.view(np.uint64)
-    ).view(np.int64)
-    begin = offsets[text]
-    nothing = pa.nulls(len(low), pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(docs[text]), pa.array(prints[text]), pa.array(low - begin), pa.array(high - begin),
-            pa.array(place), nothing, nothing, pa.nulls(len(low), pa.binary()),
-        ],
-        names=[field.split(" ")[0] for field in _ROWS.split(", ")],
-    )
-    order = np.lexsort((docs[text], place))
-    first = order[np.append(True, place[order][1:] != place[order][:-1])]
-    blob = raw.tobytes()
-    bodies = [blob[a:b] for a, b in zip(low[first].tolist(), high[first].tolist())]
-    nothing = pa.nulls(len(first), pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(docs[text][first]), nothing, nothing, nothing, pa.array(place[first]),
-            pa.array(grams[first]), pa.array(lead[first]), pa.array(bodies, pa.binary()),
-        ],
-        names=[field.split(" ")[0] for field in _ROWS.split(", ")],
-    )
+    return run
 
 
 def suffix_order(texts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,9 +266,19 @@ def _covered(doc, bodies):
     flat = np.frombuffer(b"".join(bodies), np.uint8)
     inside = np.arange(width)[None, :] < sizes[:, None]
     texts[inside] = flat
-    count = sizes - MATCH + 1
+    count = np.maximum(sizes - MATCH + 1, 0)
     row = np.repeat(np.arange(len(bodies)), count)
     column = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    # A string that occurs once here has no earlier copy and needs no place in the order.
+    sums, inverse = prefix_sums(flat), powers(INVERSE, len(flat) + 1)
+    begin = (np.cumsum(sizes) - sizes)[row] + column
+    _, again, times = np.unique(
+        (sums[begin + MATCH] - sums[begin]) * inverse[begin], return_inverse=True, return_counts=True
+    )
+    some = times[again.reshape(-1)] > 1
+    row, column = row[some], column[some]
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     order, common = suffix_order(texts, (row, column))
     # Equal strings of different anchor groups may meet in a block; they match all the same.
     factor = np.zeros(len(order), np.int64)
@@ -281,33 +292,25 @@ def _covered(doc, bodies):
     return rows[begin], column[hit][begin], column[hit][end]
 
 
-_FOUND = "place bigint, least bigint, first bigint, last bigint"
+_FOUND = "place bigint, first int, last int"
 
 
 def _factor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor and place. Rows of one place become one with the least doc as they
     stream by; blocks of whole anchor groups are then indexed."""
-    held: list[tuple] = []
 
     def done(rows: list[tuple]) -> pa.RecordBatch:
-        anchor, place, doc, bodies = zip(*rows)
-        anchor, place, doc = (np.array(x, dtype=np.int64) for x in (anchor, place, doc))
-        alone = np.ones(len(rows), bool)
-        alone[1:] &= anchor[1:] != anchor[:-1]
-        alone[:-1] &= anchor[1:] != anchor[:-1]
-        first, last = np.full(len(rows), -1), np.full(len(rows), -1)
-        group = np.flatnonzero(~alone)
-        if len(group):
-            hit, a, b = _covered(doc[group], [bodies[i] for i in group.tolist()])
-            first[group[hit]], last[group[hit]] = a, b
+        place, doc = (np.array([row[i] for row in rows], dtype=np.int64) for i in (1, 2))
+        hit, first, last = _covered(doc, [row[3] for row in rows])
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (place, doc, first, last)], names=["place", "least", "first", "last"]
+            [pa.array(place[hit]), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+            names=["place", "first", "last"],
         )
 
+    held: list[tuple] = []
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(4)]
-        for row in zip(*columns):
-            if held and held[-1][1] == row[1] and held[-1][0] == row[0]:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if held and held[-1][:2] == row[:2]:
                 if row[2] < held[-1][2]:
                     held[-1] = row
                 continue
@@ -320,40 +323,52 @@ def _factor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
-    """(doc_id, print, spans): for each document with something to remove the sorted, disjoint
-    byte spans (low, high). ``documents`` has doc_id, text and print, a hash of the text."""
+    """(doc_id, print, spans): for each document with something to remove its byte spans
+    (low, high), which may overlap. ``documents`` has doc_id, text and print, a hash of the text.
+
+    The surroundings of repeated anchors are numbered first, and each has a least document.
+    Where all surroundings of an anchor are equal nothing more is needed; the bytes of the others
+    go to the tasks that compare them.
+    """
     spark = documents.sparkSession
+    context = spark.sparkContext
     texts = documents.filter("doc_id is not null and text is not null")
-    sent = spark.sparkContext.broadcast(repeated_anchors(texts))
-    rows = stored(
-        texts.select("doc_id", "text", "print").mapInArrow(_surroundings(sent), _ROWS), "surroundings"
+    texts = texts.select("doc_id", "text", "print")
+    repeated = repeated_anchors(texts)
+    sent = context.broadcast(repeated)
+    # Worked out again where needed: storing a row per place would take more than the texts do.
+    places = texts.mapInArrow(_place_rows(sent), _PLACES)
+    least = stored(
+        places.groupBy("anchor", "place").agg(F.min("doc").alias("least")), "least-documents"
     )
-    sent.unpersist()
-    found = (
-        rows.filter("body is not null")
-        .select("anchor", "place", "doc", "body")
+    mixed = least.groupBy("anchor").count().filter("count > 1").select("anchor")
+    both = context.broadcast((repeated, hash_filter(mixed, mixed.count())))
+    found = stored(
+        texts.mapInArrow(_body_rows(both), _BODIES)
         .repartition("anchor")
         .sortWithinPartitions("anchor", "place")
-        .mapInArrow(_factor_rows, _FOUND)
+        .mapInArrow(_factor_rows, _FOUND),
+        "matches",
     )
+    both.unpersist()
+    known = least.select("place", "least").join(found, "place", "left")
+    earlier = F.col("doc") > F.col("least")
     covered = (
-        rows.filter("body is null")
-        .select("doc", "print", "low", "high", "place")
-        .join(found, "place")
-        .filter("doc > least or first >= 0")
+        places.select("doc", "print", "low", "high", "place")
+        .join(known, "place")
+        .filter(earlier | F.col("first").isNotNull())
         .select(
             F.col("doc").alias("doc_id"),
             "print",
-            F.when(F.col("doc") > F.col("least"), F.col("low"))
-            .otherwise(F.col("low") + F.col("first"))
-            .alias("low"),
-            F.when(F.col("doc") > F.col("least"), F.col("high"))
+            F.when(earlier, F.col("low")).otherwise(F.col("low") + F.col("first")).alias("low"),
+            F.when(earlier, F.col("high"))
             .otherwise(F.col("low") + F.col("last") + MATCH)
             .alias("high"),
         )
     )
-    return covered.groupBy("doc_id", "print").agg(
-        F.collect_set(F.struct("low", "high")).alias("spans")
+    return stored(
+        covered.groupBy("doc_id", "print").agg(F.collect_set(F.struct("low", "high")).alias("spans")),
+        "spans",
     )
 
 
@@ -380,7 +395,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))),
+                    pa.array(spans, pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))),
                     pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
                     pa.array(kept, pa.binary()),
                 ],
@@ -388,7 +403,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_RESULT = "doc_id bigint, n_bytes bigint, spans array<struct<low:bigint,high:bigint>>, kept_sha256 string, kept binary"
+_RESULT = "doc_id bigint, n_bytes bigint, spans array<struct<low:int,high:int>>, kept_sha256 string, kept binary"
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
