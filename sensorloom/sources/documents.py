@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -72,12 +73,16 @@ def load_measurements(
     too large for one. Within a file rows are sorted by station, item and time, which lets the
     point query skip row groups.
     """
-    offered, taken = Observation(), Observation()
-    rows = F.count(F.lit(1)).alias("rows")
-    incoming = documents.observe(offered, rows)
+    offered, before = Observation(), 0
+    incoming = documents.observe(offered, F.count(F.lit(1)).alias("rows"))
     if distinct:
+        # Counted apart: a plan that turns out empty while it runs observes nothing.
+        attempted, first, last = documents.agg(
+            F.count(F.lit(1)), F.min("ts"), F.max("ts")
+        ).first()
         stored = None if drop_existing else read_collection(documents.sparkSession, path)
-        incoming = _unstored(incoming, stored, documents, period).observe(taken, rows)
+        before = 0 if stored is None else stored.count()
+        incoming = _unstored(documents, stored, first, last, period)
     dated = (
         incoming.withColumn(period, F.to_date(F.date_trunc(period, "ts")))
         .hint("rebalance", period)
@@ -85,14 +90,18 @@ def load_measurements(
     )
     mode = "overwrite" if drop_existing else "append"
     dated.write.mode(mode).partitionBy(period).parquet(path)
-    attempted = offered.get["rows"]
-    return LoadCounts(attempted, taken.get["rows"] if distinct else attempted)
+    if distinct:
+        after = read_collection(documents.sparkSession, path)
+        return LoadCounts(attempted, after.count() - before)
+    rows = offered.get["rows"]
+    return LoadCounts(rows, rows)
 
 
 def _unstored(
-    incoming: DataFrame, stored: DataFrame | None, documents: DataFrame, period: str
+    incoming: DataFrame, stored: DataFrame | None, first: datetime, last: datetime, period: str
 ) -> DataFrame:
-    """The first document per time, station and item, unless it is stored."""
+    """The first document per time, station and item, unless it is stored. ``first`` and ``last``
+    are the times that the incoming ones span."""
     keys = ["ts", "_station", "_item"]
 
     def keyed(df: DataFrame) -> DataFrame:
@@ -102,7 +111,6 @@ def _unstored(
 
     fresh = first_per_key(keyed(incoming), keys)
     if stored is not None:
-        first, last = documents.agg(F.min("ts"), F.max("ts")).first()
         start = F.to_date(F.date_trunc(period, F.lit(first)))
         near = stored.filter(F.col(period).between(start, F.to_date(F.lit(last))))
         fresh = fresh.join(keyed(near).select(keys), keys, "left_anti")
