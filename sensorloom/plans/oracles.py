@@ -375,13 +375,13 @@ FROM stats""",
         "doc_load_twice": full
         + """
 SELECT 'measurements 1' AS "Load", count(*) AS Attempted, count(*) AS Inserted
-FROM enriched WHERE Item_Code % 2 = 1
-UNION ALL SELECT 'measurements 2', 2 * count(*), count(*) FILTER (WHERE Item_Code % 2 = 0)
+FROM enriched WHERE Status = 'Bad'
+UNION ALL SELECT 'measurements 2', 2 * count(*), count(*) FILTER (WHERE Status <> 'Bad')
 FROM enriched
 UNION ALL SELECT 'orders 1', count(*), count(DISTINCT o_custkey)
-FROM orders WHERE o_orderkey % 3 = 0
+FROM orders WHERE o_orderpriority LIKE '1%'
 UNION ALL SELECT 'orders 2', count(*), count(DISTINCT o_custkey)
-  - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 3 = 0) FROM orders""",
+  - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderpriority LIKE '1%') FROM orders""",
         "doc_edge_cases": raw
         + """
 , source AS (

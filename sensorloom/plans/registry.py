@@ -126,20 +126,20 @@ def processed_roundtrip(t: Tables) -> DataFrame:
 
 
 def load_twice(t: Tables) -> DataFrame:
-    """Attempted and inserted documents of loads that overlap: measurements of the odd items and
-    then all of them twice, and orders by customer before and after others are there."""
+    """Attempted and inserted documents of loads that overlap: the bad measurements and then all
+    of them twice, and the most urgent orders by customer and then all of them."""
     folder = shared_folder(t.spark, "loads")
     rows = documents.measurement_documents(t.enriched, "bigint")
-    odd = rows.filter("meta.item_code % 2 = 1")
+    bad = rows.filter("status = 'Bad'")
     incoming, _ = offered_documents(t)
-    old = incoming.filter("order_no % 3 = 0")
+    urgent = incoming.filter("name LIKE '1%'")
     loads = [
-        ("measurements 1", load_measurements(odd, f"{folder}/m", period="month", distinct=True)),
+        ("measurements 1", load_measurements(bad, f"{folder}/m", period="month", distinct=True)),
         (
             "measurements 2",
             load_measurements(rows.union(rows), f"{folder}/m", period="month", distinct=True),
         ),
-        ("orders 1", load_collection(old, f"{folder}/o", order=["order_no"])),
+        ("orders 1", load_collection(urgent, f"{folder}/o", order=["order_no"])),
         (
             "orders 2",
             load_collection(incoming, f"{folder}/o", drop_existing=False, order=["order_no"]),
