@@ -83,3 +83,26 @@ def test_broken_attempt_is_replaced(spark, rollup):
 def test_empty_batch(spark, rollup):
     assert rollup.commit(1, R.inserts(counted(documents(spark, []))))
     assert rollup.totals().count() == 0
+
+
+def test_query_matches_a_recount(spark):
+    """The totals after all batches are those of the documents that are left."""
+    import re
+
+    from sensorloom.llm import queries
+    from sensorloom.llm.common import table
+
+    folder = "/root/testdata/sf0.001"
+    own = R.encoder(PATH, public_tokenizers.PATTERN)
+    first, expected = {}, {}
+    for row in table(spark, folder, "documents").orderBy("doc_id").collect():
+        text = row["text"] or ""
+        if first.setdefault(text, row["doc_id"]) != row["doc_id"]:
+            continue
+        text = re.sub(r"[ \t\r\n]+", " ", text).strip(" ")
+        docs, tokens = expected.get((row["source"], row["lang"]), (0, 0))
+        expected[row["source"], row["lang"]] = (docs + 1, tokens + len(own.encode_ordinary(text)))
+    rows = queries.op5_token_rollup(spark, folder).collect()
+    got = {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in rows}
+    assert {k: v for k, v in got.items() if v[0]} == expected
+    assert all(r["n_docs"] == r["n_inserted"] - r["n_deleted"] for r in rows)
