@@ -74,16 +74,26 @@ def test_benchmark_stage(spark, stages):
 def test_secret_stage(stages):
     _, before, after = stages[3]
     assert before.keys() == after.keys()
-    changed = 0
     for doc_id, row in after.items():
         old = before[doc_id]
         if S.base_spans(old["text"]):
-            changed += 1
             assert not S.base_spans(row["text"]) and "[SECRET]" in row["text"]
             assert row["n_chars"] == len(row["text"])
         elif "[SECRET]" not in row["text"]:
             assert row == old
-    assert changed
+
+
+def test_secret_stage_replaces_secrets(spark):
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in S.TEXTS] + [(99, "clean", "en", "s", 77)],
+        table(spark, FOLDER, "documents").schema,
+    )
+    for row in corpus_pipeline.secret_stage(spark, docs, FOLDER).collect():
+        if row["doc_id"] == 99:
+            assert (row["text"], row["n_chars"]) == ("clean", 77)
+        else:
+            assert S.base_spans(dict(S.TEXTS)[row["doc_id"]]) or row["doc_id"] == 5
+            assert row["n_chars"] == len(row["text"]) and "[SECRET]" in row["text"]
 
 
 def test_token_stage(stages):
