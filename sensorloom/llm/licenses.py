@@ -102,8 +102,10 @@ class Rule:
 
 
 def _spaced(pattern: str) -> bytes:
-    """Spaces of a pattern match any run of white space, and words end at a word boundary."""
-    return (r"\b" + pattern.replace(" ", r"[ \t\r\n]+")).encode()
+    """Spaces of a pattern match any run of white space, and '[ -]' any run of white space and
+    hyphens. A match begins at a word boundary."""
+    runs = re.sub(r"\[ -\]| ", lambda m: r"[ \t\r\n-]+" if m[0] != " " else r"[ \t\r\n]+", pattern)
+    return (r"\b" + runs).encode()
 
 
 def build_rules() -> list[Rule]:
@@ -129,7 +131,7 @@ def build_rules() -> list[Rule]:
     for parts in CREATIVE:
         label = f"cc-{parts}"
         name = r"[ -]".join(CREATIVE_NAMES[part] for part in parts.split("-"))
-        end = r"(?![ -](?:sa|nd|nc)\b)"
+        end = r"\b(?![ -](?:sa|nd|nc)\b)"
         add(label, rf"spdx-license-identifier: ?cc-{parts}-[0-9][.][0-9]", "spdx-license-identifier", 100, 1.0)
         add(label, rf"creative commons {name}(?![ -](?:non|share|no))", "creative commons", 85, 0.95)
         add(label, rf"creativecommons[.]org/licenses/{parts}/", "creativecommons", 95, 1.0)

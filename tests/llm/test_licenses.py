@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from sensorloom.llm import licenses as L
 from tests.llm.helpers import awkward, documents
 
@@ -55,6 +57,53 @@ def test_hundreds_of_rules_by_priority():
     assert [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
 
 
+CREATIVE_TEXTS = {
+    "by": ("Attribution", "by-nc"),
+    "by-sa": ("Attribution-ShareAlike", "by-nc-sa"),
+    "by-nd": ("Attribution-NoDerivatives", "by"),
+    "by-nc": ("Attribution-NonCommercial", "by-nc-nd"),
+    "by-nc-sa": ("Attribution-NonCommercial-ShareAlike", "by-nc"),
+    "by-nc-nd": ("Attribution-NonCommercial-NoDerivs", "by-nc-sa"),
+}
+CREATIVE_FORMS = (
+    ("SPDX-License-Identifier: CC-{short}-4.0", 100),
+    ("Creative Commons {name} 4.0", 85),
+    ("https://creativecommons.org/licenses/{short}/4.0/", 95),
+    ("CC {short} 4.0", 65),
+)
+
+
+def creative_forms(parts):
+    for form, priority in CREATIVE_FORMS:
+        text = form.format(short=parts, name=CREATIVE_TEXTS[parts][0])
+        yield priority, text
+        if priority in (65, 85):
+            head, _, end = text.rpartition(" ")
+            yield priority, head.replace("-", " ") + " " + end
+            yield priority, head.replace(" ", "\n ").replace("-", "\t-\r\n") + " " + end
+    yield 65, f"(CC-{parts.upper()})"
+
+
+@pytest.mark.parametrize("parts", CREATIVE_TEXTS)
+def test_creative_commons_rules(parts):
+    rules = [r for r in L.build_rules() if r.label == f"cc-{parts}"]
+    assert len(rules) == len(CREATIVE_FORMS)
+    for rule in rules:
+        own = [text for priority, text in creative_forms(parts) if priority == rule.priority]
+        other = [text for priority, text in creative_forms(CREATIVE_TEXTS[parts][1]) if priority == rule.priority]
+        assert own and other
+        assert all(rule.pattern.search(text.lower().encode()) for text in own), rule
+        assert not any(rule.pattern.search(text.lower().encode()) for text in other), rule
+    for _, text in creative_forms(parts):
+        assert {r.label for *_, r in L.detections(text.lower().encode())} == {f"cc-{parts}"}, text
+
+
+def test_short_forms_are_whole_words():
+    for text in (b"cc bystander", b"acc by", b"cc by-sample"):
+        assert "cc-by-sa" not in {r.label for *_, r in L.detections(text)}
+    assert L.detections(b"cc bystander") == L.detections(b"acc by") == []
+
+
 def test_suppression():
     rule = {p: L.Rule(f"r{p}", re.compile(b"x"), b"x", p, 0.5) for p in (10, 20, 30)}
     found = [(0, 10, rule[20]), (2, 5, rule[10]), (0, 30, rule[10]), (8, 14, rule[30]), (12, 13, rule[20])]
