@@ -27,30 +27,32 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
+# What stands between a name and its number: "License, Version 2", "License v3.0", "License - v 2.0".
+VERSION = ",?(?: (?:- )?(?:version|v[.]?))? ?"
 # Public license names: label, words of its name, short form in identifiers.
 FAMILIES = (
     ("mit", "mit", "mit"),
     ("mit-0", "mit no attribution", "mit-0"),
     ("isc", "isc", "isc"),
-    ("apache-1.1", "apache (?:software )?license,? version 1[.]1", "apache-1[.]1"),
-    ("apache-2.0", "apache (?:software )?license,?(?: version)? 2(?:[.]0)?", "apache-2[.]0"),
+    ("apache-1.1", f"apache (?:software )?license{VERSION}1[.]1", "apache-1[.]1"),
+    ("apache-2.0", f"apache (?:software )?license{VERSION}2(?:[.]0)?", "apache-2[.]0"),
     ("bsd-2-clause", "(?:simplified|2-clause|two-clause) bsd", "bsd-2-clause"),
     ("bsd-3-clause", "(?:new|revised|3-clause|three-clause) bsd", "bsd-3-clause"),
     ("bsd-4-clause", "(?:original|4-clause|four-clause) bsd", "bsd-4-clause"),
     ("0bsd", "zero-clause bsd", "0bsd"),
-    ("gpl-2.0", "gnu general public license,?(?: version| v)? ?2(?:[.]0)?", "gpl-2[.]0"),
-    ("gpl-3.0", "gnu general public license,?(?: version| v)? ?3(?:[.]0)?", "gpl-3[.]0"),
-    ("lgpl-2.1", "gnu lesser general public license,?(?: version| v)? ?2[.]1", "lgpl-2[.]1"),
-    ("lgpl-3.0", "gnu lesser general public license,?(?: version| v)? ?3(?:[.]0)?", "lgpl-3[.]0"),
-    ("agpl-3.0", "gnu affero general public license,?(?: version| v)? ?3(?:[.]0)?", "agpl-3[.]0"),
-    ("gfdl-1.3", "gnu free documentation license,?(?: version| v)? ?1[.]3", "gfdl-1[.]3"),
-    ("mpl-1.1", "mozilla public license,?(?: version| v)? ?1[.]1", "mpl-1[.]1"),
-    ("mpl-2.0", "mozilla public license,?(?: version| v)? ?2(?:[.]0)?", "mpl-2[.]0"),
-    ("epl-1.0", "eclipse public license,?(?: version| v| -v)? ?1[.]0", "epl-1[.]0"),
-    ("epl-2.0", "eclipse public license,?(?: version| v| -v)? ?2[.]0", "epl-2[.]0"),
+    ("gpl-2.0", f"gnu general public license{VERSION}2(?:[.]0)?", "gpl-2[.]0"),
+    ("gpl-3.0", f"gnu general public license{VERSION}3(?:[.]0)?", "gpl-3[.]0"),
+    ("lgpl-2.1", f"gnu lesser general public license{VERSION}2[.]1", "lgpl-2[.]1"),
+    ("lgpl-3.0", f"gnu lesser general public license{VERSION}3(?:[.]0)?", "lgpl-3[.]0"),
+    ("agpl-3.0", f"gnu affero general public license{VERSION}3(?:[.]0)?", "agpl-3[.]0"),
+    ("gfdl-1.3", f"gnu free documentation license{VERSION}1[.]3", "gfdl-1[.]3"),
+    ("mpl-1.1", f"mozilla public license{VERSION}1[.]1", "mpl-1[.]1"),
+    ("mpl-2.0", f"mozilla public license{VERSION}2(?:[.]0)?", "mpl-2[.]0"),
+    ("epl-1.0", f"eclipse public license{VERSION}1[.]0", "epl-1[.]0"),
+    ("epl-2.0", f"eclipse public license{VERSION}2[.]0", "epl-2[.]0"),
     ("cddl-1.0", "common development and distribution license", "cddl-1[.]0"),
     ("eupl-1.2", "european union public licence", "eupl-1[.]2"),
-    ("artistic-2.0", "artistic license 2[.]0", "artistic-2[.]0"),
+    ("artistic-2.0", f"artistic license{VERSION}2[.]0", "artistic-2[.]0"),
     ("zlib", "zlib", "zlib"),
     ("unlicense", "unlicense", "unlicense"),
     ("wtfpl", "do what the fuck you want to public license", "wtfpl"),
@@ -103,9 +105,12 @@ class Rule:
 
 def _spaced(pattern: str) -> bytes:
     """Spaces of a pattern match any run of white space, and '[ -]' any run of white space and
-    hyphens. A match begins at a word boundary."""
-    runs = re.sub(r"\[ -\]| ", lambda m: r"[ \t\r\n-]+" if m[0] != " " else r"[ \t\r\n]+", pattern)
-    return (r"\b" + runs).encode()
+    hyphens; with a '?' behind them they may be missing. A match begins at a word boundary."""
+
+    def run(match: re.Match[str]) -> str:
+        return (r"[ \t\r\n-]" if match[1] != " " else r"[ \t\r\n]") + ("*" if match[2] else "+")
+
+    return (r"\b" + re.sub(r"(\[ -\]| )(\?)?", run, pattern)).encode()
 
 
 def build_rules() -> list[Rule]:
@@ -119,6 +124,8 @@ def build_rules() -> list[Rule]:
         )
 
     for label, name, short in FAMILIES:
+        # "mit" is not a part of "mitre", nor "2" one of "2.1" or "2023".
+        name += "(?![.]?[0-9])" if VERSION in name else r"\b"
         add(
             label,
             rf"spdx-license-identifier: ?{short}(?:-only|-or-later)?\b",

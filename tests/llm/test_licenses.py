@@ -98,6 +98,49 @@ def test_creative_commons_rules(parts):
         assert {r.label for *_, r in L.detections(text.lower().encode())} == {f"cc-{parts}"}, text
 
 
+VERSIONED = {
+    "apache-1.1": ("Apache Software License", "1.1", "2.0"),
+    "apache-2.0": ("Apache License", "2.0", "1.1"),
+    "gpl-2.0": ("GNU General Public License", "2", "3"),
+    "gpl-3.0": ("GNU General Public License", "3.0", "2.0"),
+    "lgpl-2.1": ("GNU Lesser General Public License", "2.1", "3"),
+    "lgpl-3.0": ("GNU Lesser General Public License", "3", "2.1"),
+    "agpl-3.0": ("GNU Affero General Public License", "3.0", "30"),
+    "gfdl-1.3": ("GNU Free Documentation License", "1.3", "1.2"),
+    "mpl-1.1": ("Mozilla Public License", "1.1", "2.0"),
+    "mpl-2.0": ("Mozilla Public License", "2.0", "1.1"),
+    "epl-1.0": ("Eclipse Public License", "1.0", "2.0"),
+    "epl-2.0": ("Eclipse Public License", "2.0", "1.0"),
+    "artistic-2.0": ("Artistic License", "2.0", "2.05"),
+}
+
+
+def labels_of(text):
+    return {r.label for *_, r in L.detections(text.lower().encode())}
+
+
+@pytest.mark.parametrize("label", VERSIONED)
+def test_ways_to_write_a_version(label):
+    name, own, other = VERSIONED[label]
+    for way in (" v{}", " v {}", " {}", ", Version {}", ", version{}", " v. {}", " - v {}", ",\nversion\t{}"):
+        text = "Licensed under the " + name + way
+        assert labels_of(text.format(own) + ".") == {label}
+        assert label not in labels_of(text.format(other))
+        assert label not in labels_of(text.format(own + "7"))
+
+
+def test_spaces_after_a_colon_are_optional():
+    for text, label in (
+        ("license:mit", "mit"),
+        ("License: MIT", "mit"),
+        ("SPDX-License-Identifier:MIT", "mit"),
+        ("SPDX-License-Identifier:GPL-3.0-only", "gpl-3.0"),
+        ("SPDX-License-Identifier:CC-BY-SA-4.0", "cc-by-sa"),
+    ):
+        assert labels_of(text) == {label}
+    assert "mit" not in labels_of("license:mitre") | labels_of("SPDX-License-Identifier:ISC")
+
+
 def test_short_forms_are_whole_words():
     for text in (b"cc bystander", b"acc by", b"cc by-sample"):
         assert "cc-by-sa" not in {r.label for *_, r in L.detections(text)}
