@@ -31,8 +31,8 @@ BASE_PHRASES = {
 VERSION = ",?(?: (?:- )?(?:version|v[.]?))? ?"
 # Public license names: label, words of its name, short form in identifiers.
 FAMILIES = (
-    ("mit", "mit", "mit"),
-    ("mit-0", "mit no attribution", "mit-0"),
+    ("mit", "mit(?!-0| no attribution)", "mit"),
+    ("mit-0", "(?:mit no attribution|mit-0)", "mit-0"),
     ("isc", "isc", "isc"),
     ("apache-1.1", f"apache (?:software )?license{VERSION}1[.]1", "apache-1[.]1"),
     ("apache-2.0", f"apache (?:software )?license{VERSION}2(?:[.]0)?", "apache-2[.]0"),
@@ -77,19 +77,54 @@ FAMILIES = (
 CREATIVE = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
 CREATIVE_NAMES = {
     "by": "attribution",
-    "sa": "share-?alike",
-    "nd": "no-?deriv(?:ative)?s",
-    "nc": "non-?commercial",
+    "sa": "share[ -]?alike",
+    "nd": "no[ -]?deriv(?:ative)?(?:s| works)",
+    "nc": "non[ -]?commercial",
 }
 
+# Acronyms with a version: label, keyword, version. Without one they fit no label.
+ACRONYMS = (
+    ("gpl-2.0", "gpl", "2(?:[.]0)?"),
+    ("gpl-3.0", "gpl", "3(?:[.]0)?"),
+    ("lgpl-2.1", "lgpl", "2[.]1"),
+    ("lgpl-3.0", "lgpl", "3(?:[.]0)?"),
+    ("agpl-3.0", "agpl", "3(?:[.]0)?"),
+    ("gfdl-1.3", "gfdl", "1[.]3"),
+    ("mpl-1.1", "mpl", "1[.]1"),
+    ("mpl-2.0", "mpl", "2(?:[.]0)?"),
+    ("epl-1.0", "epl", "1[.]0"),
+    ("epl-2.0", "epl", "2(?:[.]0)?"),
+    ("cddl-1.0", "cddl", "1[.]0"),
+    ("eupl-1.2", "eupl", "1[.]2"),
+    ("ofl-1.1", "ofl", "1[.]1"),
+    ("odbl-1.0", "odbl", "1[.]0"),
+    ("zpl-2.1", "zpl", "2[.]1"),
+    ("bsl-1.0", "bsl", "1[.]0"),
+    ("bsl-1.1", "busl", "1[.]1"),
+    ("bsl-1.1", "bsl", "1[.]1"),
+    ("sspl-1.0", "sspl", "1(?:[.]0)?"),
+    ("cc0-1.0", "cc0", "1[.]0"),
+)
+# The notices of the GNU licenses: label, name, version.
+GNU_NOTICES = (
+    ("gpl-2.0", "gnu general public license", "2(?:[.]0)?"),
+    ("gpl-3.0", "gnu general public license", "3(?:[.]0)?"),
+    ("lgpl-2.1", "gnu lesser general public license", "2[.]1"),
+    ("lgpl-3.0", "gnu lesser general public license", "3(?:[.]0)?"),
+    ("agpl-3.0", "gnu affero general public license", "3(?:[.]0)?"),
+)
+# A version ends here: "2" is not a part of "2.1" or "2023".
+VERSION_END = "(?![.]?[0-9])"
+
 # How a license is named: pattern around the name, keyword, priority, confidence.
+TITLE = r"{name} license(?:d)?\b"
 WORDINGS = (
     (r"licensed under (?:the |a )?(?:terms of the )?{name}", "licensed under", 80, 0.95),
     (r"(?:released|distributed|available|provided) under (?:the |a )?(?:terms of the )?{name}", " under ", 75, 0.9),
     (r"under the terms of (?:the )?{name}", "terms of", 75, 0.9),
     (r"subject to (?:the )?(?:terms of the )?{name}", "subject to", 70, 0.85),
     (r"governed by (?:the )?{name}", "governed by", 70, 0.85),
-    (r"{name} license(?:d)?\b", "license", 50, 0.7),
+    (TITLE, "license", 50, 0.7),
     (r"license: ?{name}", "license:", 60, 0.8),
 )
 
@@ -124,8 +159,8 @@ def build_rules() -> list[Rule]:
         )
 
     for label, name, short in FAMILIES:
-        # "mit" is not a part of "mitre", nor "2" one of "2.1" or "2023".
-        name += "(?![.]?[0-9])" if VERSION in name else r"\b"
+        # "mit" is not a part of "mitre".
+        name += VERSION_END if VERSION in name else r"\b"
         add(
             label,
             rf"spdx-license-identifier: ?{short}(?:-only|-or-later)?\b",
@@ -134,7 +169,17 @@ def build_rules() -> list[Rule]:
             1.0,
         )
         for pattern, keyword, priority, confidence in WORDINGS:
-            add(label, pattern.replace("{name}", name), keyword, priority, confidence)
+            own = "licence" if "licence" in name else "license"
+            if pattern == TITLE and own in name:
+                # The title holds the word already.
+                add(label, name, own, priority, confidence)
+            else:
+                add(label, pattern.replace("{name}", name), keyword, priority, confidence)
+    for label, short, version in ACRONYMS:
+        add(label, rf"{short}[ -]?(?:version |v[.]? ?)?{version}{VERSION_END}", short, 60, 0.8)
+    for label, name, version in GNU_NOTICES:
+        notice = f"{name},? as published by the free software foundation[,;:]? (?:either )?version {version}{VERSION_END}"
+        add(label, notice, "as published by", 90, 0.95)
     for parts in CREATIVE:
         label = f"cc-{parts}"
         name = r"[ -]".join(CREATIVE_NAMES[part] for part in parts.split("-"))
@@ -146,7 +191,12 @@ def build_rules() -> list[Rule]:
     for label, pattern, keyword in (
         ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy", "permission is hereby"),
         ("isc", "permission to use, copy, modify, and(?:/or)? distribute this software for any purpose", "permission to use"),
-        ("bsd-3-clause", "neither the name of .{1,80}? nor the names of its contributors", "neither the name"),
+        # The holder is as long as it likes, within the paragraph.
+        (
+            "bsd-3-clause",
+            r"neither the name of (?:(?!neither the name of |\n\s*\n)(?s:.))+? nor the names of (?:its |the |their )?contributors",
+            "neither the name",
+        ),
         ("bsd-2-clause", "redistribution and use in source and binary forms, with or without modification", "redistribution and use"),
         ("gpl-3.0", "gnu[.]org/licenses/gpl-3", "gnu.org"),
         ("gpl-2.0", "gnu[.]org/licenses/gpl-2|gnu[.]org/licenses/old-licenses/gpl-2", "gnu.org"),
@@ -157,6 +207,18 @@ def build_rules() -> list[Rule]:
         ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
         ("zlib", "this software is provided 'as-is', without any express or implied warranty", "as-is"),
         ("cc0-1.0", "creativecommons[.]org/publicdomain/zero/1[.]0", "creativecommons"),
+        ("0bsd", "permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted[.]", "permission to use"),
+        ("postgresql", "permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted", "permission to use"),
+        ("bsl-1.0", "permission is hereby granted, free of charge, to any person or organization obtaining a copy", "permission is hereby"),
+        ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies", "everyone is permitted"),
+        ("openssl", "this product includes software developed by the openssl project", "openssl"),
+        ("json", "the software shall be used for good, not evil", "not evil"),
+        ("ijg", "based in part on the work of the independent jpeg group", "jpeg group"),
+        ("x11", "the name of the x consortium shall not be used", "x consortium"),
+        ("cc0-1.0", "creative commons zero", "creative commons"),
+        ("mit-0", "mit no attribution", "no attribution"),
+        ("apache-2.0", f"apache[ -]?(?:version |v[.]? ?)?2(?:[.]0)? (?:software )?license|apache-2[.]0{VERSION_END}", "apache"),
+        ("apache-1.1", f"apache[ -]?(?:version |v[.]? ?)?1[.]1 (?:software )?license|apache-1[.]1{VERSION_END}", "apache"),
         ("proprietary", "all rights reserved", "all rights"),
         ("public-domain", "(?:released into|in|dedicated to) the public domain", "public domain"),
     ):

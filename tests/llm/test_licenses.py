@@ -141,6 +141,131 @@ def test_spaces_after_a_colon_are_optional():
     assert "mit" not in labels_of("license:mitre") | labels_of("SPDX-License-Identifier:ISC")
 
 
+SAMPLES = {
+    "mit": ("MIT", "MIT-0"),
+    "mit-0": ("MIT No Attribution", "MIT"),
+    "isc": ("ISC", "Zlib"),
+    "apache-1.1": ("Apache Software License, Version 1.1", "Apache License, Version 2.0"),
+    "apache-2.0": ("Apache License, Version 2.0", "Apache Software License, Version 1.1"),
+    "bsd-2-clause": ("Simplified BSD", "3-Clause BSD"),
+    "bsd-3-clause": ("3-clause BSD", "2-clause BSD"),
+    "bsd-4-clause": ("Original BSD", "New BSD"),
+    "0bsd": ("Zero-Clause BSD", "Two-Clause BSD"),
+    "gpl-2.0": ("GNU General Public License v2.0", "GNU General Public License v3.0"),
+    "gpl-3.0": ("GNU General Public License v3.0", "GNU Lesser General Public License v3.0"),
+    "lgpl-2.1": ("GNU Lesser General Public License v2.1", "GNU General Public License v2.0"),
+    "lgpl-3.0": ("GNU Lesser General Public License v3.0", "GNU Affero General Public License v3.0"),
+    "agpl-3.0": ("GNU Affero General Public License v3.0", "GNU General Public License v3.0"),
+    "gfdl-1.3": ("GNU Free Documentation License 1.3", "GNU Free Documentation License 1.2"),
+    "mpl-1.1": ("Mozilla Public License 1.1", "Mozilla Public License 2.0"),
+    "mpl-2.0": ("Mozilla Public License, v. 2.0", "Mozilla Public License, v. 1.1"),
+    "epl-1.0": ("Eclipse Public License - v 1.0", "Eclipse Public License - v 2.0"),
+    "epl-2.0": ("Eclipse Public License - v 2.0", "Eclipse Public License - v 1.0"),
+    "cddl-1.0": ("Common Development and Distribution License", "Eclipse Public License v1.0"),
+    "eupl-1.2": ("European Union Public Licence", "Mozilla Public License 2.0"),
+    "artistic-2.0": ("Artistic License 2.0", "Artistic License 1.0"),
+    "zlib": ("zlib", "libpng"),
+    "unlicense": ("Unlicense", "MIT"),
+    "wtfpl": ("Do What The Fuck You Want To Public License", "Mozilla Public License 2.0"),
+    "bsl-1.0": ("Boost Software License", "Business Source License"),
+    "psf-2.0": ("Python Software Foundation License", "Boost Software License"),
+    "postgresql": ("PostgreSQL", "OpenSSL"),
+    "openssl": ("OpenSSL", "PostgreSQL"),
+    "ncsa": ("University of Illinois/NCSA Open Source", "MIT"),
+    "ofl-1.1": ("SIL Open Font License", "Open Database License"),
+    "odbl-1.0": ("Open Database License", "SIL Open Font License"),
+    "cc0-1.0": ("Creative Commons Zero", "Creative Commons Attribution"),
+    "ms-pl": ("Microsoft Public License", "Microsoft Reciprocal License"),
+    "ms-rl": ("Microsoft Reciprocal License", "Microsoft Public License"),
+    "ijg": ("Independent JPEG Group", "libpng"),
+    "libpng": ("libpng", "zlib"),
+    "json": ("JSON", "MIT"),
+    "x11": ("X11", "MIT"),
+    "zpl-2.1": ("Zope Public License", "Mozilla Public License 2.0"),
+    "bsl-1.1": ("Business Source License", "Boost Software License"),
+    "sspl-1.0": ("Server Side Public License", "GNU Affero General Public License v3.0"),
+}
+WAYS = {
+    "licensed under": "licensed under the terms of the {}",
+    " under ": "released under the {}",
+    "terms of": "under the terms of the {}",
+    "subject to": "subject to the {}",
+    "governed by": "governed by the {}",
+    "license:": "License: {}",
+}
+
+
+@pytest.mark.parametrize("label", [label for label, _, _ in L.FAMILIES])
+def test_template_rules(label):
+    """Every rule of the template finds its own name and not that of a neighbour."""
+    own, other = SAMPLES[label]
+    rules = [r for r in L.build_rules() if r.label == label]
+    for keyword, way in WAYS.items():
+        rule = [r for r in rules if r.keyword.decode() == keyword]
+        assert len(rule) == 1, keyword
+        assert rule[0].pattern.search(way.format(own).lower().encode()), way
+        assert not rule[0].pattern.search(way.format(other).lower().encode()), way
+        assert label in labels_of(way.format(own)) and label not in labels_of(way.format(other))
+    title = [r for r in rules if r.priority == 50]
+    for text, found in ((own, True), (other, False)):
+        text = text if "licen" in text.lower() and label != "unlicense" else text + " License"
+        assert len(title) == 1 and bool(title[0].pattern.search(text.lower().encode())) == found
+        assert (label in labels_of("The " + text)) == found
+    short = [short for name, _, short in L.FAMILIES if name == label][0].replace("[.]", ".")
+    assert labels_of("SPDX-License-Identifier: " + short) == {label}
+
+
+HEADER = (
+    "it under the terms of the GNU {}General Public License as published by\n"
+    "the Free Software Foundation{} version {} of the License, or\n(at your option) any later version."
+)
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("licensed under GPLv3", "gpl-3.0"),
+        ("License: GPL-3.0", "gpl-3.0"),
+        ("GPL v2, see COPYING", "gpl-2.0"),
+        ("LGPL 2.1", "lgpl-2.1"),
+        ("LGPLv3+", "lgpl-3.0"),
+        ("AGPL version 3", "agpl-3.0"),
+        ("MPL 2.0", "mpl-2.0"),
+        ("EUPL v1.2", "eupl-1.2"),
+        ("BUSL-1.1", "bsl-1.1"),
+        ("Apache 2.0 license", "apache-2.0"),
+        ("Apache License, Version 2.0", "apache-2.0"),
+        ("European Union Public Licence", "eupl-1.2"),
+        (HEADER.format("", "; either", 3), "gpl-3.0"),
+        (HEADER.format("", ";", 2), "gpl-2.0"),
+        (HEADER.format("Lesser ", "; either", 2.1), "lgpl-2.1"),
+        (HEADER.format("Affero ", ", either", 3), "agpl-3.0"),
+        ("Neither the name of " + "The Very Long Holder, Inc. " * 40 + "nor\nthe names of its\ncontributors", "bsd-3-clause"),
+        ("Neither the name of a\nholder nor the names of its contributors", "bsd-3-clause"),
+        ("The Software shall be used for Good, not Evil.", "json"),
+        ("Creative Commons Attribution-No Derivative Works 3.0", "cc-by-nd"),
+        ("Creative Commons Attribution-Share Alike 3.0", "cc-by-sa"),
+    ],
+)
+def test_headers_titles_and_acronyms(text, label):
+    assert labels_of(text) == {label}
+
+
+@pytest.mark.parametrize("label, short, version", L.ACRONYMS)
+def test_acronym_rules(label, short, version):
+    number = version.replace("[.]", ".").replace("(?:.0)?", ".0")
+    for text in (f"{short}-{number}", f"{short} v{number}", f"({short.upper()} version {number})", f"{short}{number}."):
+        assert labels_of(text) == {label}
+    for text in (short, f"{short} {number}9", f"x{short} {number}", f"{short} 9"):
+        assert labels_of(text) == set()
+
+
+def test_clause_needs_its_own_holder():
+    assert labels_of("neither the name of a\n \nb nor the names of its contributors") == set()
+    text = "neither the name of x " * 3000
+    assert labels_of(text) == set() and labels_of(text + "nor the names of its contributors") == {"bsd-3-clause"}
+
+
 def test_short_forms_are_whole_words():
     for text in (b"cc bystander", b"acc by", b"cc by-sample"):
         assert "cc-by-sa" not in {r.label for *_, r in L.detections(text)}
