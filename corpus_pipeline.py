@@ -20,18 +20,36 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.accepted(docs, model)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows stored with a number of their own, and the name of its column. Decisions are
+    applied by it, as a doc_id may be null or stand on several rows."""
+    name = "row_id"
+    while name in [column.lower() for column in docs.columns]:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id."""
-    members = jaccard.similar_documents(docs)
-    gone = members.filter("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near duplicates: that of the smallest doc_id, and one without an id
+    only where none has one. Rows are compared one by one, so that copies under one doc_id or
+    without any are near duplicates too, and different texts under one doc_id are not."""
+    rows, own = _numbered(docs)
+    members = jaccard.similar_documents(rows.select(F.col(own).alias("doc_id"), "text"))
+    named = members.select(F.col("doc_id").alias(own), "component_id").join(rows.select(own, "doc_id"), own)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(own).alias("row"))
+    kept = named.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias(own))
+    return rows.join(kept, own, "left_semi").select(docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no more than a trace of a benchmark item."""
-    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"))
-    gone = decontaminate.contamination(found).filter("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Rows that hold no more than a trace of a benchmark item. Each row is judged by its own text,
+    whatever its doc_id, null or on several rows."""
+    rows, own = _numbered(docs)
+    found = decontaminate.find_benchmark(
+        rows.select(F.col(own).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+    )
+    gone = decontaminate.contamination(found).filter("contaminated").select(F.col("doc_id").alias(own))
+    return rows.join(gone, own, "left_anti").select(docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,25 @@ def test_awkward_rows_pass_all_stages(spark):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
 
 
+def test_rows_without_or_with_the_same_id(spark):
+    """Stages drop rows, not ids."""
+    item = table(spark, FOLDER, "benchmark").filter("length(text) > 200").first()["text"]
+    clean, other = "a clean text of its own " * 9, "another text that stands by itself " * 9
+    rows = [(None, item), (1, item), (1, item), (1, clean), (2, other), (None, other), (None, other), (2, clean)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t), "x") for i, t in rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, Row_ID string",
+    )
+
+    def left(stage):
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        return sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+
+    assert left(corpus_pipeline.benchmark_stage) == sorted([r for r in rows if r[1] != item], key=repr)
+    assert left(corpus_pipeline.near_duplicate_stage) == sorted([(1, item), (1, clean), (2, other)], key=repr)
+
+
 def test_entry_has_all_queries():
     assert [f"op{n}_" for n in range(1, 11)] == [
         f"op{n}_" for n in range(1, 11) if any(k.startswith(f"op{n}_") for k in contract.queries())
