@@ -49,12 +49,16 @@ def op5_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
         path = tokenizer_path(COUNT_RANKS)
         return rollups.token_counts(documents, path, public_tokenizers.PATTERN, COUNT_VERSION)
 
-    documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    # The place of a row in its file tells rows apart whatever their ids.
+    documents = table(spark, folder, "documents").select(
+        F.struct("_metadata.file_path", "_metadata.row_index").alias("row_id"),
+        "doc_id", "text", "source", "lang",
+    )
     counts = stored(counted(documents), "token-counts")
     rollup = rollups.Rollup(spark, shared_folder(spark, "rollup"))
     rollup.commit(1, rollups.inserts(counts))
     gone = stored(rollups.copies(counts), "copies")
-    kept = counts.join(gone.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"], "left_anti")
+    kept = counts.join(gone.select("row_id", "tokenizer"), ["row_id", "tokenizer"], "left_anti")
     changed = stored(counted(rollups.squeezed(documents)), "token-counts")
     for _ in range(2):
         rollup.commit(2, rollups.deletes(gone))

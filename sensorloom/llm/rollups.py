@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sensorloom.llm.common import text_slices
+from sensorloom.llm.common import stored, text_slices
 
 KEYS = ("source", "lang", "tokenizer")
 SUMS = ("n_docs", "n_tokens", "n_inserted", "n_deleted", "n_revised")
@@ -37,8 +37,10 @@ def encoder(path: str, pattern: str):
 
 def token_counts(documents: DataFrame, path: str, pattern: str, version: str) -> DataFrame:
     """(doc_id, source, lang, tokenizer, n_tokens, print): the tokens of every whole text and its
-    SHA-256. ``documents`` has doc_id, text, source and lang. A null text is empty. Nothing is
+    SHA-256. ``documents`` has doc_id, text, source and lang, and row_id, which is kept, where its
+    rows are to be told apart though doc_id is null or repeated. A null text is empty. Nothing is
     shuffled."""
+    own_id = [name for name in ("row_id",) if name in documents.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
@@ -46,22 +48,24 @@ def token_counts(documents: DataFrame, path: str, pattern: str, version: str) ->
             for part in text_slices(batch, "text"):
                 texts = part.column("text").to_pylist()
                 counts = [len(own.encode_ordinary(text)) if text else 0 for text in texts]
-                columns = [part.column(name) for name in ("doc_id", "source", "lang", "print")]
+                names = [*own_id, "doc_id", "source", "lang", "print"]
+                columns = [part.column(name) for name in names]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(counts, pa.int64())],
-                    names=["doc_id", "source", "lang", "print", "n_tokens"],
+                    names=[*names, "n_tokens"],
                 )
 
     rows = documents.select(
+        *own_id,
         "doc_id",
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("print"),
         "text",
     )
-    counted = rows.mapInArrow(
-        run, "doc_id bigint, source string, lang string, print string, n_tokens bigint"
-    )
+    types = [f"{name} {documents.schema[name].dataType.simpleString()}" for name in own_id]
+    types += ["doc_id bigint, source string, lang string, print string, n_tokens bigint"]
+    counted = rows.mapInArrow(run, ", ".join(types))
     return counted.withColumn("tokenizer", F.lit(version))
 
 
@@ -83,16 +87,21 @@ def deletes(counts: DataFrame) -> DataFrame:
 
 
 def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Deltas for documents counted again, one row each per doc_id and tokenizer in both tables;
-    a document that changed source or language leaves its old key and enters the new one."""
-    both = old.alias("o").join(
-        new.alias("n"),
-        (F.col("o.doc_id") == F.col("n.doc_id")) & (F.col("o.tokenizer") == F.col("n.tokenizer")),
-    )
-    gone = both.select("o.source", "o.lang", "o.tokenizer", "o.n_tokens")
-    come = both.select("n.source", "n.lang", "n.tokenizer", "n.n_tokens")
-    return _deltas(gone, -1, -F.col("n_tokens"), "").unionByName(
-        _deltas(come, 1, F.col("n_tokens"), "n_revised")
+    """Deltas for documents counted again; a document that changed source or language leaves its
+    old key and enters the new one.
+
+    Rows belong together by row_id where both tables have it, else by doc_id, and by tokenizer. All
+    old rows of an id that has new ones are taken away once each, and all its new rows are added
+    once each, whatever their numbers; a null id is an id like any other."""
+    key = "row_id" if "row_id" in old.columns and "row_id" in new.columns else "doc_id"
+
+    def within(rows: DataFrame, others: DataFrame) -> DataFrame:
+        ids = others.select(F.col(key).alias("other_id"), F.col("tokenizer").alias("other_tokenizer"))
+        same = F.col(key).eqNullSafe(F.col("other_id")) & (F.col("tokenizer") == F.col("other_tokenizer"))
+        return rows.join(ids.distinct(), same, "left_semi")
+
+    return _deltas(within(old, new), -1, -F.col("n_tokens"), "").unionByName(
+        _deltas(within(new, old), 1, F.col("n_tokens"), "n_revised")
     )
 
 
@@ -143,13 +152,17 @@ class Rollup:
 
 
 def copies(counts: DataFrame) -> DataFrame:
-    """The counts of documents whose text a smaller doc_id has too, per tokenizer. The smallest id
-    of a text combines before the shuffle, and Spark splits the join at a text of very many
-    copies."""
-    first = counts.groupBy("print", "tokenizer").agg(F.min("doc_id").alias("first"))
-    return (
-        counts.join(first, ["print", "tokenizer"]).filter("doc_id > first").drop("first")
-    )
+    """The counts of rows whose text another row has that stays, per tokenizer. The row of the
+    smallest doc_id stays, one without an id only where none has one, and of several the first by
+    row_id; without that column the rows are stored with a number. The row of a text that stays
+    combines before the shuffle, and Spark splits the join at a text of very many copies."""
+    rows = counts
+    if "row_id" not in counts.columns:
+        rows = stored(counts.withColumn("row_id", F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")
+    first = rows.groupBy("print", "tokenizer").agg(F.min(order).alias("first"))
+    gone = rows.join(first, ["print", "tokenizer"]).filter("row_id != first.row_id")
+    return gone.select(counts.columns)
 
 
 def squeezed(documents: DataFrame) -> DataFrame:

@@ -69,6 +69,34 @@ def test_revision_moves_between_keys(spark, rollup):
     assert totals(rollup) == {("a", "en"): (1, 5), ("a", "de"): (1, 12)}
 
 
+def test_revision_of_repeated_and_null_ids(spark, rollup):
+    types = "doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint"
+    old = [(1, "a", "en", "v1", 10)] * 3 + [(None, "a", "en", "v1", 7), (2, "a", "en", "v1", 5)]
+    new = [(1, "a", "en", "v1", 12)] * 3 + [(None, "a", "en", "v1", 8)]
+    old, new = (spark.createDataFrame(rows, types) for rows in (old, new))
+    rollup.commit(1, R.inserts(old))
+    assert R.revisions(old, new).count() == 8
+    rollup.commit(2, R.revisions(old, new))
+    assert totals(rollup) == {("a", "en"): (5, 3 * 12 + 8 + 5)}
+
+
+def test_query_with_repeated_and_null_ids(spark, tmp_path):
+    """Exact copies go whatever their ids, and what is left is counted with white space squeezed."""
+    from sensorloom.llm import queries
+
+    rows = [(1, "a  b c", "x"), (1, "a  b c", "x"), (1, "other text", "x"), (1, "more   text", "y")]
+    rows += [(None, "a  b c", "y"), (None, "only  here", "y"), (None, "only  here", "y"), (None, "plain", "x")]
+    docs = spark.createDataFrame([(i, t, s, "en") for i, t, s in rows], "doc_id bigint, text string, source string, lang string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    own = R.encoder(PATH, public_tokenizers.PATTERN)
+
+    def tokens(*texts):
+        return len(texts), sum(len(own.encode_ordinary(text)) for text in texts)
+
+    got = {r["source"]: (r["n_docs"], r["n_tokens"]) for r in queries.op5_token_rollup(spark, str(tmp_path)).collect()}
+    assert got == {"x": tokens("a b c", "other text", "plain"), "y": tokens("more text", "only here")}
+
+
 def test_broken_attempt_is_replaced(spark, rollup):
     types = "doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint"
     rows = spark.createDataFrame([(1, "a", "en", "v1", 10)], types)
