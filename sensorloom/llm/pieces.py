@@ -310,6 +310,17 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
+def checked(own: PieceModel, texts: list[str]) -> list[tuple[list[int], bytes]]:
+    """The ids of texts and their decimal forms, all of them compared with the library's."""
+    encoded = own.encode(texts)
+    for (ids, joined), expected in zip(
+        encoded, own.library.encode(texts, add_eos=True, num_threads=1), strict=True
+    ):
+        if ids != expected or joined != " ".join(map(str, ids)).encode():
+            raise ValueError("a text's ids differ from those of the library")
+    return encoded
+
+
 SCHEMA = "doc_id bigint, n_tokens bigint, ids string, decoded string"
 DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -320,7 +331,7 @@ def encode_documents(documents: DataFrame, path: str, digest: bool = False) -> D
     ``digest`` the SHA-256 of both.
 
     A null text is empty; an empty text has the end id only. In every Arrow batch the library
-    encodes each chunk that is new to the worker, and one whole text; a difference fails the query.
+    encodes each chunk that is new to the worker, and all whole texts; a difference fails the query.
     Repeated rows and null ids give a row each. ``path`` names a file that every executor has.
     """
     names = [field.split(" ")[0] for field in (DIGEST if digest else SCHEMA).split(", ")]
@@ -330,10 +341,8 @@ def encode_documents(documents: DataFrame, path: str, digest: bool = False) -> D
         for batch in batches:
             for part in text_slices(batch, "text"):
                 texts = [text or "" for text in part.column(1).to_pylist()]
-                encoded = own.encode(texts)
+                encoded = checked(own, texts)
                 ids = [each for each, _ in encoded]
-                if own.library.encode(texts[:1], add_eos=True, num_threads=1) != ids[:1]:
-                    raise ValueError("a text's ids differ from those of the library")
                 strings = [joined for _, joined in encoded]
                 decoded = own.library.decode(ids, num_threads=1)
                 if digest:

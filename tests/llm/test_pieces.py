@@ -43,6 +43,21 @@ def test_forgetting_changes_nothing(model, monkeypatch):
         assert [ids for ids, _ in model.encode(part)] == expected[start : start + 500]
 
 
+def test_every_text_of_a_slice_is_checked(monkeypatch):
+    """A wrong entry of the cache shows in whatever text it stands."""
+    own = P.PieceModel(PATH)
+    slice_ = ["one text", "another text", "the last text, of other words"]
+    assert [ids for ids, _ in P.checked(own, slice_)] == own.library.encode(slice_, add_eos=True)
+    right = own.encode
+    for at in range(len(slice_)):
+        for wrong in (lambda ids, joined: (ids[1:], joined), lambda ids, joined: (ids, joined + b" 7")):
+            monkeypatch.setattr(
+                own, "encode", lambda texts: [wrong(*e) if i == at else e for i, e in enumerate(right(texts))]
+            )
+            with pytest.raises(ValueError):
+                P.checked(own, slice_)
+
+
 def test_rows(spark, model):
     docs = awkward()
     rows = P.encode_documents(documents(spark, docs), PATH, digest=True).collect()
