@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import chat, decontaminate, jaccard, licenses, pieces, quality, rollups, secrets, substrings, vectors
+from sensorloom.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    fingerprints,
+    jaccard,
+    licenses,
+    pieces,
+    quality,
+    rollups,
+    secrets,
+    spelling,
+    substrings,
+    vectors,
+)
 from sensorloom.llm.common import shared_folder, stored, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 COUNT_RANKS, COUNT_VERSION = "byte_bpe_50k.tiktoken", "byte_bpe_50k"
 
 
@@ -95,6 +110,22 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeat_digest(substrings.remove_repeats(table(spark, folder, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    a_path, b_path = tokenizer_path(BYTE_MODEL), tokenizer_path(PIECE_MODEL)
+    aligned = alignment.align_tokenizers(documents, a_path, b_path, digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    compared = fingerprints.edit_and_compare(table(spark, folder, "documents"))
+    return fingerprints.fingerprint_digest(compared)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -106,6 +137,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_ids": op8_piece_ids,
     "op9_jaccard": op9_jaccard,
     "op10_repeats": op10_repeats,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {
