@@ -81,6 +81,7 @@ def build_graph(
     seq: str | None = None,
     folder: str | None = None,
     described: DataFrame | None = None,
+    writes_folder: str | None = None,
 ) -> Graph:
     """Merge enriched measurements into vertices.
 
@@ -95,6 +96,9 @@ def build_graph(
     ``described`` is a cheaper source of those properties: a table with the station and item
     columns of ``enriched`` and the first write order of each station and item in it, such as
     one aggregated from the scan before any deduplication.
+
+    ``writes_folder`` names a place for the last write of every measurement and status. The
+    measurements, statuses and times then all derive from that one pass over the input.
     """
     enriched = _with_address(enriched)
     keys = ["Station_Code", "Item_Code", "Status", "Measurement_Date"]
@@ -104,20 +108,20 @@ def build_graph(
     rows = enriched.filter(complete)
     written = F.col(seq or "Measurement_Date")
 
-    measurement = first_per_key(
-        rows.select(
-            F.col("Measurement_Date").alias("Raw_Datetime"),
-            "Station_Code",
-            "Item_Code",
-            *([written.alias("_written")] if seq else []),
-            F.col("Average_Value").alias("Value"),
-            "Instrument_Status",
-            "Status",
-        ),
-        MEASUREMENT_ID,
-        order=["_written"] if seq else [],
-        last=True,
-    ).drop("_written")
+    order = ["_written"] if seq else []
+    writes = rows.select(
+        F.col("Measurement_Date").alias("Raw_Datetime"),
+        "Station_Code",
+        "Item_Code",
+        *([written.alias("_written")] if seq else []),
+        F.col("Average_Value").alias("Value"),
+        "Instrument_Status",
+        "Status",
+    )
+    if writes_folder is not None:
+        first_per_key(writes, [*MEASUREMENT_ID, "Status"], order, last=True).write.parquet(writes_folder)
+        writes = enriched.sparkSession.read.schema(writes.schema).parquet(writes_folder)
+    measurement = first_per_key(writes, MEASUREMENT_ID, order, last=True).drop("_written")
     versions = _versions(rows if described is None else _with_address(described), written)
     if folder is not None:
         versions.write.parquet(folder)
@@ -125,8 +129,8 @@ def build_graph(
     return Graph(
         station=_first_written(versions, "Station_Code", STATION_PROPERTIES),
         item=_first_written(versions, "Item_Code", ITEM_PROPERTIES),
-        status=rows.select(F.col("Status").alias("Level")).distinct(),
-        time=rows.select(F.col("Measurement_Date").alias("Raw_Datetime"))
+        status=writes.select(F.col("Status").alias("Level")).distinct(),
+        time=writes.select("Raw_Datetime")
         .distinct()
         .withColumn("Datetime", F.col("Raw_Datetime").cast("timestamp")),
         measurement=measurement.withColumn("Datetime", F.col("Raw_Datetime").cast("timestamp")),
@@ -217,9 +221,10 @@ def _names(graph: Graph) -> dict[str, DataFrame]:
     }
 
 
-def match_paths(graph: Graph) -> DataFrame:
-    """Every path from a station over a measurement to an item, with both names."""
-    return join_lookups(graph.measurement, _names(graph))
+def match_paths(graph: Graph, hot_from: DataFrame | None = None) -> DataFrame:
+    """Every path from a station over a measurement to an item, with both names. ``hot_from`` is a
+    cheaper table to find the hot codes in, should the names be too many to broadcast."""
+    return join_lookups(graph.measurement, _names(graph), hot_from)
 
 
 def hot_spots(graph: Graph) -> DataFrame:
@@ -280,21 +285,46 @@ def key_audit(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFra
     """For each (label, table, key): rows, distinct keys and keys held by several rows.
 
     A uniqueness constraint holds where ``Violations`` is zero. Rows with a NULL in the key are
-    outside a constraint and are not counted.
+    outside a constraint and are not counted. The keys of one table are counted in one scan of it,
+    as grouping sets; give the same DataFrame for them.
     """
+    entries: dict[int, list[tuple[int, str, list[str]]]] = {}
+    by_id = {id(table): table for _, table, _ in tables}
+    for order, (label, table, key) in enumerate(tables):
+        entries.setdefault(id(table), []).append((order, label, list(key)))
     out = None
-    for label, table, key in tables:
-        per_key = table.select(*key).na.drop().groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-        line = per_key.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("Rows"),
-            F.count(F.lit(1)).alias("Keys"),
-            F.count_if(F.col("_n") > 1).alias("Violations"),
-        ).select(
-            F.lit(label).alias("Label"),
-            F.lit(",".join(key)).alias("Key"),
-            "Rows",
-            "Keys",
-            "Violations",
+    for identity, lines in entries.items():
+        audited = _audited(by_id[identity], lines)
+        out = audited if out is None else out.union(audited)
+    return out.orderBy("_order").drop("_order")
+
+
+def _audited(table: DataFrame, lines: Sequence[tuple[int, str, list[str]]]) -> DataFrame:
+    """A line for each (order, label, key) of one table."""
+    columns = list(dict.fromkeys(name for *_, key in lines for name in key))
+    sets = list(dict.fromkeys(tuple(sorted(set(key))) for *_, key in lines))
+    groups = table.select(*columns).groupingSets([list(s) for s in sets], *columns).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
+    )
+    counts, structs = [], []
+    for order, label, key in lines:
+        number = sum(1 << i for i, name in enumerate(reversed(columns)) if name not in key)
+        held = F.col("_set") == number
+        for name in key:
+            held = held & F.col(name).isNotNull()
+        counts += [
+            F.coalesce(F.sum(F.when(held, F.col("_n"))), F.lit(0)).alias(f"_rows{order}"),
+            F.count_if(held).alias(f"_keys{order}"),
+            F.count_if(held & (F.col("_n") > 1)).alias(f"_more{order}"),
+        ]
+        structs.append(
+            F.struct(
+                F.lit(order).alias("_order"),
+                F.lit(label).alias("Label"),
+                F.lit(",".join(key)).alias("Key"),
+                F.col(f"_rows{order}").alias("Rows"),
+                F.col(f"_keys{order}").alias("Keys"),
+                F.col(f"_more{order}").alias("Violations"),
+            )
         )
-        out = line if out is None else out.union(line)
-    return out
+    return groups.agg(*counts).select(F.inline(F.array(*structs)))

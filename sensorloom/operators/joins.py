@@ -14,6 +14,9 @@ HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-4
 # Into how many parts the rows of a hot key are dealt.
 SALTS = 64
+# A sketch tracks so many items for one of the least share, and at least so many; tasks are merged in
+# so many parts first.
+SKETCH_FACTOR, LEAST_TRACKED, SKETCH_PARTS = 5, 1000, 64
 
 
 def fits_broadcast(
@@ -51,15 +54,28 @@ def frequent_values(
 ) -> list:
     """The values with at least ``hot_rows`` rows and at least ``share`` of all rows.
 
-    There cannot be more than 1 / share of them. Only the key column is read and counts combine
-    before the shuffle. The list decides how rows travel in a join, never which rows come out.
+    Found by mergeable sketches of frequent items in one pass over the key column: a task sends one
+    sketch of a size that depends on ``share`` alone, however many keys there are, and the sketches
+    of some tasks are merged before those of all. There cannot be more than 1 / share values. Counts
+    are exact while the keys fit a sketch; beyond that they may be off by less than the share, so the
+    list may miss or add a value near it. It decides how rows travel in a join, never which rows come
+    out.
     """
-    counts = df.groupBy(column(key).alias("value")).count()
-    frequent = counts.filter(F.col("value").isNotNull() & (F.col("count") >= hot_rows))
-    most = counts.agg(F.sum("count")).first()[0] or 0
-    return sorted(
-        row["value"] for row in frequent.filter(F.col("count") >= share * most).collect()
+    tracked = max(int(SKETCH_FACTOR / share), LEAST_TRACKED)
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS)).alias("part")
+    sketches = (
+        df.select(column(key).alias("value"), part)
+        .groupBy("part")
+        .agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k_accumulate(value, {tracked})").alias("sketch"))
     )
+    merged = f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {tracked})"
+    # Grouped, as an empty table has no sketch to estimate from.
+    total = sketches.groupBy((F.col("part") < 0).alias("all")).agg(F.sum("rows").alias("rows"), F.expr(merged).alias("top"))
+    found = total.first()
+    if found is None:
+        return []
+    least = max(hot_rows, share * found["rows"])
+    return sorted(each["item"] for each in found["top"] if each["item"] is not None and each["count"] >= least)
 
 
 def _salted_join(

@@ -1,6 +1,6 @@
 """Why readings were dropped, and what is wrong with an enriched table."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,6 +21,9 @@ from sensorloom.schemas import (
 )
 
 
+MALFORMED_LINE = "Malformed line"
+
+
 def removal_reason(
     measurements: DataFrame,
     time_column: str = "Measurement_Date",
@@ -112,11 +115,13 @@ def clean_report(
     items: DataFrame,
     time_format: str | None = TIME_FORMAT,
     bad_statuses: Iterable[int] | None = BAD_INSTRUMENT_STATUS,
+    malformed: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Row counts per table before and after cleaning.
 
     For measurements every dropped row is accounted for: Raw = the reasons + NaN value +
-    NULL instrument status + Duplicates + Clean.
+    NULL instrument status + Duplicates + Clean. ``malformed`` has the source lines of tables that
+    could not be read; they are part of Raw and, where there are any, a line of their own.
     """
 
     def counted(df: DataFrame, table: str, outcome: str) -> DataFrame:
@@ -132,7 +137,13 @@ def clean_report(
         ("item", items, clean_item(items)),
     ):
         report = report.union(counted(raw, table, "Raw")).union(counted(clean, table, "Clean"))
-    return report
+    if not malformed:
+        return report
+    for table, lines in malformed.items():
+        unread = lines.agg(F.count(F.lit(1)).alias("Rows")).filter("Rows > 0")
+        outcomes = F.explode(F.array(F.lit("Raw"), F.lit(MALFORMED_LINE))).alias("Outcome")
+        report = report.union(unread.select(F.lit(table).alias("Table"), outcomes, "Rows"))
+    return report.groupBy("Table", "Outcome").agg(F.sum("Rows").alias("Rows"))
 
 
 def _any_null(*names: str) -> Column:
@@ -200,28 +211,54 @@ def validation_summary(
     latitude_range: tuple[float, float] = LATITUDE_RANGE,
     longitude_range: tuple[float, float] = LONGITUDE_RANGE,
 ) -> DataFrame:
-    """Offences per rule in report order, as one job.
+    """Offences per rule in report order, as one job over one scan of the facts.
 
-    The six row rules are counted in one pass without a shuffle; the duplicate and orphan rules
-    add one small aggregate each.
+    Grouping sets make the groups of measurement keys, of station codes and of item codes in one
+    pass; the groups of stations carry the counts of the six row rules. What follows has a row per
+    code: the lookups are joined to it to tell the orphans.
     """
-    bad_statuses = tuple(bad_statuses)
-    row_rules = _row_rules(bad_statuses, latitude_range, longitude_range)
-
-    def line(rule: str, count: Column) -> Column:
-        return F.struct(
-            F.lit(RULES.index(rule)).alias("_order"),
+    row_rules = _row_rules(tuple(bad_statuses), latitude_range, longitude_range)
+    flags = {rule: f"_rule{i}" for i, rule in enumerate(row_rules)}
+    marked = enriched.select(
+        *MEASUREMENT_KEY,
+        *[F.coalesce(cond, F.lit(False)).cast("int").alias(flags[rule]) for rule, cond in row_rules.items()],
+    )
+    # Bits of the grouping id, one per key column, tell which columns a set leaves out.
+    left_out = {
+        name: sum(1 << i for i, key in enumerate(reversed(MEASUREMENT_KEY)) if key != name)
+        for name in ("Station_Code", "Item_Code")
+    }
+    groups = marked.groupingSets(
+        [list(MEASUREMENT_KEY), ["Station_Code"], ["Item_Code"]], *MEASUREMENT_KEY
+    ).agg(
+        F.grouping_id().alias("_set"),
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(flag).alias(flag) for flag in flags.values()],
+    )
+    of_stations, of_items = (F.col("_set") == left_out[name] for name in ("Station_Code", "Item_Code"))
+    code = F.when(of_stations, F.col("Station_Code")).when(of_items, F.col("Item_Code"))
+    per_code = groups.groupBy("_set", code.alias("_code")).agg(
+        F.count_if(F.col("_rows") > 1).alias("_repeated"),
+        *[F.sum(flag).alias(flag) for flag in flags.values()],
+    )
+    known = None
+    for name, table in (("Station_Code", stations), ("Item_Code", items)):
+        codes = table.select(F.lit(left_out[name]).cast("bigint").alias("_set"), F.col(name).alias("_code"))
+        known = codes if known is None else known.union(codes)
+    known = known.distinct().withColumn("_known", F.lit(True))
+    orphan = F.col("_known").isNull()
+    totals = per_code.join(known, ["_set", "_code"], "left").agg(
+        *[F.sum(F.when(of_stations, F.col(flags[rule]))).alias(rule) for rule in row_rules],
+        F.sum(F.when(F.col("_set") == 0, F.col("_repeated"))).alias("Duplicates"),
+        F.count_if(of_stations & orphan).alias("Orphan_Station"),
+        F.count_if(of_items & orphan).alias("Orphan_Item"),
+    )
+    lines = [
+        F.struct(
+            F.lit(order).alias("_order"),
             F.lit(rule).alias("Rule_ID"),
-            count.alias("Validations"),
+            F.coalesce(F.col(rule), F.lit(0)).cast("bigint").alias("Validations"),
         )
-
-    counts = enriched.agg(*[F.count_if(cond).alias(rule) for rule, cond in row_rules.items()])
-    lines = counts.select(F.inline(F.array(*[line(rule, F.col(rule)) for rule in row_rules])))
-    details = validation_details(
-        enriched, stations, items, bad_statuses, latitude_range, longitude_range
-    )
-    for rule in RULES:
-        if rule not in row_rules:
-            counted = details[rule].agg(F.count(F.lit(1)).alias("n"))
-            lines = lines.union(counted.select(F.inline(F.array(line(rule, F.col("n"))))))
-    return lines.orderBy("_order").select("Rule_ID", "Validations")
+        for order, rule in enumerate(RULES)
+    ]
+    return totals.select(F.inline(F.array(*lines))).orderBy("_order").select("Rule_ID", "Validations")

@@ -1,6 +1,6 @@
 """The registered queries in SQL, for a second engine to check the results against."""
 
-from sensorloom.plans.registry import HISTORY_ITEM, HISTORY_STATION
+from sensorloom.plans.registry import EARLY_END, HISTORY_ITEM, HISTORY_STATION, LATE_START
 
 
 def rounded(expression: str, decimals: int) -> str:
@@ -114,6 +114,33 @@ HISTORY = f"""
 FROM enriched LEFT JOIN station_raw s USING (Station_Code) LEFT JOIN item_raw i USING (Item_Code)
 WHERE Item_Code = {HISTORY_ITEM} AND Station_Code = {HISTORY_STATION}"""
 
+LOADS = """
+SELECT 'measurements 1' AS "Load", count(*) AS Attempted, count(*) AS Inserted
+FROM enriched WHERE Status = 'Bad'
+UNION ALL SELECT 'measurements 2', 2 * count(*), count(*) FILTER (WHERE Status <> 'Bad')
+FROM enriched
+UNION ALL SELECT 'orders 1', count(*), count(DISTINCT o_custkey)
+FROM orders WHERE o_orderpriority LIKE '1%'
+UNION ALL SELECT 'orders 2', count(*), count(DISTINCT o_custkey)
+  - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderpriority LIKE '1%') FROM orders"""
+
+UPSERTED = f"""
+SELECT 'Measurement' AS "Label", * REPLACE (Value + CASE
+    WHEN Raw_Datetime >= TIMESTAMP '{LATE_START}' THEN 1 ELSE 0 END AS Value) FROM v_measurement
+UNION ALL BY NAME SELECT 'Station' AS "Label", Station_Code,
+    CASE WHEN min(Measurement_Date) < TIMESTAMP '{EARLY_END}' THEN Station_Name
+      ELSE Station_Name || '!' END AS Name, Latitude, Longitude, Address
+  FROM enriched GROUP BY Station_Code, Station_Name, Latitude, Longitude, Address
+UNION ALL BY NAME SELECT 'Item' AS "Label", * FROM v_item
+UNION ALL BY NAME SELECT 'Status' AS "Label", * FROM v_status
+UNION ALL BY NAME SELECT 'MeasurementTime' AS "Label", Raw_Datetime, Raw_Datetime AS Datetime
+  FROM v_time"""
+
+TREND = f"""
+SELECT strftime(Measurement_Date, '%Y-%m-%d %H:%M') AS "Datetime",
+  s.Station_Name AS "Station Name", i.Item_Name AS "Item Name", Average_Value AS "Value",
+  Status AS "Status" {HISTORY} ORDER BY Measurement_Date"""
+
 HOT_SPOTS = f"""
 SELECT s.Name AS Station, i.Name AS Pollutant, Bad_Count, Total,
   {rounded("100.0::DOUBLE * Bad_Count / Total", 2)} AS Weightage, Avg_Value, Worst_Value
@@ -233,6 +260,14 @@ SELECT Station_Code AS Station_code, Station_Name AS Station_name_district_, Add
   Station_Code + 1 AS Station_code_2 FROM station_raw""",
         "json_encode": text + f" SELECT '{{' || {fields} || '}}' AS \"value\" FROM texts",
         "json_decode": text + " SELECT * FROM texts",
+        "csv_malformed": text
+        + """
+SELECT CASE WHEN "Item code" IN ('5', '6') THEN 'malformed' ELSE 'row' END AS "Kind",
+  coalesce("Measurement date", '') || ',' || coalesce("Station code", '') || ','
+  || coalesce("Item code", '') || ',' || coalesce("Average value", '')
+  || CASE WHEN "Item code" = '5' THEN '' ELSE ',' || coalesce("Instrument status", '') END
+  || CASE WHEN "Item code" = '6' THEN ',more' ELSE '' END AS "Line"
+FROM texts""",
         "clean_station": clean + " SELECT * FROM station",
         "clean_item": clean
         + """
@@ -298,11 +333,8 @@ SELECT (SELECT count(*) FROM orders) AS Attempted, count(*) AS Inserted,
         + f"""
 SELECT * FROM ({SNAPSHOT}) WHERE "Item Name" IS NOT NULL
 ORDER BY "Item Name", "Value" DESC, "Station Code", "Item Code" """,
-        "historical_trend": full
-        + f"""
-SELECT strftime(Measurement_Date, '%Y-%m-%d %H:%M') AS "Datetime",
-  s.Station_Name AS "Station Name", i.Item_Name AS "Item Name", Average_Value AS "Value",
-  Status AS "Status" {HISTORY} ORDER BY Measurement_Date""",
+        "historical_trend": full + TREND,
+        "history_store": full + TREND,
         "history_head": full
         + f"""
 SELECT Measurement_Date AS "Datetime", s.Station_Name AS "Station Name",
@@ -316,6 +348,7 @@ UNION ALL BY NAME SELECT 'Item' AS "Label", * FROM v_item
 UNION ALL BY NAME SELECT 'Status' AS "Label", * FROM v_status
 UNION ALL BY NAME SELECT 'MeasurementTime' AS "Label", Raw_Datetime, Raw_Datetime AS Datetime
   FROM v_time""",
+        "graph_upsert": graph + UPSERTED,
         "graph_edges": graph
         + """
 SELECT "Type", "From", "To", Station_Code, Item_Code, Raw_Datetime,
@@ -362,6 +395,13 @@ FROM (SELECT CAST(Datetime AS DATE) AS Day, s.Name AS Station, i.Name AS Polluta
   FROM v_measurement JOIN v_station s USING (Station_Code) JOIN v_item i USING (Item_Code))
 GROUP BY ALL""",
         "item_status_stats": full + ITEM_STATUS + " FROM enriched GROUP BY ALL",
+        "item_status_store": full + ITEM_STATUS + " FROM enriched GROUP BY ALL",
+        "latest_store": full
+        + ","
+        + LATEST
+        + """
+SELECT Measurement_Date, Station_Code, Item_Code, Average_Value, Instrument_Status, Status,
+  Item_Name, Station_Name FROM latest""",
         "item_status_pretty": full
         + f"""
 , stats AS ({ITEM_STATUS}, CASE Status WHEN 'Good' THEN 1 WHEN 'Normal' THEN 2
@@ -372,16 +412,8 @@ SELECT CASE WHEN row_number() OVER (PARTITION BY Item_Name ORDER BY grade_rank)
   {rounded("avg_value", 3)} AS Average, min_value AS Min_Value, max_value AS Max_Value
 FROM stats""",
         "processed_roundtrip": full + " SELECT * FROM enriched",
-        "doc_load_twice": full
-        + """
-SELECT 'measurements 1' AS "Load", count(*) AS Attempted, count(*) AS Inserted
-FROM enriched WHERE Status = 'Bad'
-UNION ALL SELECT 'measurements 2', 2 * count(*), count(*) FILTER (WHERE Status <> 'Bad')
-FROM enriched
-UNION ALL SELECT 'orders 1', count(*), count(DISTINCT o_custkey)
-FROM orders WHERE o_orderpriority LIKE '1%'
-UNION ALL SELECT 'orders 2', count(*), count(DISTINCT o_custkey)
-  - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderpriority LIKE '1%') FROM orders""",
+        "doc_load_twice": full + LOADS,
+        "doc_store_loads": full + LOADS,
         "doc_edge_cases": raw
         + """
 , source AS (
@@ -431,6 +463,8 @@ SELECT date_trunc('hour', Measurement_Date) AS "Hour", Item_Code, Item_Name, Sta
         "stream_append": text + " SELECT * FROM texts",
         "stream_clean": clean
         + " SELECT * FROM measurement",
+        "stream_clean_store": clean
+        + " SELECT * FROM measurement",
         "stream_item_status": streamed
         + ITEM_STATUS
         + " FROM streamed WHERE Average_Value IS NOT NULL GROUP BY ALL",

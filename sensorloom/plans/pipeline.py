@@ -37,7 +37,7 @@ from sensorloom.schemas import (
     enriched_schema,
 )
 from sensorloom.sources.documents import LoadCounts, load_collection, load_measurements
-from sensorloom.sources.files import header_schema, read_csv, write_csv
+from sensorloom.sources.files import header_schema, read_csv, read_csv_lines, write_csv
 from sensorloom.sources.graphs import read_graph, save_graph
 from sensorloom.sources.kafka import kafka_stream
 from sensorloom.streaming.streams import append_stream, file_stream, snapshot_stream
@@ -83,6 +83,7 @@ class Audit:
     error_counts: DataFrame
     summary: DataFrame
     details: dict[str, DataFrame]
+    malformed: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def process(
@@ -101,8 +102,10 @@ def process(
     """
     bad_statuses = None if bad_statuses is None else tuple(bad_statuses)
     raw = recast(spark.read.parquet(measurement_path), MEASUREMENT, store.types)
-    station_raw = recast(read_csv(spark, station_csv), STATION, store.types)
-    item_raw = recast(read_csv(spark, item_csv), ITEM, store.types)
+    stations, bad_stations = read_csv_lines(spark, station_csv)
+    items, bad_items = read_csv_lines(spark, item_csv)
+    malformed = {"station": bad_stations, "item": bad_items}
+    station_raw, item_raw = recast(stations, STATION, store.types), recast(items, ITEM, store.types)
     measure = clean_measure(raw, bad_statuses=bad_statuses)
     station, item = clean_station(station_raw), clean_item(item_raw)
     write_processed(enrich_measure(measure, station, item, hot_from=raw), out_path, files, store)
@@ -111,11 +114,14 @@ def process(
     errors = detect_errors(raw, bad_statuses=bad_statuses)
     flagged = tuple(bad_statuses or BAD_INSTRUMENT_STATUS)
     return Audit(
-        row_counts=clean_report(raw, station_raw, item_raw, bad_statuses=bad_statuses),
+        row_counts=clean_report(
+            raw, station_raw, item_raw, bad_statuses=bad_statuses, malformed=malformed
+        ),
         errors=errors,
         error_counts=error_counts(errors),
         summary=validation_summary(stored, station, item, flagged),
         details=validation_details(stored, station, item, flagged),
+        malformed=malformed,
     )
 
 

@@ -7,19 +7,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensorloom.functions.columns import recast, sanitize_columns, trim_strings
 from sensorloom.functions.messages import decode_messages, to_messages
 from sensorloom.operators import documents, graph, quality, reports
+from sensorloom.operators.clean import valid_measurements
 from sensorloom.plans.pipeline import Store, read_processed, write_processed
 from sensorloom.plans.tables import Tables, measurement_source, measurement_text
 from sensorloom.operators.enrich import enrich_measure
 from sensorloom.schemas import MEASUREMENT, WIDE_CODES
-from sensorloom.sources.documents import load_collection, load_measurements, read_collection
-from sensorloom.sources.files import read_csv, shared_folder, write_csv
-from sensorloom.streaming import streams
+from sensorloom.sources.documents import (
+    insert_documents,
+    insert_history,
+    insert_measurements,
+    load_collection,
+    load_measurements,
+    read_collection,
+    read_history,
+)
+from sensorloom.sources.files import read_csv, read_csv_lines, shared_folder, write_csv
+from sensorloom.sources.graphs import upsert_graph
+from sensorloom.streaming import snapshots, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The point that the history queries look up.
 HISTORY_ITEM, HISTORY_STATION = 1, 5
 
+# The first of two overlapping loads ends, and the second starts.
+EARLY_END, LATE_START = "1995-07-01", "1995-01-01"
+
 # Bounds a micro-batch when a stream works through a large backlog.
 FILES_PER_TRIGGER = 100
 
@@ -115,6 +128,23 @@ def csv_roundtrip(t: Tables) -> DataFrame:
     return read_csv(t.spark, folder, t.enriched.schema)
 
 
+def malformed_lines(t: Tables) -> DataFrame:
+    """All lines of a CSV of measurements in which items 5 lack the last field and items 6 have one
+    more, with what became of them."""
+    text = measurement_text(t.read("lineitem"))
+    fields = [F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in text.columns]
+    item = F.coalesce(F.col("`Item code`"), F.lit(""))
+    line = F.when(item == "5", F.concat_ws(",", *fields[:-1])).otherwise(
+        F.concat(F.concat_ws(",", *fields), F.when(item == "6", ",more").otherwise(""))
+    )
+    folder = shared_folder(t.spark, "lines")
+    text.select(line).write.text(folder)
+    rows, malformed = read_csv_lines(t.spark, folder, text.schema, header=False)
+    return rows.select(F.lit("row").alias("Kind"), F.concat_ws(",", *fields).alias("Line")).union(
+        malformed.select(F.lit("malformed"), "Line")
+    )
+
+
 def processed_roundtrip(t: Tables) -> DataFrame:
     """Measurements enriched from a station table with a column more, in another order, stored
     between the jobs as CSV and read back."""
@@ -151,6 +181,22 @@ def load_twice(t: Tables) -> DataFrame:
     )
 
 
+def store_loads(t: Tables) -> DataFrame:
+    """The loads of ``load_twice`` into a store that knows its keys by period and by bucket."""
+    folder = shared_folder(t.spark, "store")
+    rows = documents.measurement_documents(t.enriched, "bigint")
+    incoming, _ = offered_documents(t)
+    measured = [rows.filter("status = 'Bad'"), rows.union(rows)]
+    ordered = [incoming.filter("name LIKE '1%'"), incoming]
+    loads = [insert_measurements(r, folder, period="yyyy-MM") for r in measured]
+    loads += [insert_documents(o, folder, "orders", order=["order_no"], buckets=8) for o in ordered]
+    names = ["measurements 1", "measurements 2", "orders 1", "orders 2"]
+    return t.spark.createDataFrame(
+        [(name, counts.attempted, counts.inserted) for name, counts in zip(names, loads)],
+        "Load string, Attempted bigint, Inserted bigint",
+    )
+
+
 def edge_documents(t: Tables) -> DataFrame:
     """Station documents from a source with every code twice, missing codes and missing
     coordinates; the one of the least name is kept."""
@@ -188,6 +234,42 @@ def graph_conflicts(t: Tables) -> DataFrame:
     return rows.unionByName(named, allowMissingColumns=True)
 
 
+def upserted_graph(t: Tables) -> DataFrame:
+    """The vertices of a stored graph after two loads that overlap by half a year. The later one
+    brings other values and other names of stations."""
+    folder = shared_folder(t.spark, "graph")
+    time = F.col("Measurement_Date")
+    upsert_graph(t.enriched.filter(time < F.lit(EARLY_END).cast("timestamp")), folder)
+    late = t.enriched.filter(time >= F.lit(LATE_START).cast("timestamp")).withColumns(
+        {
+            "Average_Value": F.col("Average_Value") + 1,
+            "Station_Name": F.concat("Station_Name", F.lit("!")),
+        }
+    )
+    return graph.vertex_rows(upsert_graph(late, folder))
+
+
+def stored_clean(t: Tables) -> DataFrame:
+    """Clean measurements from a store that takes the early readings, then all, then all again
+    under the same number."""
+    folder = shared_folder(t.spark, "clean")
+    valid = valid_measurements(t.measurement_raw)
+    early = valid.filter(F.col("Measurement_Date") < F.lit(EARLY_END).cast("timestamp"))
+    for batch_id, batch in ((0, early), (1, valid), (1, valid)):
+        streams.store_clean_batch(batch, folder, batch_id, period="yyyy-MM")
+    return streams.read_clean(t.spark, folder)
+
+
+def kept_results(t: Tables) -> str:
+    """The folder of results kept up to date by two micro-batches, the second taken twice."""
+    folder = shared_folder(t.spark, "results")
+    first = F.col("Measurement_Date") < F.lit(EARLY_END).cast("timestamp")
+    late = t.enriched.filter(~first)
+    for batch_id, batch in ((0, t.enriched.filter(first)), (1, late), (1, late)):
+        snapshots.take_batch(batch, folder, batch_id)
+    return folder
+
+
 def offered_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Orders as documents keyed by customer, and supplier keys as the documents present."""
     incoming = t.read("orders").select(
@@ -214,8 +296,18 @@ def history(t: Tables) -> DataFrame:
     return documents.historical_trend(*collections(t), HISTORY_ITEM, HISTORY_STATION)
 
 
+def stored_history(t: Tables) -> DataFrame:
+    """The history from a collection laid out for it, after two loads that overlap."""
+    rows, items, stations = collections(t)
+    folder = shared_folder(t.spark, "history")
+    insert_history(rows.filter(F.col("ts") < F.lit(EARLY_END).cast("timestamp")), folder)
+    insert_history(rows, folder)
+    kept = read_history(t.spark, folder, HISTORY_ITEM, HISTORY_STATION)
+    return documents.historical_trend(kept, items, stations, HISTORY_ITEM, HISTORY_STATION)
+
+
 def key_audit(t: Tables) -> DataFrame:
-    vertices = t.lazy_graph
+    vertices = graph.build_graph(t.enriched, writes_folder=shared_folder(t.spark, "writes"))
     raw_key = ["Station_Code", "Item_Code", "Measurement_Date"]
     return graph.key_audit(
         [
@@ -297,6 +389,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "enrich_measure": lambda t: t.enriched,
     "enrich_measure_shuffled": enriched_by_shuffle,
     "csv_roundtrip": csv_roundtrip,
+    "csv_malformed": malformed_lines,
     "validate_summary": lambda t: quality.validation_summary(
         t.enriched_raw, t.station_raw, t.item_raw
     ),
@@ -317,11 +410,12 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "latest_snapshot": snapshot,
     "latest_snapshot_report": lambda t: documents.latest_snapshot_report(snapshot(t)),
     "historical_trend": history,
+    "history_store": stored_history,
     "history_head": lambda t: documents.history_head(history(t)),
-    "graph_vertices": lambda t: graph.vertex_rows(t.graph),
+    "graph_vertices": lambda t: graph.vertex_rows(t.written_graph),
     "graph_edges": lambda t: graph.edge_rows(t.lazy_graph),
     "graph_key_audit": key_audit,
-    "graph_paths": lambda t: graph.match_paths(t.graph),
+    "graph_paths": lambda t: graph.match_paths(t.graph, hot_from=t.measurement_raw),
     "hot_spots": lambda t: graph.hot_spots(t.graph),
     "hot_spots_top": lambda t: graph.hot_spots(t.graph).limit(30),
     "daily_avg": lambda t: graph.daily_avg(t.graph),
@@ -331,7 +425,9 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "processed_roundtrip": processed_roundtrip,
     "doc_load_twice": load_twice,
+    "doc_store_loads": store_loads,
     "doc_edge_cases": edge_documents,
+    "graph_upsert": upserted_graph,
     "graph_conflicts": graph_conflicts,
     "graph_rejected": lambda t: conflicting_graph(t).rejected,
     "stream_bad_records_by_time": lambda t: streams.bad_records_by_time(stream_bad_records(t)),
@@ -339,7 +435,10 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "bad_records_hourly": lambda t: reports.bad_records_hourly(t.enriched),
     "stream_append": stream_append,
     "stream_clean": stream_clean,
+    "stream_clean_store": stored_clean,
     "stream_item_status": stream_item_status,
+    "latest_store": lambda t: snapshots.read_latest(t.spark, kept_results(t)),
+    "item_status_store": lambda t: snapshots.read_totals(t.spark, kept_results(t)),
     "stream_bad_records": stream_bad_records,
 }
 

@@ -22,6 +22,7 @@ from sensorloom.operators.enrich import enrich_measure
 from sensorloom.operators.graph import Graph, build_graph
 from sensorloom.operators.joins import join_small
 from sensorloom.schemas import ITEM, MEASUREMENT, STATION, TIME_FORMAT, WIDE_CODES
+from sensorloom.sources.files import shared_folder
 
 
 def measurement_source(lineitem: DataFrame) -> DataFrame:
@@ -163,8 +164,20 @@ class Tables:
 
     @cached_property
     def graph(self) -> Graph:
-        """The graph, with the properties of stations and items from the first readings."""
-        return build_graph(self.enriched, described=self.first_readings)
+        """The graph, with the properties of stations and items from the first readings, which
+        are written once for both."""
+        folder = shared_folder(self.spark, "properties")
+        return build_graph(self.enriched, folder=folder, described=self.first_readings)
+
+    @cached_property
+    def written_graph(self) -> Graph:
+        """The graph, with all its measurements, statuses and times from one pass."""
+        return build_graph(
+            self.enriched,
+            folder=shared_folder(self.spark, "properties"),
+            described=self.first_readings,
+            writes_folder=shared_folder(self.spark, "writes"),
+        )
 
     @cached_property
     def lazy_graph(self) -> Graph:

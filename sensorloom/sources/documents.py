@@ -5,10 +5,11 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sensorloom.operators.dedup import first_per_key
 from sensorloom.operators.documents import insert_ignore
+from sensorloom.sources.store import PieceStore
 
 
 @dataclass(frozen=True)
@@ -115,3 +116,98 @@ def _unstored(
         near = stored.filter(F.col(period).between(start, F.to_date(F.lit(last))))
         fresh = fresh.join(keyed(near).select(keys), keys, "left_anti")
     return fresh.drop("_station", "_item")
+
+
+# Into how many partitions documents are dealt by their keys.
+KEY_BUCKETS = 64
+
+
+def insert_documents(
+    documents: DataFrame,
+    folder: str,
+    name: str,
+    key: str = "_id",
+    order: Sequence[str] = (),
+    buckets: int = KEY_BUCKETS,
+) -> LoadCounts:
+    """Add the documents whose key the collection ``name`` of a store lacks.
+
+    Documents lie in buckets of their keys. A load reads the keys of the buckets that it brings
+    documents for, and the store knows its rows, so nothing stored is counted. Choose ``buckets``
+    so that one holds a file's worth of documents, and keep it: it is part of the layout.
+    """
+    change = PieceStore(documents.sparkSession, folder).begin()
+    attempted = documents.count()
+    bucket = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int")
+    inserted = change.insert_new(name, documents.withColumn("Bucket", bucket), [key], "Bucket", order)
+    change.commit()
+    return LoadCounts(attempted, inserted)
+
+
+def insert_measurements(
+    documents: DataFrame, folder: str, name: str = "measurements", period: str = "yyyy-MM-dd"
+) -> LoadCounts:
+    """Add measurement documents, one per time, station and item, unless it is there.
+
+    Documents lie by ``period``, a pattern of dates; a load reads the keys of its own periods.
+    Within a file they are sorted by time, station and item.
+    """
+    change = PieceStore(documents.sparkSession, folder).begin()
+    attempted = documents.count()
+    keyed = documents.withColumns(
+        {
+            "_station": F.col("meta.station_code"),
+            "_item": F.col("meta.item_code"),
+            "Period": F.date_format("ts", period),
+        }
+    )
+    inserted = change.insert_new(name, keyed, ["ts", "_station", "_item"], "Period")
+    change.commit()
+    return LoadCounts(attempted, inserted)
+
+
+def _cell(item_code: Column | int, station_code: Column | int, cells: int) -> Column | int:
+    mixed = station_code * 1_000_003 + item_code
+    return mixed % cells if isinstance(mixed, int) else F.pmod(mixed, F.lit(cells)).cast("int")
+
+
+def insert_history(
+    documents: DataFrame, folder: str, name: str = "history", cells: int = KEY_BUCKETS
+) -> LoadCounts:
+    """Add measurement documents to a collection that is laid out for the history of one item at one
+    station: by cells of both codes, and inside a file by station, item and time. Documents that are
+    there, or without a code, are left out. Keep ``cells``: it is part of the layout."""
+    change = PieceStore(documents.sparkSession, folder).begin()
+    attempted = documents.count()
+    station, item = F.col("meta.station_code").cast("bigint"), F.col("meta.item_code").cast("bigint")
+    keyed = documents.filter(station.isNotNull() & item.isNotNull()).withColumns(
+        {"_station": station, "_item": item, "Cell": _cell(item, station, cells)}
+    )
+    inserted = change.insert_new(name, keyed, ["_station", "_item", "ts"], "Cell")
+    change.commit()
+    return LoadCounts(attempted, inserted)
+
+
+def read_history(
+    spark: SparkSession,
+    folder: str,
+    item_code: int,
+    station_code: int,
+    name: str = "history",
+    cells: int = KEY_BUCKETS,
+) -> DataFrame | None:
+    """The documents of one item at one station. Only the files of their cell are listed and opened,
+    and in those only the row groups whose range holds the codes are read."""
+    store = PieceStore(spark, folder)
+    rows = store.read(name, [str(_cell(item_code, station_code, cells))])
+    if rows is None:
+        return None
+    matched = rows.filter((F.col("_station") == station_code) & (F.col("_item") == item_code))
+    return matched.drop("_station", "_item", "Cell")
+
+
+def stored_documents(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
+    """The documents of a store's collection, without the columns of its layout; None if there is
+    none."""
+    found = PieceStore(spark, folder).read(name)
+    return None if found is None else found.drop("Bucket", "Period", "Cell", "_station", "_item")

@@ -2,9 +2,11 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sensorloom.functions.columns import column
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | None = None, header: bool = True
@@ -25,6 +27,30 @@ def header_schema(spark: SparkSession, path: str) -> StructType:
     return StructType([StructField(n.removeprefix("\ufeff").strip(), StringType()) for n in names])
 
 
+def read_csv_lines(
+    spark: SparkSession, path: str, schema: StructType | None = None, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of CSV files, and the lines (``Line``) that do not have the right number of fields.
+
+    Fields are read as text, named by the header or by ``schema``, so that a value of a wrong type
+    makes no line malformed; ``recast`` gives them their types. Both tables come from one parse and
+    together hold every line once.
+    """
+    names = (schema or header_schema(spark, path)).names
+    line = "_line"
+    while line in names:
+        line += "_"
+    text = StructType([StructField(name, StringType()) for name in [*names, line]])
+    # Fields that a query does not need count as well, so none is pruned before the lines are split.
+    reader = spark.read.option("header", header).option("columnPruning", False)
+    reader = reader.option("columnNameOfCorruptRecord", line)
+    lines = reader.schema(text).csv(path)
+    # A condition that is always met, as Spark reads no malformed lines without their fields.
+    parsed = F.length(F.coalesce(column(names[0]), F.lit(""))) >= 0
+    rows = lines.filter(F.col(line).isNull() & parsed).drop(line)
+    return rows, lines.filter(F.col(line).isNotNull() & parsed).select(F.col(line).alias("Line"))
+
+
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """Replace ``path`` by CSV files with a header.
 

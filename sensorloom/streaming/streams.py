@@ -12,6 +12,7 @@ from sensorloom.operators.clean import valid_measurements
 from sensorloom.operators.dedup import first_per_key
 from sensorloom.schemas import BAD_INSTRUMENT_STATUS, MEASUREMENT_KEY, TIME_FORMAT
 from sensorloom.sources.files import read_csv
+from sensorloom.sources.store import MOST_PIECES, PieceStore
 
 log = logging.getLogger(__name__)
 
@@ -185,6 +186,62 @@ def clean_measure_sink(
     return writer.start()
 
 
+def store_clean_batch(
+    valid: DataFrame,
+    folder: str,
+    batch_id: int,
+    most_pieces: int = MOST_PIECES,
+    period: str = "yyyy-MM-dd",
+) -> int | None:
+    """Add a micro-batch of valid readings to the store in ``folder``; how many were new, None if
+    the micro-batch is in it already.
+
+    The rows of a key that come first are kept, the lowest of one micro-batch. The batch is computed
+    once and reduced to a row per key; only the stored keys of the periods in it are read, whatever
+    lies between those and however many micro-batches went before. A period has at most
+    ``most_pieces`` folders, which are then made one. Choose ``period``, a pattern of dates, so that
+    one holds at least a file's worth of rows, and keep it.
+    """
+    change = PieceStore(valid.sparkSession, folder).begin(batch_id)
+    if change is None:
+        return None
+    dated = valid.withColumn("Period", F.date_format("Measurement_Date", period))
+    added = change.insert_new("clean", dated, list(MEASUREMENT_KEY), "Period", most_pieces=most_pieces)
+    change.commit()
+    return added
+
+
+def clean_measure_store(
+    measurements: DataFrame,
+    folder: str,
+    checkpoint: str,
+    time_format: str | None = TIME_FORMAT,
+    bad_statuses: Iterable[int] | None = BAD_INSTRUMENT_STATUS,
+    drain: bool = False,
+    most_pieces: int = MOST_PIECES,
+    period: str = "yyyy-MM-dd",
+) -> StreamingQuery:
+    """Keep the valid readings of a stream, one per time, station and item, in a store.
+
+    The rows are those of ``clean_measure_sink``, for streams that run for long: see
+    ``store_clean_batch``. One stream writes to a store; a micro-batch that is run again after a
+    failure changes nothing. ``read_clean`` gives the rows.
+    """
+    valid = valid_measurements(measurements, time_format=time_format, bad_statuses=bad_statuses)
+    writer = valid.writeStream.foreachBatch(
+        lambda batch, batch_id: store_clean_batch(batch, folder, batch_id, most_pieces, period)
+    ).option("checkpointLocation", checkpoint)
+    if drain:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_clean(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The readings that ``clean_measure_store`` has kept, None before the first."""
+    found = PieceStore(spark, folder).read("clean")
+    return None if found is None else found.drop("Period")
+
+
 def clean_measure_stream(
     measurements: DataFrame,
     watermark: str | None,

@@ -71,3 +71,11 @@ def test_date_filter_passes_the_enrichment(spark, tmp_path, capsys):
     enriched = enrich_measure(spark.read.parquet(path), t.station, t.item)
     plan = formatted(enriched.filter(F.col("Measurement_Date") >= "2000-01-01"), capsys)
     assert "GreaterThanOrEqual(Measurement_Date" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["validate_summary", "graph_key_audit", "graph_vertices", "graph_paths", "hot_spots", "daily_avg"]
+)
+def test_the_fact_is_read_once_where_several_results_share_it(spark, name):
+    """What a query stores first takes one more scan."""
+    assert scans(registry.queries()[name](spark, FOLDER), "l_orderkey") <= 1

@@ -1,0 +1,319 @@
+"""The store of pieces, and the loads that use it."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.operators import graph as G
+from sensorloom.operators.clean import clean_measure
+from sensorloom.operators.dedup import first_per_key
+from sensorloom.operators.quality import clean_report
+from sensorloom.operators.reports import item_status_stats
+from sensorloom.plans.tables import Tables
+from sensorloom.schemas import MEASUREMENT_KEY
+from sensorloom.sources.documents import (
+    insert_documents,
+    insert_history,
+    insert_measurements,
+    read_history,
+    stored_documents,
+)
+from sensorloom.sources.files import read_csv_lines
+from sensorloom.sources.graphs import stored_graph, upsert_graph
+from sensorloom.sources.store import ConflictError, PieceStore
+from sensorloom.streaming import snapshots, streams
+from tests.test_streams import FOLDER, same
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return Tables(spark, FOLDER)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "k int, v string, p int")
+
+
+def content(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def files(folder):
+    return {p for p in folder.rglob("*.parquet")}
+
+
+def load(store, method, name, rows, keys=("k",), **options):
+    change = store.begin()
+    grown = getattr(change, method)(name, rows, list(keys), "p", **options)
+    change.commit()
+    return grown
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return PieceStore(spark, str(tmp_path / "store"))
+
+
+def test_an_empty_store(store):
+    assert store.manifest().version == 0 and store.read("t") is None and store.vacuum() == 0
+
+
+def test_insert_new_keeps_what_is_there(spark, store):
+    assert load(store, "insert_new", "t", table(spark, [(1, "a", 1), (2, "b", 2), (2, "a", 2)])) == 2
+    assert load(store, "insert_new", "t", table(spark, [(1, "z", 1), (3, "c", 1), (4, "d", 4)])) == 2
+    assert content(store.read("t")) == [(1, "a", 1), (2, "a", 2), (3, "c", 1), (4, "d", 4)]
+    assert store.manifest().tables["t"].rows == 4
+    assert content(store.read("t", ["1", "9"])) == [(1, "a", 1), (3, "c", 1)]
+    assert load(store, "insert_new", "t", table(spark, [])) == 0
+    assert load(store, "insert_new", "t", table(spark, [(1, "y", 1)])) == 0
+
+
+def test_upsert_rewrites_only_its_partitions(spark, store, tmp_path):
+    load(store, "upsert", "t", table(spark, [(k, "old", k % 3) for k in range(9)]))
+    before = {p: p.stat().st_mtime_ns for p in files(tmp_path) if "p=1" not in str(p)}
+    assert load(store, "upsert", "t", table(spark, [(1, "new", 1), (10, "new", 1), (10, "newer", 1)])) == 1
+    expected = [(k, "new" if k == 1 else "old", k % 3) for k in range(9)] + [(10, "newer", 1)]
+    assert content(store.read("t")) == sorted(expected)
+    assert before.items() <= {p: p.stat().st_mtime_ns for p in files(tmp_path)}.items()
+    # A reader of the version before still sees it whole, until it is removed.
+    assert content(store.read("t", version=1)) == sorted((k, "old", k % 3) for k in range(9))
+    assert store.vacuum(keep=1) == 1
+    assert content(store.read("t")) == sorted(expected)
+    assert store.vacuum(keep=1) == 0
+
+
+def test_pieces_of_a_partition_are_made_one(spark, store):
+    most = 0
+    for k in range(12):
+        load(store, "insert_new", "t", table(spark, [(k, "x", 0), (k + 100, "x", k)]), most_pieces=3)
+        most = max(most, max(len(p) for p in store.manifest().tables["t"].pieces.values()))
+    assert most == 3
+    expected = [(k, "x", 0) for k in range(12)] + [(k + 100, "x", k) for k in range(12)]
+    assert content(store.read("t")) == sorted(expected)
+
+
+def test_several_tables_change_at_once(spark, store):
+    change = store.begin()
+    change.append("a", table(spark, [(1, "x", 1), (1, "x", 1)]), "p")
+    change.insert_new("b", table(spark, [(1, "x", 1)]), ["k"], "p")
+    assert store.read("a") is None
+    change.commit()
+    assert store.read("a").count() == 2 and store.read("b").count() == 1
+
+
+def test_of_two_changes_one_is_refused(spark, store):
+    one, two = store.begin(), store.begin()
+    one.append("t", table(spark, [(1, "one", 1)]), "p")
+    two.append("t", table(spark, [(2, "two", 1)]), "p")
+    one.commit()
+    with pytest.raises(ConflictError):
+        two.commit()
+    assert content(store.read("t")) == [(1, "one", 1)]
+    assert store.vacuum() == 1 and content(store.read("t")) == [(1, "one", 1)]
+
+
+def test_another_layout_is_refused(spark, store):
+    load(store, "insert_new", "t", table(spark, [(1, "a", 1)]))
+    with pytest.raises(ValueError):
+        store.begin().append("t", table(spark, [(1, "a", 1)]).withColumnRenamed("v", "w"), "p")
+
+
+def test_a_batch_is_taken_once(spark, store):
+    assert store.begin(5) is not None
+    change = store.begin(5)
+    change.append("t", table(spark, [(1, "a", 1)]), "p")
+    change.commit()
+    assert store.begin(5) is None and store.begin(4) is None and store.begin(6) is not None
+    assert store.begin() is not None and store.begin().base.batch == 5
+
+
+def test_many_micro_batches(spark, tables, tmp_path):
+    """Forty files over a month: the rows of one pass, and no day of more pieces than allowed."""
+    incoming, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "chk"))
+    raw = tables.measurement_raw.filter("Measurement_Date >= '1995-03-01' and Measurement_Date < '1995-04-01'")
+    raw = raw.withColumn("_file", F.pmod(F.xxhash64(*MEASUREMENT_KEY), F.lit(40)))
+    for number in range(40):
+        part = raw.filter(F.col("_file") == number).drop("_file")
+        part.coalesce(1).write.mode("append").parquet(incoming)
+    opened = []
+    pieces = PieceStore.pieces
+
+    def counted(self, name, state, values=None):
+        opened.append(sum(len(state.pieces[v]) for v in (state.pieces if values is None else values)))
+        assert values is None or all(len(state.pieces[v]) <= 4 for v in values)
+        return pieces(self, name, state, values)
+
+    def run():
+        source = streams.file_stream(spark, incoming, tables.measurement_raw.schema, source_format="parquet")
+        streams.clean_measure_store(source, out, checkpoint, drain=True, most_pieces=4).awaitTermination()
+        return streams.read_clean(spark, out)
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(PieceStore, "pieces", counted)
+        first = run()
+    expected = clean_measure(spark.read.parquet(incoming))
+    assert same(first.select(expected.columns), expected)
+    assert max(opened) <= 31 * 4
+    late = spark.read.parquet(incoming).withColumn("Average_Value", F.col("Average_Value") - 0.25)
+    new = late.limit(1).withColumn("Measurement_Date", F.lit("2031-01-01").cast("timestamp"))
+    late.unionByName(new).coalesce(1).write.mode("append").parquet(incoming)
+    again = run()
+    kept = again.select(expected.columns).join(expected, expected.columns, "left_semi")
+    assert kept.count() == expected.count()
+    assert again.count() == again.select(*MEASUREMENT_KEY).distinct().count()
+
+
+def enriched(spark, rows):
+    names = "Measurement_Date timestamp, Station_Code int, Item_Code int, Average_Value double, "
+    names += "Instrument_Status int, Status string, Station_Name string, Latitude double, Longitude double, "
+    names += "Address string, Item_Name string, Unit string"
+    filled = [
+        (datetime(2020, month, 1) if month else None, s, i, v, 0, status, name, 1.0, 2.0, "x", f"item {i}", "u")
+        for month, s, i, v, status, name in rows
+    ]
+    return spark.createDataFrame(filled, names)
+
+
+def vertices(graph):
+    return sorted(map(repr, G.vertex_rows(graph).select(sorted(G.vertex_rows(graph).columns)).collect()))
+
+
+def test_graph_upserts_equal_merges(spark, tmp_path):
+    """Loads that overlap give what merging whole graphs gives; other months' files stay."""
+    folder = tmp_path / "graph"
+    loads = [
+        [(1, 1, 1, 1.0, "Good", "a"), (2, 1, 1, 2.0, "Bad", "b"), (None, 1, 1, 9.0, "Bad", "b"), (3, 2, 1, 3.0, "Good", "c")],
+        [(2, 1, 1, 5.0, "Good", "z"), (2, 3, 2, 6.0, "Odd", None), (5, None, 2, 6.0, "Bad", None)],
+        [(2, 1, 1, 7.0, "Good", "y"), (4, 2, 2, 1.0, "Bad", "w")],
+    ]
+    expected = None
+    assert stored_graph(spark, str(folder)) is None
+    for rows in loads:
+        before = {p for p in files(folder) if "Period=2020-01" in str(p) or "Period=2020-03" in str(p)}
+        got = upsert_graph(enriched(spark, rows), str(folder))
+        incoming = G.build_graph(enriched(spark, rows))
+        expected = incoming if expected is None else G.merge_graphs(expected, incoming)
+        assert vertices(got) == vertices(expected)
+        assert sorted(map(repr, got.rejected.collect())) == sorted(map(repr, expected.rejected.collect()))
+        assert before <= files(folder)
+    january = [p for p in files(folder) if "Period=2020-01" in str(p)]
+    february = [p for p in files(folder) if "Period=2020-02" in str(p)]
+    assert len(january) == 1 and len(february) == 3
+    assert not list((folder / "_staging").iterdir())
+    PieceStore(spark, str(folder)).vacuum(keep=1)
+    assert vertices(stored_graph(spark, str(folder))) == vertices(expected)
+    assert set(january) <= files(folder) and len([p for p in files(folder) if "Period=2020-02" in str(p)]) == 1
+
+
+def test_graph_upsert_follows_the_write_order(spark, tmp_path):
+    rows = [(1, 1, 1, 1.0, "Good", "late"), (1, 1, 1, 2.0, "Bad", "early")]
+    given = enriched(spark, rows).withColumn("n", F.when(F.col("Station_Name") == "late", 2).otherwise(1))
+    got = upsert_graph(given, str(tmp_path), seq="n")
+    assert [r["Value"] for r in got.measurement.collect()] == [1.0]
+    assert [r["Name"] for r in got.station.collect()] == ["early"]
+    assert {r["Level"] for r in got.status.collect()} == {"Good", "Bad"}
+
+
+def test_documents_are_inserted_by_bucket(spark, tmp_path):
+    def documents(rows):
+        return spark.createDataFrame(rows, "_id bigint, name string, rank int")
+
+    folder = str(tmp_path)
+    first = insert_documents(documents([(i, "a", i) for i in range(100)]), folder, "d", buckets=16)
+    assert (first.attempted, first.inserted) == (100, 100)
+    rows = documents([(5, "z", 0), (500, "late", 2), (500, "early", 1)])
+    opened = []
+    pieces = PieceStore.pieces
+
+    def watched(self, name, state, values=None):
+        opened.extend(state.pieces if values is None else values)
+        return pieces(self, name, state, values)
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(PieceStore, "pieces", watched)
+        counts = insert_documents(rows, folder, "d", order=["rank"], buckets=16)
+    assert (counts.attempted, counts.inserted) == (3, 1)
+    assert len(set(opened)) <= 2
+    stored = {r["_id"]: r["name"] for r in stored_documents(spark, folder, "d").collect()}
+    assert len(stored) == 101 and stored[5] == "a" and stored[500] == "early"
+    assert stored_documents(spark, folder, "other") is None
+
+
+def test_measurement_documents_are_inserted_by_period(spark, tmp_path):
+    schema = "ts timestamp, avg double, meta struct<station_code:int,item_code:int>"
+
+    def documents(rows):
+        return spark.createDataFrame([(datetime(2020, 1, d), v, (s, i)) for d, v, s, i in rows], schema)
+
+    folder = str(tmp_path)
+    rows = [(1, 1.0, 1, 1), (1, 2.0, 1, 1), (2, 1.0, 1, 1)]
+    counts = [insert_measurements(documents(r), folder) for r in (rows, rows, [*rows, (1, 3.0, 1, 2), (9, 1.0, 1, 1)])]
+    assert [(c.attempted, c.inserted) for c in counts] == [(3, 2), (3, 0), (5, 2)]
+    assert stored_documents(spark, folder, "measurements").columns == ["ts", "avg", "meta"]
+    assert stored_documents(spark, folder, "measurements").count() == 4
+
+
+def test_history_opens_the_files_of_one_cell(spark, tmp_path):
+    schema = "ts timestamp, avg double, meta struct<station_code:int,item_code:int>"
+    rows = [(datetime(2020, 1, 1 + d), float(s), (s, i)) for d in range(3) for s in range(40) for i in range(5)]
+    folder = str(tmp_path)
+    counts = [insert_history(spark.createDataFrame(r, schema), folder) for r in (rows, [*rows, (rows[0][0], 1.0, (None, 1))])]
+    assert [(c.attempted, c.inserted) for c in counts] == [(600, 600), (601, 0)]
+    found = read_history(spark, folder, 3, 17)
+    assert sorted(r["ts"].day for r in found.collect()) == [1, 2, 3]
+    assert {r["avg"] for r in found.collect()} == {17.0} and found.columns == ["ts", "avg", "meta"]
+    assert len(found.inputFiles()) == 1 < len(PieceStore(spark, folder).read("history").inputFiles())
+    assert read_history(spark, folder, 99, 99).count() == 0
+    assert read_history(spark, str(tmp_path / "none"), 1, 1) is None
+
+
+def test_results_kept_by_micro_batches(spark, tmp_path):
+    """Any split of the rows into micro-batches gives the results of all rows at once."""
+    rows = [(m, s, i, float(v), "Good" if v < 5 else "Bad", None) for m in (1, 2, 3) for s in (1, 2) for i, v in ((1, m * s), (2, 9 - m))]
+    rows += [(None, 1, 1, 99.0, "Bad", None), (2, 1, 7, None, "Bad", None)]
+    given = enriched(spark, rows)
+    folder = str(tmp_path / "out")
+    assert snapshots.read_latest(spark, folder) is None and snapshots.read_totals(spark, folder) is None
+    for number in range(3):
+        part = enriched(spark, rows[number::3])
+        assert snapshots.take_batch(part, folder, number)
+        assert not snapshots.take_batch(part, folder, number)
+    dated = given.filter("Measurement_Date is not null")
+    expected = first_per_key(dated, ["Station_Code", "Item_Code"], ["Measurement_Date"], last=True)
+    latest = snapshots.read_latest(spark, folder)
+    assert same(latest, expected.select(latest.columns))
+    assert same(snapshots.read_totals(spark, folder), item_status_stats(given))
+
+
+def test_results_of_a_stream(spark, tmp_path):
+    incoming, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "chk"))
+    for m in (1, 2, 3):
+        given = enriched(spark, [(m, 1, 1, float(m), "Good", "a")])
+        given.write.mode("append").parquet(incoming)
+    source = streams.file_stream(spark, incoming, given.schema, source_format="parquet")
+    snapshots.results_stream(source, out, checkpoint, drain=True).awaitTermination()
+    assert [r["Average_Value"] for r in snapshots.read_latest(spark, out).collect()] == [3.0]
+    assert [(r["Count"], r["avg_value"]) for r in snapshots.read_totals(spark, out).collect()] == [(3, 2.0)]
+
+
+def test_malformed_lines_are_told_apart(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('a,b,c\n1,"x, y",3\n1,2\n1,2,3,4\n,,\nx,,"z"\n')
+    rows, malformed = read_csv_lines(spark, str(path))
+    assert {tuple(r) for r in rows.collect()} == {("1", "x, y", "3"), (None, None, None), ("x", None, "z")}
+    assert {r["Line"] for r in malformed.collect()} == {"1,2", "1,2,3,4"}
+    assert malformed.count() == 2
+    assert rows.select("b").count() == 3
+
+
+def test_report_accounts_for_malformed_lines(spark):
+    station = spark.createDataFrame([], "Station_Code int, Station_Name string, Latitude double, Longitude double")
+    item = spark.createDataFrame([], "Item_Code int, Item_Name string, Unit string")
+    measured = "Measurement_Date timestamp, Station_Code int, Item_Code int, Average_Value double, Instrument_Status int"
+    lines = spark.createDataFrame([("x",), ("y",)], "Line string")
+    malformed = {"station": lines, "item": lines.limit(0)}
+    report = clean_report(spark.createDataFrame([], measured), station, item, malformed=malformed)
+    found = {(r["Table"], r["Outcome"]): r["Rows"] for r in report.collect()}
+    assert found["station", "Raw"] == 2 and found["station", "Malformed line"] == 2
+    assert found["item", "Raw"] == 0 and ("item", "Malformed line") not in found
