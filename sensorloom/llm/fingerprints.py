@@ -26,28 +26,29 @@ from pyspark.sql import DataFrame, functions as F
 from sensorloom.llm.common import lower_ascii, mix64, require, span_hashes, stored, text_bytes, text_slices
 
 SAMPLES, WORDS, WORD_WEIGHT = 64, 5, 0.25
-# Terms whose draws are held at a time.
-TERMS = 1024
+# Terms whose draws are held at a time, and texts of a slice.
+TERMS, TEXTS = 512, 1 << 15
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-_GOLDEN, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-# Exponential draws by 16 bits; two make a draw from Gamma(2, 1).
-_EXPONENTIAL = -np.log((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
+_IS_SPACE = np.isin(np.arange(256), SPACES)
+# A term is 47 bits of a hash and one that tells words from shingles; above them stands the number
+# of its text, so that one sort brings the terms of each text together.
+_BITS = np.uint64(48)
+_TERM = (np.uint64(1) << _BITS) - np.uint64(1)
 
 
 @dataclass(frozen=True)
 class Terms:
-    """Hashes and weights of the distinct terms of texts, end to end, and where each text's begin.
-    Terms of a text are in the order of their hashes."""
+    """The distinct terms of texts as sorted keys, the text's number above the term, with their
+    weights."""
 
-    hashes: np.ndarray
+    keys: np.ndarray
     weights: np.ndarray
-    starts: np.ndarray
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words, A-Z in lower case, and where each text's begin."""
     raw, offsets = text_bytes(column)
-    inside = np.concatenate([[False], ~np.isin(raw, SPACES), [False]])
+    inside = np.concatenate([[False], ~_IS_SPACE[raw], [False]])
     border = np.zeros(len(raw) + 1, bool)
     border[offsets] = True
     edge = (inside[1:] != inside[:-1]) | (border & inside[1:] & inside[:-1])
@@ -56,100 +57,163 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def weighted_terms(column: pa.Array, words: int = WORDS, word_weight: float = WORD_WEIGHT) -> Terms:
-    """The terms of a column of texts. A text of fewer words than a shingle has the whole sequence
-    as its shingle; one without words, and a null, has no terms."""
+    """The terms of a column of at most ``TEXTS`` texts. A text of fewer words than a shingle has the
+    whole sequence as its shingle; one without words, and a null, has no terms."""
     hashes, first = _words(column)
     counts = np.diff(first)
     sizes = np.where(counts > 0, np.maximum(counts - words + 1, 1), 0)
     text = np.repeat(np.arange(len(counts)), sizes)
     at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[text]
+    end = first[text + 1]
     shingle = np.zeros(len(at), np.uint64)
+    padded = np.append(hashes + np.uint64(1), np.zeros(words, np.uint64))
     for step in range(words):
-        there = at + step < first[text + 1]
-        word = hashes[np.minimum(at + step, len(hashes) - 1)] if len(hashes) else shingle
-        shingle = np.where(there, mix64(shingle * _GOLDEN + word + np.uint64(1)), shingle)
-    text = np.append(text, np.repeat(np.arange(len(counts)), counts))
-    value, share = np.append(shingle, hashes), np.ones(len(text))
-    share[len(shingle) :] = word_weight
-    order = np.lexsort((value, text))
-    value, text, share = value[order], text[order], share[order]
-    fresh = np.flatnonzero(np.append(True, (value[1:] != value[:-1]) | (text[1:] != text[:-1]))[: len(value)])
-    weights = np.add.reduceat(share, fresh) if len(fresh) else share
-    return Terms(value[fresh], weights, np.searchsorted(text[fresh], np.arange(len(counts) + 1)))
-
-
-def _draws(hashes: np.ndarray, samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ln c, r and b of pairs of a term and the number of a sample."""
-    bits = mix64(hashes + (samples + np.uint64(1)) * _GOLDEN)
-    mask = np.uint64(0xFFFF)
-    r = _EXPONENTIAL[bits & mask] + _EXPONENTIAL[(bits >> np.uint64(16)) & mask]
-    b = (bits >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
-    bits *= _SECOND
-    bits ^= bits >> np.uint64(32)
-    c = _EXPONENTIAL[bits & mask] + _EXPONENTIAL[(bits >> np.uint64(16)) & mask]
-    return np.log(c), r, b
-
-
-def _keys(log_c: np.ndarray, r: np.ndarray, b: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
-    """The values of terms as integers of the same order, in the upper half of 64 bits."""
-    level = np.floor(log_weight / r + b)
-    bits = (log_c - r * (level - b) - r).view(np.int32)
-    return (bits ^ ((bits >> 31) & np.int32(0x7FFFFFFF))).astype(np.int64) << 32
+        # Behind the last word of a short text stands nothing.
+        word = padded[at + step]
+        word[at + step >= end] = 0
+        shingle *= _FACTOR
+        shingle += word
+    both = np.append(mix64(shingle) >> np.uint64(16) & ~np.uint64(1), mix64(hashes) >> np.uint64(16) | np.uint64(1))
+    text = np.append(text, np.repeat(np.arange(len(counts)), counts)).astype(np.uint64)
+    keys = np.sort(text << _BITS | both)
+    fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    keys, times = keys[fresh], np.diff(fresh, append=len(keys))
+    return Terms(keys, np.where(keys & np.uint64(1) == 1, word_weight, 1.0) * times)
+
+
+class Draws:
+    """r, b and ln c for blocks of terms and all samples, in buffers that are used again.
+
+    A term and the number of a sample make 32 bits, which are mixed anew for c and for b. Sixteen
+    bits make an exponential draw, and two of those a draw from Gamma(2, 1)."""
+
+    _UNIT = np.float32(-32 * np.log(2))
+
+    def __init__(self, samples: int, terms: int) -> None:
+        rng = mix64(np.arange(1, 2 * samples + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
+        self.low, self.high = rng[:samples, None], rng[samples:, None]
+        self.bits, self.more, self.half = (np.empty((samples, terms), np.uint32) for _ in range(3))
+        self.r, self.b, self.log_c, self.other = (np.empty((samples, terms), np.float32) for _ in range(4))
+
+    @staticmethod
+    def _mix(x: np.ndarray, spare: np.ndarray, factor: int) -> None:
+        for shift, by in ((16, factor), (15, 0x846CA68B)):
+            np.right_shift(x, np.uint32(shift), out=spare)
+            np.bitwise_xor(x, spare, out=x)
+            np.multiply(x, np.uint32(by), out=x)
+        np.right_shift(x, np.uint32(16), out=spare)
+        np.bitwise_xor(x, spare, out=x)
+
+    def _gamma(self, bits: np.ndarray, half: np.ndarray, out: np.ndarray, other: np.ndarray) -> None:
+        """-ln(u v) for the two halves u and v of the bits."""
+        np.bitwise_and(bits, np.uint32(0xFFFF), out=half)
+        np.add(half.view(np.int32), np.float32(0.5), out=out, casting="unsafe", dtype=np.float32)
+        np.right_shift(bits, np.uint32(16), out=half)
+        np.add(half.view(np.int32), np.float32(0.5), out=other, casting="unsafe", dtype=np.float32)
+        np.multiply(out, other, out=out)
+        np.log(out, out=out)
+        np.add(out, self._UNIT, out=out)
+        np.negative(out, out=out)
+
+    def draw(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ln c, r and b. ``low`` and ``high`` are the halves of the hashes of terms, a row of terms
+        for all samples or a row for each sample."""
+        n = low.shape[-1]
+        bits, more, half = self.bits[:, :n], self.more[:, :n], self.half[:, :n]
+        r, b, log_c, other = self.r[:, :n], self.b[:, :n], self.log_c[:, :n], self.other[:, :n]
+        np.multiply(low, self.low, out=bits)
+        np.multiply(high, self.high, out=more)
+        np.add(bits, more, out=bits)
+        self._mix(bits, more, 0x7FEB352D)
+        self._gamma(bits, half, r, other)
+        self._mix(bits, more, 0x2C1B3C6D)
+        self._gamma(bits, half, log_c, other)
+        np.log(log_c, out=log_c)
+        np.multiply(bits, np.uint32(0x9E3779B1), out=bits)
+        np.right_shift(bits, np.uint32(8), out=bits)
+        np.multiply(bits.view(np.int32), np.float32(2.0**-24), out=b, casting="unsafe", dtype=np.float32)
+        return log_c, r, b
+
+
+def _values(log_c: np.ndarray, r: np.ndarray, b: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
+    """ln c - r (t - b) - r with the level t of the weight."""
+    out = log_weight / r
+    out += b
+    np.floor(out, out=out)
+    out -= b
+    out += np.float32(1)
+    out *= r
+    return np.subtract(log_c, out, out=out)
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.iinfo(np.int64).max
 
 
-_NONE = np.iinfo(np.int64).max
+def _ordered(values: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Values as integers of the same order, with the numbers of their terms behind."""
+    bits = values.view(np.int32)
+    bits ^= (bits >> 31) & np.int32(0x7FFFFFFF)
+    keys = bits.astype(np.int64)
+    keys <<= 32
+    keys |= terms
+    return keys
 
 
-def signatures(hashes: np.ndarray, starts: np.ndarray, *weightings: np.ndarray, samples: int = SAMPLES) -> list[np.ndarray]:
-    """For each weighting of the same terms, the samples of each text as 16-bit numbers, a row per
-    text. Terms of weight 0 take no part; a text without terms has zeros. Terms are worked on in
-    blocks of bounded size, however long a text is."""
-    texts = len(starts) - 1
+def signatures(keys: np.ndarray, texts: int, *weightings: np.ndarray, samples: int = SAMPLES) -> list[np.ndarray]:
+    """For each weighting of the same terms, given as the keys of ``Terms``, the samples of each text
+    as 16-bit numbers, a row per text. Terms of weight 0 take no part; a text without terms has
+    zeros. Terms are worked on in blocks of bounded size, however long a text is."""
     best = [np.full((samples, texts), _NONE) for _ in weightings]
-    numbers = np.arange(samples, dtype=np.uint64)[:, None]
-    logs = [np.log(np.where(w > 0, w, 1)).astype(np.float32) for w in weightings]
-    for start in range(0, len(hashes), TERMS):
-        end = min(start + TERMS, len(hashes))
-        draws = _draws(hashes[None, start:end], numbers)
-        low, high = np.searchsorted(starts, [start, end - 1], side="right") - 1
-        begins = np.maximum(starts[low : high + 1], start)
-        filled = starts[low : high + 1] < starts[low + 1 : high + 2]
-        at = np.flatnonzero(filled) + low
-        for least, weights, log_weight in zip(best, weightings, logs):
-            keys = _keys(*draws, log_weight[None, start:end]) | np.arange(start, end)
-            absent = weights[start:end] == 0
-            if absent.any():
-                keys[:, absent] = _NONE
-            found = np.minimum.reduceat(keys, begins[filled] - start, axis=1)
-            least[:, at] = np.minimum(least[:, at], found)
-    return [_codes(hashes, least, log_weight, numbers) for least, log_weight in zip(best, logs)]
-
-
-def _codes(hashes: np.ndarray, least: np.ndarray, log_weight: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    usual = np.max(weightings, axis=0)
+    starts = np.searchsorted(keys, np.arange(texts + 1, dtype=np.uint64) << _BITS)
+    hashes = mix64(keys & _TERM)
+    low, high = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
+    log = [np.log(np.where(w > 0, w, 1)).astype(np.float32) for w in (usual, *weightings)]
+    away = [np.where(w > 0, -_NONE, _NONE) for w in weightings]
+    other = [(w > 0) & (w != usual) for w in weightings]
+    draws = Draws(samples, TERMS)
+    for start in range(0, len(keys), TERMS):
+        part = slice(start, min(start + TERMS, len(keys)))
+        drawn = draws.draw(low[part], high[part])
+        first, last = np.searchsorted(starts, [start, part.stop - 1], side="right") - 1
+        filled = np.flatnonzero(starts[first : last + 1] < starts[first + 1 : last + 2]) + first
+        begins = np.maximum(starts[filled], start) - start
+        # Most terms have one weight in all weightings that have them.
+        ordered = _ordered(_values(*drawn, log[0][part]), np.arange(start, part.stop))
+        for least, log_weight, gone, differs in zip(best, log[1:], away, other):
+            mine = np.maximum(ordered, gone[part])
+            at = np.flatnonzero(differs[part])
+            if len(at):
+                own = _values(*(each[:, at] for each in drawn), log_weight[part][at])
+                mine[:, at] = _ordered(own, at + start)
+            found = np.minimum.reduceat(mine, begins, axis=1)
+            least[:, filled] = np.minimum(least[:, filled], found)
+    return [_codes(hashes, least, log_weight) for least, log_weight in zip(best, log[1:])]
+
+
+def _codes(hashes: np.ndarray, least: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
+    """The terms of least value with their levels as 16-bit numbers."""
+    samples, texts = least.shape
+    if not len(hashes):
+        return np.zeros((texts, samples), np.uint16)
     there = least != _NONE
-    if not there.any():
-        return np.zeros(least.T.shape, np.uint16)
     term = np.where(there, least & 0xFFFFFFFF, 0)
-    _, r, b = _draws(hashes[term], numbers)
+    own, draws = hashes[term], Draws(samples, texts)
+    _, r, b = draws.draw(own.astype(np.uint32), (own >> np.uint64(32)).astype(np.uint32))
     level = np.floor(log_weight[term] / r + b).astype(np.int64).view(np.uint64)
-    codes = mix64(hashes[term] ^ (level * _GOLDEN)) >> np.uint64(48)
+    codes = mix64(own ^ (level * _FACTOR)) >> np.uint64(48)
     return np.ascontiguousarray(np.where(there, codes, 0).astype(np.uint16).T)
 
 
-def _both(one: Terms, other: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _both(one: Terms, other: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The terms that either of two lists of texts has, text by text, with both weights."""
-    count = len(one.starts) - 1
-    text = np.concatenate([np.repeat(np.arange(count), np.diff(each.starts)) for each in (one, other)])
-    value = np.append(one.hashes, other.hashes)
-    order = np.lexsort((value, text))
-    value, text = value[order], text[order]
-    fresh = np.append(True, (value[1:] != value[:-1]) | (text[1:] != text[:-1]))[: len(value)]
-    at = np.empty(len(order), np.int64)
-    at[order] = np.cumsum(fresh) - 1
-    weights = np.zeros((2, fresh.sum()))
-    weights[0, at[: len(one.hashes)]] = one.weights
-    weights[1, at[len(one.hashes) :]] = other.weights
-    return value[fresh], np.searchsorted(text[fresh], np.arange(count + 1)), weights[0], weights[1]
+    keys = np.sort(np.append(one.keys, other.keys))
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+    weights = np.zeros((2, len(keys)))
+    for each, row in zip((one, other), weights):
+        row[np.searchsorted(keys, each.keys)] = each.weights
+    return keys, weights[0], weights[1]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -157,6 +221,13 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of a bounded number of bytes and of texts."""
+    for part in text_slices(batch, "text"):
+        for start in range(0, part.num_rows, TEXTS):
+            yield part.slice(start, TEXTS)
+
+
 def _pack(codes: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in codes.astype(">u2")]
 
@@ -171,9 +242,9 @@ def fingerprint_documents(documents: DataFrame, samples: int = SAMPLES) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in slices(batch):
                 terms = weighted_terms(part.column(1))
-                (codes,) = signatures(terms.hashes, terms.starts, terms.weights, samples=samples)
+                (codes,) = signatures(terms.keys, part.num_rows, terms.weights, samples=samples)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(_pack(codes), pa.binary())],
                     names=["doc_id", "fingerprint"],
@@ -203,8 +274,8 @@ def _sample(rows: list[Row], following: list[str], samples: int) -> None:
     """Fill in the fingerprints of texts and of the texts edited with what follows."""
     others = [edited_text(row.text, text) for row, text in zip(rows, following)]
     one, other = (weighted_terms(pa.array(t, pa.large_string())) for t in ([r.text for r in rows], others))
-    hashes, starts, *weights = _both(one, other)
-    own, edited = signatures(hashes, starts, *weights, samples=samples)
+    keys, *weights = _both(one, other)
+    own, edited = signatures(keys, len(rows), *weights, samples=samples)
     for i, row in enumerate(rows):
         row.edited_sha256 = hashlib.sha256(others[i].encode()).hexdigest()
         row.own, row.edited = own[i], edited[i]
@@ -255,7 +326,7 @@ def _walk(batches: Iterator[pa.RecordBatch], samples: int) -> Iterator[pa.Record
     held: Row | None = None
     open_: Row | None = None
     for given in batches:
-        for piece in text_slices(given, "text"):
+        for piece in slices(given):
             rows = [Row(i, t or "") for i, t in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist())]
             if held is None:
                 yield edge(rows[0], True)
@@ -269,7 +340,7 @@ def _walk(batches: Iterator[pa.RecordBatch], samples: int) -> Iterator[pa.Record
                     yield batch(_results(ready[:-1], [row.own for row in ready[1:]]))
     if open_ is not None:
         terms = weighted_terms(pa.array([held.text], pa.large_string()))
-        after = signatures(terms.hashes, terms.starts, terms.weights, samples=samples)[0]
+        after = signatures(terms.keys, 1, terms.weights, samples=samples)[0]
         yield batch(_results([open_], list(after)))
     if held is not None:
         yield edge(held, False)

@@ -28,15 +28,25 @@ def jaccard(a, b):
 
 def codes(texts, samples):
     found = P.weighted_terms(pa.array(texts, pa.string()))
-    return P.signatures(found.hashes, found.starts, found.weights, samples=samples)[0]
+    return P.signatures(found.keys, len(texts), found.weights, samples=samples)[0]
 
 
 def test_terms_are_counted():
     texts = ["a b c d e a b c d e", "One one", None, "", " \n", "a b c d e"]
     found = P.weighted_terms(pa.array(texts, pa.string()))
-    for text, low, high in zip(texts, found.starts, found.starts[1:]):
-        assert sorted(found.weights[low:high]) == sorted(terms(text).values())
-        assert (np.diff(found.hashes[low:high].astype(object)) > 0).all()
+    assert (found.keys[1:] > found.keys[:-1]).all()
+    for i, text in enumerate(texts):
+        own = found.weights[found.keys >> np.uint64(48) == i]
+        assert sorted(own) == sorted(terms(text).values())
+
+
+def test_two_weightings_at_once_are_those_of_each_alone():
+    """Terms that both have, alike or with other weights, and terms of one alone."""
+    texts, others = [prose(1, 90), "a b a b a b a b", "", "x y"], [prose(1, 60), "a b a b", "q", ""]
+    one, other = (P.weighted_terms(pa.array(t, pa.string())) for t in (texts, others))
+    keys, *weights = P._both(one, other)
+    for found, given in zip(P.signatures(keys, len(texts), *weights), (texts, others)):
+        assert (found == codes(given, P.SAMPLES)).all()
 
 
 def test_collision_rate_is_the_generalised_jaccard_similarity():
