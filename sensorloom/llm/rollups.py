@@ -9,6 +9,7 @@ sums over all committed batches, so they never need the documents again.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -120,13 +121,24 @@ class Rollup:
         return files.exists(path)
 
     def commit(self, batch: int, deltas: DataFrame) -> bool:
-        """Add a batch; False if its id is there already. A batch counts from the moment its
-        writing is complete, and what a broken attempt has left is replaced."""
+        """Add a batch; False if its id is there already. A batch is written under a name of its own
+        and counts once it is renamed, so of two writers of one id only one adds it; what a broken
+        attempt has left is no batch."""
         if self.committed(batch):
             return False
         summed = deltas.groupBy(*KEYS).agg(*[F.sum(name).alias(name) for name in SUMS])
-        summed.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
-        return True
+        attempt, target = f"_attempt-{uuid.uuid4().hex}", f"batch={batch}"
+        summed.write.parquet(f"{self.folder}/{attempt}")
+        written, files = self._path(attempt)
+        final, _ = self._path(target)
+        if files.exists(final) and not self.committed(batch):
+            files.delete(final, True)
+        # A folder that another writer has put there meanwhile takes this one in or refuses it.
+        inside, _ = self._path(f"{target}/{attempt}")
+        added = not files.exists(final) and files.rename(written, final) and not files.exists(inside)
+        files.delete(written, True)
+        files.delete(inside, True)
+        return added
 
     def batches(self) -> list[int]:
         path, files = self._path("")
@@ -168,4 +180,4 @@ def copies(counts: DataFrame) -> DataFrame:
 def squeezed(documents: DataFrame) -> DataFrame:
     """The documents that a normalisation of white space changes, with their new text."""
     new = F.trim(F.regexp_replace("text", r"[ \t\r\n]+", " "))
-    return documents.withColumn("new", new).filter("new != text").withColumn("text", F.col("new")).drop("new")
+    return documents.filter(new != F.col("text")).withColumn("text", new)

@@ -134,3 +134,8 @@ def test_query_matches_a_recount(spark):
     got = {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in rows}
     assert {k: v for k, v in got.items() if v[0]} == expected
     assert all(r["n_docs"] == r["n_inserted"] - r["n_deleted"] for r in rows)
+
+
+def test_normalisation_keeps_columns_of_any_name(spark):
+    given = spark.createDataFrame([(1, "a  b", "x"), (2, "a b", "y"), (3, None, "z")], "doc_id bigint, text string, new string")
+    assert [tuple(r) for r in R.squeezed(given).collect()] == [(1, "a b", "x")]
