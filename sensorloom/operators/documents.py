@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.functions.columns import column, lenient_cast, parse_time
 from sensorloom.operators.dedup import first_per_key
-from sensorloom.operators.joins import join_lookups
+from sensorloom.operators.joins import join_small
 from sensorloom.schemas import THRESHOLD_FIELDS, THRESHOLDS, TIME_FORMAT
 
 
@@ -118,7 +118,7 @@ def latest_snapshot(
     latest = first_per_key(
         _flat(measurements), ["station_code", "item_code"], order=["ts"], last=True
     )
-    named = join_lookups(
+    named = join_small(
         latest,
         {
             "item_code": _names(items, "item_code", "item_name"),
