@@ -122,6 +122,19 @@ def test_pieces_of_any_size_give_the_same(seed, size):
         assert found.tolist() == right.tolist()
 
 
+def test_both_ways_to_the_ids_agree():
+    """Entries of the vocabulary, spaces of all kinds, controls and Latin letters."""
+    own = A.ByteLevel(A_PATH)
+    assert own.fast is not None
+    rng = random.Random(6)
+    marks = [chr(i) for i in range(0x250)] + list("\x1c\x1d\x1e\x1f\x85\xa0\xad  \t\r\n'") * 8 + ["'ll", "'S", "²", "ª", "ß"]
+    given = ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    given += [b.decode() for b in own.bytes if b.isascii()] + ["a" * 5000, " " * 700, "<|endoftext|>", ""]
+    given += [given[i] + "中 \u2003 Ⅷ" for i in range(50)]
+    expected = own.library.encode_batch([" " + text for text in given], add_special_tokens=False)
+    assert own.encode(given) == [each.ids for each in expected]
+
+
 def test_pieces_have_equal_work():
     a, b = np.arange(1, 1001), np.arange(7, 1001, 7)
     a_cut, b_cut = A.crossings(a, b, 100)
