@@ -11,6 +11,7 @@ def zero_values(measurements: DataFrame) -> DataFrame:
     return measurements.filter(F.col("Average_Value") == 0)
 
 
+# The names and order of the columns below are those that consumers of the totals read.
 def item_status_stats(enriched: DataFrame) -> DataFrame:
     """Count, mean and range of the values per item name and grade."""
     value = F.col("Average_Value")
