@@ -47,6 +47,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_slices(
     batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -91,8 +100,21 @@ def mix64(values: np.ndarray) -> np.ndarray:
     return x
 
 
+# Powers that a worker keeps for the next slice, at most so many of each base.
+_POWERS: dict[int, np.ndarray] = {}
+KEPT_POWERS = 1 << 21
+
+
 def powers(base: int, count: int) -> np.ndarray:
-    """base ** 0 ... base ** (count - 1) modulo 2 ** 64."""
+    """base ** 0 ... base ** (count - 1) modulo 2 ** 64, not to be changed."""
+    if count > KEPT_POWERS:
+        return _powers(base, count)
+    if len(_POWERS.get(base, ())) < count:
+        _POWERS[base] = _powers(base, 1 << count.bit_length())
+    return _POWERS[base][:count]
+
+
+def _powers(base: int, count: int) -> np.ndarray:
     out = np.ones(max(count, 1), dtype=np.uint64)
     done = 1
     while done < count:
@@ -173,14 +195,14 @@ def hash_filter(hashes: DataFrame, known: int, least: int = 20, most: int = 30)
     return HashFilter(bits, table)
 
 
-def counted_hashes(texts: DataFrame, hashes_of, name: str) -> DataFrame:
+def counted_hashes(texts: DataFrame, hashes_of, name: str, most: int = SLICE_BYTES) -> DataFrame:
     """(name, count): in how many texts each hash of ``hashes_of`` occurs. ``hashes_of`` gives the
-    hashes of a column of texts, each once per text. Equal hashes of a batch are counted before
-    the shuffle, so that one that all texts have is no burden."""
+    hashes of a column of texts of about ``most`` bytes, each once per text. Equal hashes of a batch
+    are counted before the shuffle, so that one that all texts have is no burden."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [hashes_of(part.column(0)) for part in text_slices(batch, "text")]
+            parts = [hashes_of(part.column(0)) for part in text_slices(batch, "text", most)]
             if parts:
                 values, counts = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], names=[name, "count"])

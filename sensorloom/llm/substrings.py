@@ -21,6 +21,7 @@ from sensorloom.llm.common import (
     INVERSE,
     HashFilter,
     counted_hashes,
+    discard,
     hash_filter,
     mix64,
     powers,
@@ -39,6 +40,8 @@ BEFORE = REACH - 1  # bytes of surroundings before an anchor
 # strings around it.
 HOT_SHARE, HOT_LEAST = 1e-3, 20_000
 BLOCK_ROWS = 20_000
+# Bytes of text that anchors are looked for in at a time: arrays of a number per byte stay in cache.
+ANCHOR_BYTES = 1 << 17
 
 
 def _sliding(values: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
@@ -92,7 +95,7 @@ class Repeated:
 def repeated_anchors(texts: DataFrame) -> Repeated:
     """Count the texts of every anchor, over all documents. What is sent on is a filter of bounded
     size and the hot anchors, of which there are at most 1 / HOT_SHARE."""
-    twice = stored(counted_hashes(texts, _text_anchors, "anchor").filter("count > 1"), "anchors")
+    twice = stored(counted_hashes(texts, _text_anchors, "anchor", ANCHOR_BYTES).filter("count > 1"), "anchors")
     known, total = twice.agg(F.count(F.lit(1)), F.sum("count")).first()
     least = max(HOT_LEAST, int((total or 0) * HOT_SHARE))
     hot = twice.filter(F.col("count") > least).select("anchor").toArrow()["anchor"]
@@ -151,7 +154,7 @@ def _place_rows(sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", ANCHOR_BYTES):
                 found = Surroundings(part.column(1), sent.value)
                 docs, prints = (np.asarray(part.column(i), dtype=np.int64) for i in (0, 2))
                 begin = found.offsets[found.text]
@@ -182,7 +185,7 @@ def _body_rows(sent):
         least: dict[int, int] = {}
         for batch in batches:
             parts, bodies = [], []
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", ANCHOR_BYTES):
                 found = Surroundings(part.column(1), repeated)
                 docs = np.asarray(part.column(0), dtype=np.int64)[found.text]
                 some = np.flatnonzero(mixed.has(found.anchor))
@@ -350,7 +353,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         .mapInArrow(_factor_rows, _FOUND),
         "matches",
     )
-    both.unpersist()
+    both.destroy()
     known = least.select("place", "least").join(found, "place", "left")
     earlier = F.col("doc") > F.col("least")
     covered = (
@@ -366,10 +369,13 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
             .alias("high"),
         )
     )
-    return stored(
+    spans = stored(
         covered.groupBy("doc_id", "print").agg(F.collect_set(F.struct("low", "high")).alias("spans")),
         "spans",
     )
+    sent.destroy()
+    discard(least, found)
+    return spans
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
