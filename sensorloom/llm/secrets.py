@@ -1,11 +1,15 @@
-"""Secret scan: fixed patterns, and tokens that pass a battery of randomness tests.
+"""Secret scan: fixed patterns, and tokens that are random and no ordinary text.
 
 A token is a long run of the characters that encodings use. Its encoding is inferred, its
 characters become numbers, and three tests of "drawn evenly and independently from the alphabet"
-give p-values: chi-squared over sixteen equal cells, runs above and below the middle, and serial
-correlation. Fisher's method joins them. Tokens are sorted into classes of length, and in every
-class the tokens for which the joint hypothesis is rejected with a controlled rate of false
-discoveries (Benjamini-Hochberg) are ordinary text; what is left counts as a secret.
+give p-values: chi-squared over sixteen cells, runs above and below the middle, and serial
+correlation. Fisher's method joins them; a token that fails the battery is no random key.
+
+What passes is reported only where ordinary text is ruled out. Pairs of characters are counted in
+all short words of the corpus; the ratio of a token's probability in that model to its probability
+as an even draw is an upper bound of the p-value of "this is ordinary text". Tokens are sorted into
+classes of length, and in every class the hypothesis is rejected with a controlled rate of false
+discoveries (Benjamini-Hochberg). A token that is too short to rule text out is not reported.
 
 Everything is made of DataFrame functions. Positions are code points from 0, ends are exclusive.
 """
@@ -28,32 +32,50 @@ HEX = "(?<![0-9a-f])[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+# A run that mixes both sorts of signs is looked at in parts, each of one sort.
+TOKEN_LEAST = 20
+TOKENS = (
+    f"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{{{TOKEN_LEAST},}}",
+    f"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{{{TOKEN_LEAST},}}",
+)
+LOWER, UPPER, DIGITS, SIGNS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_-"
+# The alphabets of encodings, the narrowest first; a token has the first that holds its characters.
 ALPHABETS = {
-    "hex": ("0123456789abcdef", "[0-9a-f]+"),
-    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "[A-Z2-7]+"),
-    "base64": (
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-        "(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/]+",
-    ),
-    "base64url": (
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
-        "(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9_-]+",
-    ),
+    "hex": DIGITS + LOWER[:6],
+    "upper hex": DIGITS + UPPER[:6],
+    "base32": UPPER + "234567",
+    "lower base32": LOWER + "234567",
+    "base36": DIGITS + LOWER,
+    "upper base36": DIGITS + UPPER,
+    "base64": UPPER + LOWER + DIGITS + "+/",
+    "base64url": UPPER + LOWER + DIGITS + "_-",
 }
+# Identifiers of the usual form are random by design, and public.
+UUID = "^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
 CELLS = 16
 FALSE_DISCOVERIES = 0.05
+# A random key fails the battery this seldom.
+BATTERY_LEAST = 1e-4
 # p-values are rounded up to ten steps a decade, which keeps the control and bounds the counts.
 STEPS, SMALLEST = 10, 40
 BLOCK = 256
 
+# How likely a lower-case letter, capital, digit or sign follows each of them in names and words:
+# the model before any text is counted, with the weight of so many pairs per character.
+FOLLOWS = {
+    LOWER: {LOWER: 0.88, UPPER: 0.05, DIGITS: 0.03, SIGNS: 0.04},
+    UPPER: {LOWER: 0.55, UPPER: 0.38, DIGITS: 0.03, SIGNS: 0.04},
+    DIGITS: {LOWER: 0.05, UPPER: 0.04, DIGITS: 0.85, SIGNS: 0.06},
+    SIGNS: {LOWER: 0.55, UPPER: 0.30, DIGITS: 0.14, SIGNS: 0.01},
+}
+PRIOR_PAIRS = 100.0
+
 _SPAN = "struct<start:bigint,end:bigint,match:string>"
 
 
-def _spans(text: Column, pattern: str, matches: Column) -> Column:
-    """(start, end, match) of all matches of a pattern, given their texts. Lengths are summed in
-    blocks, so that the work for n matches does not grow with n squared."""
-    gaps = F.split(text, pattern, -1)
+def _spans(gaps: Column, matches: Column) -> Column:
+    """(start, end, match) of all matches of a pattern, given their texts and those between them.
+    Lengths are summed in blocks, so that the work for n matches does not grow with n squared."""
     lengths = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m")))
     bigint = F.lit(0).cast("bigint")
 
@@ -109,14 +131,17 @@ def _two_sided(z: Column) -> Column:
     return F.greatest(F.least(2 * _upper_tail(F.abs(z)), F.lit(1.0)), F.lit(1e-40))
 
 
-def chi_squared_p(cells: Column, n: Column) -> Column:
-    """Of values in equal cells: the statistic's upper tail by the cube-root approximation."""
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(CELLS - 1)),
-        lambda c: F.size(F.filter(cells, lambda x: x == c)).cast("double"),
-    )
-    expected = n / CELLS
-    x = F.aggregate(counts, F.lit(0.0), lambda s, o: s + (o - expected) * (o - expected) / expected)
+def chi_squared_p(cells: Column, n: Column, size: Column) -> Column:
+    """Of values in cells of as many characters as divide evenly: the statistic's upper tail by the
+    cube-root approximation."""
+
+    def part(c: Column) -> Column:
+        observed = F.size(F.filter(cells, lambda x: x == c)).cast("double")
+        expected = n * (F.ceil((c + 1) * size / CELLS) - F.ceil(c * size / CELLS)) / size
+        return (observed - expected) * (observed - expected) / expected
+
+    parts = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), part)
+    x = F.aggregate(parts, F.lit(0.0), lambda s, o: s + o)
     df = CELLS - 1
     z = (F.pow(x / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
     upper = F.when(z >= 0, _upper_tail(z)).otherwise(1 - _upper_tail(-z))
@@ -145,35 +170,121 @@ def serial_p(values: Column, n: Column, size: Column) -> Column:
     return _two_sided(products / spread / F.sqrt(n - 1))
 
 
-def battery(token: Column) -> Column:
-    """(encoding, p) of a token; NULL where it is in none of the encodings."""
-    result = F.lit(None).cast("struct<encoding:string,p:double>")
-    for name, (alphabet, pattern) in reversed(ALPHABETS.items()):
-        fits = token.rlike(f"^(?:{pattern})$")
-        result = F.when(fits, _tested(token, name, alphabet)).otherwise(result)
-    return result
+def encoding_of(token: Column) -> Column:
+    """The name of the narrowest alphabet that holds a token's characters, else NULL."""
+    name = F.lit(None).cast("string")
+    for encoding, alphabet in reversed(ALPHABETS.items()):
+        name = F.when(token.rlike(f"^[{alphabet}]+$"), encoding).otherwise(name)
+    return F.when(~token.rlike(UUID), name)
 
 
-def _tested(token: Column, name: str, alphabet: str) -> Column:
-    """The tests of a token by the numbers of its characters in the alphabet."""
-    n, size = F.length(token).cast("double"), F.lit(float(len(alphabet)))
-    numbers = F.transform(
-        F.sequence(F.lit(1), F.length(token)),
-        lambda i: F.instr(F.lit(alphabet), F.substr(token, i, F.lit(1))) - 1,
-    )
+def _alphabet(encoding: Column) -> Column:
+    alphabet = F.lit(None).cast("string")
+    for name, letters in ALPHABETS.items():
+        alphabet = F.when(encoding == name, letters).otherwise(alphabet)
+    return alphabet
+
 
-    def joint(values: Column) -> Column:
-        cells = F.transform(values, lambda v: F.floor(v * CELLS / len(alphabet)))
-        x = -(
-            F.log(chi_squared_p(cells, n))
-            + F.log(runs_p(values, n, size))
-            + F.log(serial_p(values, n, size))
+def battery(token: Column) -> Column:
+    """(encoding, p) of a token by the numbers of its characters in the alphabet of its encoding;
+    p is NULL where it has none. Each part is worked out once, as the one element of an array."""
+    n = F.length(token).cast("double")
+
+    def joint(name: Column, alphabet: Column) -> Column:
+        size = F.length(alphabet).cast("double")
+        numbers = F.transform(
+            F.sequence(F.lit(1), F.length(token)),
+            lambda i: F.instr(alphabet, F.substr(token, i, F.lit(1))) - 1,
         )
-        p = F.exp(-x) * (1 + x + x * x / 2)
-        return F.struct(F.lit(name).alias("encoding"), p.alias("p"))
 
-    # A one-element array lets the numbers be worked out once.
-    return F.transform(F.array(numbers), joint)[0]
+        def tested(values: Column) -> Column:
+            cells = F.transform(values, lambda v: F.floor(v * CELLS / size))
+            x = -(
+                F.log(chi_squared_p(cells, n, size))
+                + F.log(runs_p(values, n, size))
+                + F.log(serial_p(values, n, size))
+            )
+            return F.struct(name.alias("encoding"), (F.exp(-x) * (1 + x + x * x / 2)).alias("p"))
+
+        return F.transform(F.array(numbers), tested)[0]
+
+    return F.transform(
+        F.array(encoding_of(token)), lambda name: F.transform(F.array(_alphabet(name)), lambda a: joint(name, a))[0]
+    )[0]
+
+
+def _thousandths(value: Column) -> Column:
+    """Whole numbers, whose sums do not depend on their order."""
+    return F.round(value * 1000).cast("bigint")
+
+
+def text_model(documents: DataFrame) -> DataFrame:
+    """(pair, bits): for each pair of characters the logarithm to base 2 of the probability of the
+    second after the first in ordinary text, in thousandths. At most as many rows as there are pairs.
+
+    Words shorter than a token are counted in all whole texts, combined before the shuffle. A word
+    counts by the logarithm of its number, so that neither a few words of every text nor the many
+    odd ones of a single text make the model.
+    """
+    letters = LOWER + UPPER + DIGITS + SIGNS
+    words = documents.select(F.explode(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z0-9+/_-]+")).alias("word"))
+    counts = words.filter(F.length("word").between(2, TOKEN_LEAST - 1)).groupBy("word").count()
+    pairs = counts.select(
+        F.explode(
+            F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr("word", i, F.lit(2)))
+        ).alias("pair"),
+        _thousandths(F.log2(F.col("count") + 1)).alias("weight"),
+    ).groupBy("pair").agg(F.sum("weight").alias("n"))
+    prior = F.lit(0.0)
+    for before, after in FOLLOWS.items():
+        for kind, share in after.items():
+            fits = F.instr(F.lit(before), F.col("first")).cast("boolean") & F.instr(F.lit(kind), F.col("second")).cast("boolean")
+            prior = F.when(fits, share / len(kind)).otherwise(prior)
+    every = [F.lit(letter) for letter in letters]
+    grid = documents.sparkSession.range(1, numPartitions=1).select(F.explode(F.array(*every)).alias("first"))
+    grid = grid.select("first", F.explode(F.array(*every)).alias("second"))
+    known = grid.withColumn("pair", F.concat("first", "second")).join(pairs, "pair", "left")
+    total = known.groupBy("first").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    weight = 1000 * PRIOR_PAIRS
+    share = (F.coalesce("n", F.lit(0)) + weight * prior) / (F.col("total") + weight)
+    return known.join(total, "first").select("pair", _thousandths(F.log2(share)).alias("bits"))
+
+
+def judged_tokens(tokens: DataFrame, model: DataFrame) -> DataFrame:
+    """For each distinct ``match`` of tokens that has an encoding and passes the battery: the number
+    ``n`` of its occurrences, its length_class and the step of its p-value as ordinary text.
+
+    The model is a row per pair of characters, small enough to send to every task. A token without
+    small letters is judged as if it had no capitals, as whole words may be written in those.
+    """
+    read = F.when(F.col("match").rlike("[a-z]"), F.col("match")).otherwise(F.lower("match"))
+    tested = (
+        tokens.groupBy("match").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("encoding", encoding_of(F.col("match")))
+        .filter("encoding is not null")
+        .withColumn("random_p", battery(F.col("match"))["p"])
+        .filter(F.col("random_p") >= BATTERY_LEAST)
+    )
+    pairs = tested.select(
+        "match",
+        "n",
+        F.length(_alphabet(F.col("encoding"))).alias("size"),
+        F.explode(
+            F.transform(F.sequence(F.lit(1), F.length("match") - 1), lambda i: F.substr(read, i, F.lit(2)))
+        ).alias("pair"),
+    )
+    ratio = F.sum(F.col("bits") + _thousandths(F.log2(F.col("size").cast("double")))) / 1000
+    return (
+        pairs.join(F.broadcast(model), "pair")
+        .groupBy("match", "n")
+        .agg(ratio.alias("ratio"))
+        .select(
+            "match",
+            "n",
+            F.floor(F.log2(F.length("match").cast("double"))).cast("int").alias("length_class"),
+            rounded_p(F.pow(F.lit(2.0), F.least("ratio", F.lit(0.0)))).alias("step"),
+        )
+    )
 
 
 def rounded_p(p: Column) -> Column:
@@ -184,25 +295,26 @@ def rounded_p(p: Column) -> Column:
 
 
 def _marked(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """The kept columns of every row as one, its base spans and its tested tokens."""
-    text = F.coalesce("text", F.lit(""))
+    """The kept columns of every row as one, with a number, its base spans and its tokens."""
     row = F.struct(*[F.col(f"`{name}`") for name in keep])
-    rows = documents.select(row.alias("row"), text.alias("text"))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "token": TOKEN}
-    found = rows.select(
-        "*",
+    rows = documents.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    patterns = [ASSIGN, ACCESS, HEX, *TOKENS]
+    found = [
+        F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(f"matches{i}") for i, pattern in enumerate(patterns)
+    ]
+    rows = rows.select("row", "text", *found)
+    # A text is only cut at a pattern that it holds.
+    parts = F.array(
         *[
-            F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(f"{kind}_matches")
-            for kind, pattern in patterns.items()
-        ],
-    )
-    placed = found.select(
-        "row",
-        *[
-            _spans(F.col("text"), pattern, F.col(f"{kind}_matches")).alias(kind)
-            for kind, pattern in patterns.items()
-        ],
+            F.struct(
+                F.when(F.size(f"matches{i}") > 0, F.split("text", pattern, -1)).alias("gaps"),
+                F.col(f"matches{i}").alias("matches"),
+            )
+            for i, pattern in enumerate(patterns)
+        ]
     )
+    # One expression places the matches of every pattern.
+    placed = rows.select("row", F.transform(parts, lambda p: _spans(p["gaps"], p["matches"])).alias("spans"))
 
     def named(kind: str, spans: Column) -> Column:
         return F.transform(
@@ -215,41 +327,28 @@ def _marked(documents: DataFrame, keep: list[str]) -> DataFrame:
             ),
         )
 
+    assign, access, hex_, *tokens = (F.get("spans", i) for i in range(len(patterns)))
     long_enough = F.filter(
-        "assign",
+        assign,
         lambda s: F.length(F.regexp_extract(s["match"], f"^{ASSIGN}", 2)) >= ASSIGN_LEAST,
     )
-    base = F.concat(
-        named("assign", long_enough),
-        named("access", F.col("access")),
-        named("hex", F.col("hex")),
-    )
-    tested = F.transform(
-        "token",
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.floor(F.log2(F.length(s["match"]).cast("double"))).cast("int").alias("length_class"),
-            battery(s["match"]).alias("test"),
-        ),
-    )
-    tokens = F.transform(
-        F.filter(tested, lambda t: t["test"].isNotNull()),
-        lambda t: F.struct(
-            t["start"], t["end"], t["length_class"], t["test"]["encoding"].alias("encoding"),
-            rounded_p(t["test"]["p"]).alias("step"),
-        ),
+    base = F.concat(named("assign", long_enough), named("access", access), named("hex", hex_))
+    return placed.select(
+        "row",
+        F.monotonically_increasing_id().alias("own"),
+        base.alias("base"),
+        F.array_distinct(F.concat(*tokens)).alias("tokens"),
     )
-    return placed.select("row", base.alias("base"), tokens.alias("tokens"))
 
 
 def rejected_steps(tokens: DataFrame, rate: float = FALSE_DISCOVERIES) -> dict[int, int]:
-    """For each length class the least step at which the hypothesis of randomness is rejected.
+    """For each length class the least step at which the hypothesis of ordinary text is rejected.
 
-    ``tokens`` has length_class and step. Counts per class and step, at most a few hundred rows per
-    class, are all that is gathered.
+    ``tokens`` has length_class and step, and n where a row stands for several tokens. Counts per
+    class and step, at most a few hundred rows per class, are all that is gathered.
     """
-    counts = tokens.groupBy("length_class", "step").count().collect()
+    number = F.sum("n") if "n" in tokens.columns else F.count(F.lit(1))
+    counts = tokens.groupBy("length_class", "step").agg(number.alias("count")).collect()
     result: dict[int, int] = {}
     for length_class in {row["length_class"] for row in counts}:
         own = sorted((r for r in counts if r["length_class"] == length_class), key=lambda r: -r["step"])
@@ -261,6 +360,19 @@ def rejected_steps(tokens: DataFrame, rate: float = FALSE_DISCOVERIES) -> dict[i
     return result
 
 
+def reported_tokens(tokens: DataFrame, documents: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
+    """The distinct ``match`` of tokens that are random and, at the controlled rate, no ordinary
+    text by the model of ``documents``. A token of which nothing can be said is not among them."""
+    model = stored(text_model(documents), "text-model")
+    judged = stored(judged_tokens(tokens, model), "judged-tokens")
+    limits = rejected_steps(judged, rate)
+    if not limits:
+        return judged.select("match").limit(0)
+    table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    limit = F.try_element_at(table, F.col("length_class"))
+    return judged.filter(F.col("step") >= F.coalesce(limit, F.lit(1 << 20))).select("match")
+
+
 def find_secrets(
     documents: DataFrame, keep: list[str] | None = None, rate: float = FALSE_DISCOVERIES
 ) -> DataFrame:
@@ -269,34 +381,37 @@ def find_secrets(
     overlap a base span are left out.
 
     A null text is empty and has no spans. Null ids and repeated rows give a row each. The marks
-    of all rows are stored once, as the thresholds depend on all of them.
+    of all rows are stored once, as what is reported depends on all of them; only rows that hold a
+    token meet the reported ones again. Beside the base patterns nothing is covered that is shorter
+    than ``TOKEN_LEAST``, in an encoding not in ``ALPHABETS``, a UUID, or made of words.
     """
     marked = stored(_marked(documents, keep or ["doc_id"]), "secrets")
-    tokens = marked.select(F.explode("tokens").alias("t")).select("t.length_class", "t.step")
-    limits = rejected_steps(tokens, rate)
-    table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]) if limits else None
-
-    def random(token: Column) -> Column:
-        apart = ~F.exists(
-            "base", lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])
-        )
-        if table is None:
-            return apart
-        limit = F.coalesce(F.try_element_at(table, token["length_class"]), F.lit(1 << 20))
-        return (token["step"] < limit) & apart
-
-    extra = F.transform(
-        F.filter("tokens", random),
-        lambda t: F.struct(
-            t["start"], t["end"], F.lit(KINDS.index("random")).alias("rank"), F.lit("random").alias("kind")
-        ),
+    tokens = marked.select("own", F.explode("tokens").alias("t")).select("own", "t.start", "t.end", "t.match")
+    reported = reported_tokens(tokens, documents, rate)
+    span = F.struct(
+        "start", "end", F.lit(KINDS.index("random")).alias("rank"), F.lit("random").alias("kind")
+    )
+    spans = (
+        tokens.join(reported, "match", "left_semi")
+        .groupBy(F.col("own").alias("of"))
+        .agg(F.collect_list(span).alias("random"))
+    )
+    holds = F.size("tokens") > 0
+    some = marked.filter(holds).join(spans, F.col("own") == F.col("of"), "left")
+    apart = F.filter(
+        F.coalesce("random", F.array().cast("array<struct<start:bigint,end:bigint,rank:int,kind:string>>")),
+        lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+    )
+    both = some.select("row", F.concat("base", apart).alias("secrets")).union(
+        marked.filter(~holds).select("row", F.col("base").alias("secrets"))
     )
-    return marked.select(
+    return both.select(
         "row",
         F.array_sort(
-            F.concat("base", extra),
+            "secrets",
             lambda a, b: F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1))
             .when(a["rank"] != b["rank"], F.when(a["rank"] < b["rank"], -1).otherwise(1))
+            .when(a["end"] != b["end"], F.when(a["end"] < b["end"], -1).otherwise(1))
             .otherwise(F.lit(0)),
         ).alias("secrets"),
     )
