@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from sensorloom.llm.common import (
+    BASE,
     lower_ascii,
+    mix64,
     require,
     span_hashes,
     stored,
@@ -31,7 +33,7 @@ WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 13
 # A shard closes at so many symbols or rows; so many bytes of benchmark text are searched for at a time.
 SHARD_SYMBOLS, SHARD_ROWS = 1 << 20, 20_000
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 20 << 20
 SAMPLE = 4
 END, OTHER = 0, 1
 
@@ -52,20 +54,23 @@ def _text_edges(inside: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Phrases:
-    """The distinct windows of a block of benchmark items as arrays of symbols, grouped by
-    length, with the items that hold each."""
+    """The distinct windows of a block of benchmark items, shortest first, with the items that hold
+    each. The words of all items are one array of symbols, a window is a place in it, and owners are
+    numbers behind offsets, so that a block takes a few times the bytes of its texts. Windows are
+    told apart by 64-bit hashes."""
 
     def __init__(self, items: Iterable[tuple[int, str | None]], window: int = WINDOW) -> None:
         self.symbols: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        parts, names = [], []
         for item_id, text in items:
             row = [self.symbols.setdefault(w, len(self.symbols) + 2) for w in words_of(text)]
-            size = min(window, len(row))
-            for at in range(len(row) - size + 1 if row else 0):
-                owners.setdefault(tuple(row[at : at + size]), set()).add(str(item_id))
-        self.phrases = sorted(owners, key=len)
-        self.owners = [sorted(owners[phrase]) for phrase in self.phrases]
-        self.lengths = np.array([len(phrase) for phrase in self.phrases], np.int64)
+            parts.append(np.array(row, np.int32))
+            names.append(str(item_id))
+        self.words = np.concatenate([np.zeros(0, np.int32), *parts])
+        counts = np.array([len(part) for part in parts], np.int64)
+        self.names = sorted(set(names))
+        number = {name: i for i, name in enumerate(self.names)}
+        self._windows(counts, np.array([number[name] for name in names], np.int32), window)
 
         words = list(self.symbols)
         raw = np.frombuffer(b"".join(words), np.uint8)
@@ -75,6 +80,36 @@ class Phrases:
         order = np.argsort(hashes)
         self.hashes, self.numbers = hashes[order], order + 2
 
+    def _windows(self, counts: np.ndarray, owner_of: np.ndarray, window: int) -> None:
+        sizes = np.minimum(counts, window)
+        windows = np.where(counts > 0, counts - sizes + 1, 0)
+        item = np.repeat(np.arange(len(counts), dtype=np.int32), windows)
+        first = (np.cumsum(counts) - counts)[item]
+        start = (first + np.arange(len(item)) - (np.cumsum(windows) - windows)[item]).astype(np.int32)
+        size = sizes[item].astype(np.int32)
+        value = size.astype(np.uint64)
+        for step in range(int(size.max(initial=0))):
+            inside = step < size
+            word = self.words[np.where(inside, start + step, 0)].astype(np.uint64) * inside.astype(np.uint64)
+            value *= np.uint64(BASE)
+            value += word
+        value = mix64(value)
+        order = np.lexsort((owner_of[item], value, size))
+        value, size, start, owner = value[order], size[order], start[order], owner_of[item][order]
+        new = np.append(True, (value[1:] != value[:-1]) | (size[1:] != size[:-1]))[: len(value)]
+        fresh = new | np.append(True, owner[1:] != owner[:-1])[: len(value)]
+        self.starts, self.lengths = start[new], size[new].astype(np.int64)
+        # The owners of phrase i are those from offsets[i] to offsets[i + 1].
+        self.owned = owner[fresh].astype(np.int32)
+        self.offsets = np.append(np.flatnonzero(new[fresh]), len(self.owned))
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def owners(self, phrase: int) -> list[str]:
+        """The items that hold a phrase."""
+        return [self.names[i] for i in self.owned[self.offsets[phrase] : self.offsets[phrase + 1]]]
+
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """The symbols of words given by their hashes; OTHER where no item has the word."""
         if not len(self.hashes):
@@ -82,11 +117,13 @@ class Phrases:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.numbers[at], OTHER)
 
-    def groups(self) -> Iterator[tuple[int, np.ndarray]]:
-        """(index of the first phrase, symbols of all phrases of one length)."""
+    def groups(self, most: int = 1 << 16) -> Iterator[tuple[int, np.ndarray]]:
+        """(index of the first phrase, symbols of phrases of one length, at most ``most``)."""
         for size in np.unique(self.lengths).tolist():
-            rows = np.flatnonzero(self.lengths == size)
-            yield rows[0], np.array([self.phrases[i] for i in rows], np.int64)
+            low, high = np.searchsorted(self.lengths, [size, size + 1])
+            for first in range(low, high, most):
+                starts = self.starts[first : min(first + most, high), None]
+                yield first, self.words[starts + np.arange(size)].astype(np.int64)
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -263,7 +300,7 @@ class Shard:
         """For each document: its words, the merged spans of hit words, the items found."""
         spans: list[list[tuple[int, int]]] = [[] for _ in self.counts]
         items: list[set[str]] = [set() for _ in self.counts]
-        if self.size and self.phrases.phrases:
+        if self.size and len(self.phrases):
             text = np.concatenate(self.texts)
             word_at = np.concatenate(self.word_at)
             ends = np.cumsum([n for _, n in self.owner])
@@ -291,10 +328,10 @@ class Shard:
                         own[-1] = (own[-1][0], max(end, own[-1][1]))
                     else:
                         own.append((start, end))
-                pairs = np.unique(found[0] * len(self.phrases.phrases) + found[3])
+                pairs = np.unique(found[0] * len(self.phrases) + found[3])
                 for pair in pairs.tolist():
-                    document, phrase = divmod(pair, len(self.phrases.phrases))
-                    items[document].update(self.phrases.owners[phrase])
+                    document, phrase = divmod(pair, len(self.phrases))
+                    items[document].update(self.phrases.owners(phrase))
         return [(n, s, sorted(i)) for n, s, i in zip(self.counts, spans, items)]
 
 
@@ -411,14 +448,14 @@ _PHRASES: dict[tuple[str, int], Phrases] = {}
 
 
 def _cached(sent, window: int):
-    """Phrases of a broadcast block, prepared once per worker."""
+    """Phrases of a broadcast block, prepared once per worker. Its digest is made once, here."""
+    key = hashlib.sha256(repr(sent.value).encode()).hexdigest(), window
 
     def get() -> Phrases:
-        digest = hashlib.sha256(repr(sent.value).encode()).hexdigest()
-        if (digest, window) not in _PHRASES:
+        if key not in _PHRASES:
             _PHRASES.clear()
-            _PHRASES[digest, window] = Phrases(sent.value, window)
-        return _PHRASES[digest, window]
+            _PHRASES[key] = Phrases(sent.value, window)
+        return _PHRASES[key]
 
     return get
 

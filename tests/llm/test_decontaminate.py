@@ -1,4 +1,6 @@
+import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -122,3 +124,28 @@ def test_index_counts_and_places(text, phrase):
 def test_suffix_order(values):
     text = np.array(values)
     assert D.suffix_order(text).tolist() == sorted(range(len(values)), key=lambda i: values[i:])
+
+
+def test_a_block_takes_a_few_times_its_bytes():
+    """So that one of BLOCK_BYTES takes less than 400 MB in a worker."""
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**7)}" for _ in range(5000)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(300))) for i in range(300)]
+    D.Phrases(items[:5])
+    tracemalloc.start()
+    phrases = D.Phrases(items)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = sum(len(text) for _, text in items)
+    assert len(phrases) == 300 * (300 - 12)
+    assert most * D.BLOCK_BYTES / size < 400e6 and held * D.BLOCK_BYTES / size < 200e6
+
+
+def test_owners_of_repeated_windows():
+    text = " ".join(f"x{i}" for i in range(14))
+    phrases = D.Phrases([(9, text), (10, text), (None, "x1 x2"), (9, text), (11, ""), (12, None), (10, "X2 x1")])
+    owned = {tuple(words): phrases.owners(first + i) for first, group in phrases.groups(2) for i, words in enumerate(group.tolist())}
+    number = {w: n for w, n in phrases.symbols.items()}
+    assert len(owned) == len(phrases) == 4
+    assert owned[tuple(number[f"x{i}".encode()] for i in range(13))] == ["10", "9"]
+    assert owned[number[b"x1"], number[b"x2"]] == ["None"] and owned[number[b"x2"], number[b"x1"]] == ["10"]
