@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.llm.common import stored
+from sensorloom.llm.common import discard, stored
 
 MOST_ROUNDS = 60
 
@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges with a null are ignored. Alternating large-star and small-star steps turn each component
     into a star around its smallest node in a logarithmic number of rounds. A step gathers only the
     minimum of a node's neighbours, which combines before the shuffle, and joins it back; Spark
-    splits the join where a node has very many edges. Each round is stored.
+    splits the join where a node has very many edges. Each round is stored, and the one before removed.
     """
     current = stored(
         edges.filter("a is not null and b is not null and a != b")
@@ -42,6 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
             "edges",
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
+        discard(current)
         current = stored(
             large.join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -50,6 +51,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
+        discard(large)
     else:
         raise RuntimeError("components did not settle")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

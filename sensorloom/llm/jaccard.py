@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from sensorloom.llm.common import (
     HashFilter,
     counted_hashes,
+    discard,
     hash_filter,
     lower_ascii,
     mix64,
@@ -221,19 +222,20 @@ def similar_documents(
     named = rows.filter("doc_id is not null")
     sent = rows.sparkSession.sparkContext.broadcast(shingle_order(named, words))
     made = stored(rows.mapInArrow(_set_rows(sent, words, similar), _SETS), "sets")
-    sent.unpersist()
+    sent.destroy()
 
     # Equal sets are one vertex: the smallest doc_id stands for them.
     member = made.filter("doc_id is not null and n_shingles > 0").select("doc_id", "n_shingles", "print")
     least = member.groupBy("print", "n_shingles").agg(F.min("doc_id").alias("id"))
     same = member.join(least, ["print", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     candidates = made.filter("size(prefix) > 0 and doc_id is not null")
-    kept = least.select("id", F.col("print").alias("p")).join(
-        candidates, (F.col("id") == F.col("doc_id")) & (F.col("p") == F.col("print"))
+    kept = least.select("id", F.col("print").alias("p"), F.col("n_shingles").alias("m")).join(
+        candidates,
+        (F.col("id") == F.col("doc_id")) & (F.col("p") == F.col("print")) & (F.col("m") == F.col("n_shingles")),
     )
     sets = stored(
-        kept.select("id", F.col("n_shingles").alias("n"), "group", "prefix", "places", "shingles")
-        .dropDuplicates(["id", "group", "n"]),
+        kept.dropDuplicates(["id", "print", "n_shingles"])
+        .select("id", F.col("n_shingles").alias("n"), "group", "prefix", "places", "shingles"),
         "distinct-sets",
     )
 
@@ -314,6 +316,7 @@ def similar_documents(
     joined = components(
         more.union(several.select(F.coalesce("c_a", "a"), F.coalesce("c_b", "b")))
     )
+    discard(sets, postings, tried, links, spread, mixed)
     final = (
         same.select(F.col("a").alias("doc_id"), F.col("b").alias("node"))
         .join(found, "node", "left")

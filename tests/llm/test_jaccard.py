@@ -76,3 +76,20 @@ def test_shingle_sets_do_not_depend_on_neighbours():
 def test_empty_table(spark):
     check(spark, [])
     check(spark, [(1, None), (2, ""), (None, None)])
+
+
+def test_all_sets_of_one_id_count(spark):
+    """Where two texts of an id have equal sizes and prefixes, what is similar to one of them alone
+    is linked all the same."""
+    check(spark, [(i * 100 + doc_id, text) for i in range(60) for doc_id, text in cases(i)])
+
+
+def cases(seed):
+    """Separate groups of four rows: two texts under the id 5, one of them again, and one like the
+    other. The words differ from group to group."""
+    rng = random.Random(seed)
+    words = [f"g{seed}x{rng.randrange(10**6)}" for _ in range(60)]
+    other, like = words[:], words[:]
+    other[50 + seed % 10] = f"g{seed}other"
+    like[50 + seed % 10], like[40] = f"g{seed}other", f"g{seed}like"
+    return [(5, " ".join(words)), (5, " ".join(other)), (90, " ".join(words)), (7, " ".join(like))]
