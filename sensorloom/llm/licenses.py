@@ -35,7 +35,7 @@ FAMILIES = (
     ("mit-0", "(?:mit no attribution|mit-0)", "mit-0"),
     ("isc", "isc", "isc"),
     ("apache-1.1", f"apache (?:software )?license{VERSION}1[.]1", "apache-1[.]1"),
-    ("apache-2.0", f"apache (?:software )?license{VERSION}2(?:[.]0)?", "apache-2[.]0"),
+    ("apache-2", f"apache (?:software )?license{VERSION}2(?:[.]0)?", "apache-2[.]0"),
     ("bsd-2-clause", "(?:simplified|2-clause|two-clause) bsd", "bsd-2-clause"),
     ("bsd-3-clause", "(?:new|revised|3-clause|three-clause) bsd", "bsd-3-clause"),
     ("bsd-4-clause", "(?:original|4-clause|four-clause) bsd", "bsd-4-clause"),
@@ -113,6 +113,11 @@ GNU_NOTICES = (
     ("lgpl-3.0", "gnu lesser general public license", "3(?:[.]0)?"),
     ("agpl-3.0", "gnu affero general public license", "3(?:[.]0)?"),
 )
+# Comment marks at the beginning of a line, and white space between two words: where it holds line
+# ends, the marks of the lines that begin in it belong to it.
+MARKS = r"(?:[#*;%>]+|//+|--+|(?:rem|dnl)(?=[ \t\r\n]))"
+SPACE = rf"(?:[ \t\r]*(?:\n[ \t\r]*(?:{MARKS}[ \t\r]*)?)+|[ \t\r]+)"
+LINE_MARKS = re.compile(rf"\n[ \t\r]*{MARKS}".encode())
 # A version ends here: "2" is not a part of "2.1" or "2023".
 VERSION_END = "(?![.]?[0-9])"
 
@@ -139,11 +144,14 @@ class Rule:
 
 
 def _spaced(pattern: str) -> bytes:
-    """Spaces of a pattern match any run of white space, and '[ -]' any run of white space and
-    hyphens; with a '?' behind them they may be missing. A match begins at a word boundary."""
+    """Spaces of a pattern match any run of white space, with the comment marks of a new line, and
+    '[ -]' any run of white space and hyphens; with a '?' behind them they may be missing. A match
+    begins at a word boundary."""
 
     def run(match: re.Match[str]) -> str:
-        return (r"[ \t\r\n-]" if match[1] != " " else r"[ \t\r\n]") + ("*" if match[2] else "+")
+        if match[1] != " ":
+            return r"[ \t\r\n-]" + ("*" if match[2] else "+")
+        return SPACE + "?" if match[2] else SPACE
 
     return (r"\b" + re.sub(r"(\[ -\]| )(\?)?", run, pattern)).encode()
 
@@ -173,8 +181,12 @@ def build_rules() -> list[Rule]:
             if pattern == TITLE and own in name:
                 # The title holds the word already.
                 add(label, name, own, priority, confidence)
-            else:
+            elif pattern == TITLE or short.replace("[.]", ".") in name:
                 add(label, pattern.replace("{name}", name), keyword, priority, confidence)
+            else:
+                # The identifier may stand for the name.
+                either = rf"(?:{name}|{short}(?:-only|-or-later)?\b{VERSION_END})"
+                add(label, pattern.replace("{name}", either), keyword, priority, confidence)
     for label, short, version in ACRONYMS:
         add(label, rf"{short}[ -]?(?:version |v[.]? ?)?{version}{VERSION_END}", short, 60, 0.8)
     for label, name, version in GNU_NOTICES:
@@ -202,7 +214,7 @@ def build_rules() -> list[Rule]:
         ("gpl-2.0", "gnu[.]org/licenses/gpl-2|gnu[.]org/licenses/old-licenses/gpl-2", "gnu.org"),
         ("lgpl-3.0", "gnu[.]org/licenses/lgpl-3", "gnu.org"),
         ("agpl-3.0", "gnu[.]org/licenses/agpl-3", "gnu.org"),
-        ("apache-2.0", "apache[.]org/licenses/license-2[.]0", "apache.org"),
+        ("apache-2", "apache[.]org/licenses/license-2[.]0", "apache.org"),
         ("mpl-2.0", "mozilla[.]org/mpl/2[.]0", "mozilla.org"),
         ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
         ("zlib", "this software is provided 'as-is', without any express or implied warranty", "as-is"),
@@ -217,7 +229,8 @@ def build_rules() -> list[Rule]:
         ("x11", "the name of the x consortium shall not be used", "x consortium"),
         ("cc0-1.0", "creative commons zero", "creative commons"),
         ("mit-0", "mit no attribution", "no attribution"),
-        ("apache-2.0", f"apache[ -]?(?:version |v[.]? ?)?2(?:[.]0)? (?:software )?license|apache-2[.]0{VERSION_END}", "apache"),
+        ("eupl-1.2", "european union public license", "european union"),
+        ("apache-2", f"apache[ -]?(?:version |v[.]? ?)?2(?:[.]0)? (?:software )?license|apache-2[.]0{VERSION_END}", "apache"),
         ("apache-1.1", f"apache[ -]?(?:version |v[.]? ?)?1[.]1 (?:software )?license|apache-1[.]1{VERSION_END}", "apache"),
         ("proprietary", "all rights reserved", "all rights"),
         ("public-domain", "(?:released into|in|dedicated to) the public domain", "public domain"),
@@ -242,7 +255,7 @@ def _gate():
 
 def detections(lowered: bytes) -> list[tuple[int, int, Rule]]:
     """Non-suppressed detections in a lower-cased text: (start byte, end byte, rule) by start."""
-    text = b" ".join(lowered.split()).decode("latin-1")
+    text = b" ".join(LINE_MARKS.sub(b"\n", lowered).split()).decode("latin-1")
     hit = {keyword: rules for _, (keyword, rules) in _gate().iter(text)}
     found = [
         (match.start(), match.end(), rule)
