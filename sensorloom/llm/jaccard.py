@@ -7,8 +7,11 @@ position, and what is left is expanded to its members and verified on the whole
 
 Pairs are looked for twice. First every group meets one other, of the least groups of its prefix
 shingles the one it shares most with, and every member the least member of its group; the components
-of what is verified are found. Then pairs are formed across components alone. A link within a component adds nothing to the
-result, so none is lost, and a large group of near copies costs about as many pairs as members.
+of what is verified are found. Where the pairs across components would be many, sets outside the
+largest component at their shingles then meet a few of its sets, drawn anew in every round, and what
+is linked joins. Then all pairs across components are formed. A link within a component adds nothing
+to the result, so none is lost, and a large group of near copies costs about as many pairs as members,
+whichever of them have the least ids.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorloom.llm.common import (
     HashFilter,
@@ -43,6 +46,11 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # The most frequent shingles, at most so many, are ordered by how frequent they are.
 FREQUENT = 1 << 20
 
+# Where there may be more rows of pairs than so many for each row of postings, sets are drawn from the
+# largest component at each shingle, and the best few are tried, first so many and then twice as many;
+# at most so many times, and while at least this share of the sets that meet others links with one.
+PAIRS_A_ROW, DRAWN, TRIED, TURNS, WORTHWHILE = 4, 16, 4, 5, 0.02
+
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of texts as sorted 64-bit hashes, end to end, and where each text's
@@ -188,7 +196,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
         pairs.join(one, "a")
         .join(two, "b")
         .filter(both * (100 + similar) >= similar * (F.col("n_a") + F.col("n_b")))
-        .select("a", "b")
+        .select(*pairs.columns)
     )
 
 
@@ -207,6 +215,50 @@ def _fits(similar: int):
     )
 
 
+def _mixed(postings: DataFrame) -> DataFrame:
+    """The postings (shingle, id, n, at, c) of shingles whose sets are in several components, with
+    the largest of them."""
+    sizes = postings.groupBy("shingle", "c").count()
+    main = sizes.groupBy("shingle").agg(
+        F.max(F.struct("count", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")
+    )
+    return postings.join(main.filter("parts > 1").select("shingle", "main"), "shingle")
+
+
+def _load(mixed: DataFrame) -> tuple[int, float]:
+    """The rows of postings, and about how many rows the pairs across components would have."""
+    per = mixed.groupBy("shingle").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.count_if(F.col("c") != F.col("main")).cast("double").alias("o")
+    )
+    rows, pairs = per.agg(F.sum("n"), F.sum(F.col("o") * (F.col("n") - F.col("o") / 2))).first()
+    return int(rows or 0), pairs or 0.0
+
+
+def _drawn(mixed: DataFrame, turn: int, similar: int) -> DataFrame:
+    """Pairs (a, b, c_a, c_b) of a set of the largest component at a shingle and one outside it. Each
+    shingle has a few sets a, the first in an order of the turn's own; a set b keeps those that
+    it shares most prefix shingles with."""
+    order = Window.partitionBy("shingle").orderBy(F.xxhash64("id", F.lit(turn)), "id")
+    few = mixed.filter("c = main").withColumn("place", F.row_number().over(order))
+    one = few.filter(F.col("place") <= DRAWN << turn).select(
+        "shingle", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("c").alias("c_a")
+    )
+    two = mixed.filter("c != main").select(
+        "shingle", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("c").alias("c_b")
+    )
+    shared = one.join(two, "shingle").filter(_fits(similar)).groupBy("a", "b", "c_a", "c_b").count()
+    best = Window.partitionBy("b").orderBy(F.desc("count"), F.xxhash64("a", F.lit(turn)), "a")
+    ranked = shared.withColumn("place", F.row_number().over(best))
+    return ranked.filter(F.col("place") <= TRIED << turn).select("a", "b", "c_a", "c_b")
+
+
+def _joined(nodes: DataFrame, name: str, merged: DataFrame) -> DataFrame:
+    """The rows with the component in the column of that name replaced by what it has become part of."""
+    became = merged.select(F.col("node").alias(name), F.col("component").alias("became"))
+    both = nodes.join(became, name, "left").withColumn(name, F.coalesce("became", name))
+    return both.select(nodes.columns)
+
+
 def similar_documents(
     documents: DataFrame, words: int = WORDS, similar: int = SIMILAR
 ) -> DataFrame:
@@ -278,12 +330,22 @@ def similar_documents(
         .select("shingle", "id", "n", "at", "c"),
         "postings",
     )
-    sizes = spread.groupBy("shingle", "c").count()
-    main = sizes.groupBy("shingle").agg(
-        F.max(F.struct("count", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")
-    )
-    mixed = spread.join(main.filter("parts > 1").select("shingle", "main"), "shingle")
-    mixed = stored(mixed, "mixed")
+    mixed = stored(_mixed(spread), "mixed")
+    for turn in range(TURNS):
+        rows, pairs = _load(mixed)
+        if pairs <= PAIRS_A_ROW * rows:
+            break
+        drawn = stored(_drawn(mixed, turn, similar), "drawn")
+        met = stored(_verified(drawn, sets, similar), "met")
+        merged, before = stored(components(met.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))), "components"), mixed
+        known = sets.select(F.col("id").alias("node")).join(found, "node", "left")
+        known = known.select("node", F.coalesce("component", "node").alias("component"))
+        found = stored(_joined(known, "component", merged), "components")
+        mixed = stored(_mixed(_joined(before.drop("main"), "c", merged)), "mixed")
+        asked, linked = (each.select("b").distinct().count() for each in (drawn, met))
+        discard(before, drawn, met, merged)
+        if linked <= WORTHWHILE * asked:
+            break
 
     others = mixed.filter("c != main")
     two = others.select(

@@ -93,3 +93,26 @@ def cases(seed):
     other[50 + seed % 10] = f"g{seed}other"
     like[50 + seed % 10], like[40] = f"g{seed}other", f"g{seed}like"
     return [(5, " ".join(words)), (5, " ".join(other)), (90, " ".join(words)), (7, " ".join(like))]
+
+
+def test_a_poor_first_member_costs_no_square_of_pairs(spark, monkeypatch):
+    """Sets of the least ids share prefixes with a group of near copies, but are similar to none of
+    it: the others are linked all the same before pairs are formed across components."""
+    rng, words = random.Random(11), [f"w{i}" for i in range(400)]
+
+    def copy(name, changes):
+        own = words[:]
+        for at in rng.sample(range(0, 400, 5), changes):
+            own[at] = f"{name}at{at}"
+        return " ".join(own)
+
+    texts = [(i, copy(f"far{i}", 8)) for i in range(5)] + [(i, copy(f"near{i}", 4)) for i in range(5, 150)]
+    verified, formed = J._verified, []
+
+    def counted(pairs, *rest):
+        formed.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(J, "_verified", counted)
+    check(spark, texts)
+    assert sum(formed) < 20 * len(texts)
