@@ -175,10 +175,14 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Distinct fact codes without a lookup row; a NULL code counts as one."""
-    return (
-        fact.select(key).distinct().join(dimension.select(key).distinct(), key, "left_anti")
-    )
+    """Distinct fact codes without a lookup row; a NULL code counts as one.
+
+    The codes are made distinct before they are looked up. An anti join would be planned below the
+    distinct, where all rows of a code meet in one task.
+    """
+    seen = fact.select(key).distinct()
+    known = dimension.select(key).distinct().withColumn("_known", F.lit(True))
+    return seen.join(known, key, "left").filter(F.col("_known").isNull()).select(key)
 
 
 def validation_details(

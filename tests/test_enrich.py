@@ -10,7 +10,7 @@ from sensorloom.operators.joins import (
     frequent_values,
     join_lookups,
 )
-from sensorloom.operators.quality import RULES, validation_details, validation_summary
+from sensorloom.operators.quality import RULES, orphans, validation_details, validation_summary
 
 T = datetime(2020, 1, 1, 5)
 
@@ -173,3 +173,16 @@ def test_validation_of_nothing(tables):
     measure, station, item = tables
     enriched = enrich_measure(measure.limit(0), station, item)
     assert [r["Validations"] for r in validation_summary(enriched, station, item).collect()] == [0] * 9
+
+
+def test_orphans_are_looked_up_once_per_code(spark, tmp_path):
+    """The lookup comes above the distinct, so that no task sorts all rows of a frequent code."""
+    fact = spark.createDataFrame([(1,), (1,), (2,), (2,), (None,), (None,)], "Item_Code bigint")
+    items = spark.createDataFrame([(1,), (1,), (None,)], "Item_Code bigint")
+    for name, table in (("fact", fact), ("items", items)):
+        table.write.parquet(f"{tmp_path}/{name}")
+    fact, items = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("fact", "items"))
+    found = orphans(fact, items, "Item_Code")
+    assert sorted(found.collect(), key=repr) == sorted([(2,), (None,)], key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
