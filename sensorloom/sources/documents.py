@@ -2,13 +2,13 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sensorloom.operators.dedup import first_per_key
 from sensorloom.operators.documents import insert_ignore
+from sensorloom.sources.files import shared_folder
 from sensorloom.sources.store import PieceStore
 
 
@@ -67,23 +67,27 @@ def load_measurements(
 
     With ``distinct`` one document per time, station and item is kept, the least of the incoming
     ones, and those already stored are left out. Only the stored periods between the first and
-    the last incoming one are read for that.
+    the last incoming one are read for that. The incoming ones are computed once: they are counted
+    while they are reduced.
 
     Choose the ``period`` ("day", "month" or "year") so that one holds at least a file's worth of
     rows. The rebalance gathers the rows of a period into few files and splits a period that is
     too large for one. Within a file rows are sorted by station, item and time, which lets the
     point query skip row groups.
     """
-    offered, before = Observation(), 0
+    offered, before, folder = Observation(), 0, None
     incoming = documents.observe(offered, F.count(F.lit(1)).alias("rows"))
     if distinct:
-        # Counted apart: a plan that turns out empty while it runs observes nothing.
-        attempted, first, last = documents.agg(
-            F.count(F.lit(1)), F.min("ts"), F.max("ts")
-        ).first()
+        incoming = _keyed_first(incoming)
         stored = None if drop_existing else read_collection(documents.sparkSession, path)
-        before = 0 if stored is None else stored.count()
-        incoming = _unstored(documents, stored, first, last, period)
+        if stored is not None:
+            # Written once, as the times that it spans are asked for before it is compared.
+            folder = shared_folder(documents.sparkSession, "incoming")
+            incoming.write.parquet(folder)
+            incoming = documents.sparkSession.read.schema(incoming.schema).parquet(folder)
+            before = stored.count()
+            incoming = _unstored(incoming, stored, period)
+        incoming = incoming.drop("_station", "_item")
     dated = (
         incoming.withColumn(period, F.to_date(F.date_trunc(period, "ts")))
         .hint("rebalance", period)
@@ -91,31 +95,34 @@ def load_measurements(
     )
     mode = "overwrite" if drop_existing else "append"
     dated.write.mode(mode).partitionBy(period).parquet(path)
-    if distinct:
-        after = read_collection(documents.sparkSession, path)
-        return LoadCounts(attempted, after.count() - before)
-    rows = offered.get["rows"]
-    return LoadCounts(rows, rows)
-
-
-def _unstored(
-    incoming: DataFrame, stored: DataFrame | None, first: datetime, last: datetime, period: str
-) -> DataFrame:
-    """The first document per time, station and item, unless it is stored. ``first`` and ``last``
-    are the times that the incoming ones span."""
-    keys = ["ts", "_station", "_item"]
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {"_station": F.col("meta.station_code"), "_item": F.col("meta.item_code")}
-        )
-
-    fresh = first_per_key(keyed(incoming), keys)
-    if stored is not None:
-        start = F.to_date(F.date_trunc(period, F.lit(first)))
-        near = stored.filter(F.col(period).between(start, F.to_date(F.lit(last))))
-        fresh = fresh.join(keyed(near).select(keys), keys, "left_anti")
-    return fresh.drop("_station", "_item")
+    if not distinct:
+        return LoadCounts(offered.get["rows"], offered.get["rows"])
+    taken = read_collection(documents.sparkSession, path).count() - before
+    # A plan that turns out empty while it runs observes nothing.
+    known = taken if folder is None else documents.sparkSession.read.parquet(folder).count()
+    if folder is not None:
+        PieceStore(documents.sparkSession, folder).delete()
+    return LoadCounts(offered.get["rows"] if known else 0, taken)
+
+
+_KEYS = ["ts", "_station", "_item"]
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    return df.withColumns({"_station": F.col("meta.station_code"), "_item": F.col("meta.item_code")})
+
+
+def _keyed_first(incoming: DataFrame) -> DataFrame:
+    """The first document per time, station and item, with its keys."""
+    return first_per_key(_keyed(incoming), _KEYS)
+
+
+def _unstored(incoming: DataFrame, stored: DataFrame, period: str) -> DataFrame:
+    """The keyed documents that are not stored."""
+    first, last = incoming.agg(F.min("ts"), F.max("ts")).first()
+    start = F.to_date(F.date_trunc(period, F.lit(first)))
+    near = stored.filter(F.col(period).between(start, F.to_date(F.lit(last))))
+    return incoming.join(_keyed(near).select(_KEYS), _KEYS, "left_anti").select(incoming.columns)
 
 
 # Into how many partitions documents are dealt by their keys.

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -176,3 +177,31 @@ def test_measurements_are_appended_by_day(
     history.explain("formatted")
     plan = capsys.readouterr().out
     assert "EqualTo(meta.item_code,1)" in plan and "EqualTo(meta.station_code,101)" in plan
+
+
+def test_distinct_load_computes_its_documents_once(spark, tmp_path):
+    """The incoming documents are counted while they are reduced, also where all are stored or none
+    come, and nothing but the collection is left."""
+    path, seen = str(tmp_path / "m"), spark.sparkContext.accumulator(0)
+
+    def touched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(datetime(2020, 1, d % 20 + 1), float(d), 0, "Good", (d % 3, 1)) for d in range(90)]
+    schema = (
+        "ts timestamp, avg double, instrument_status int, status string, "
+        "meta struct<station_code: int, item_code: int>"
+    )
+    documents = spark.createDataFrame(rows, schema)
+    offered = documents.mapInArrow(touched, documents.schema)
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = os.listdir(shared)
+    for expected in ((90, 60), (90, 0)):
+        seen.value = 0
+        counts = load_measurements(offered, path, period="month", distinct=True)
+        assert (counts.attempted, counts.inserted, seen.value) == (*expected, 90)
+    none = load_measurements(offered.filter("avg < 0"), path, period="month", distinct=True)
+    assert (none.attempted, none.inserted) == (0, 0)
+    assert sorted(os.listdir(shared)) == sorted(before)
