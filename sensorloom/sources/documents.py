@@ -1,6 +1,6 @@
 """Document collections kept as parquet tables."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -129,6 +129,15 @@ def _unstored(incoming: DataFrame, stored: DataFrame, period: str) -> DataFrame:
 KEY_BUCKETS = 64
 
 
+def _offered(documents: DataFrame) -> tuple[DataFrame, Callable[[int], int]]:
+    """The documents, and how many they were once they are inserted, given how many were taken.
+    They are counted while the load reduces them; a plan that turns out empty while it runs
+    observes nothing, so where none was taken they are counted apart."""
+    offered = Observation()
+    counted = documents.observe(offered, F.count(F.lit(1)).alias("rows"))
+    return counted, lambda taken: offered.get["rows"] if taken else documents.count()
+
+
 def insert_documents(
     documents: DataFrame,
     folder: str,
@@ -144,11 +153,11 @@ def insert_documents(
     so that one holds a file's worth of documents, and keep it: it is part of the layout.
     """
     change = PieceStore(documents.sparkSession, folder).begin()
-    attempted = documents.count()
+    counted, attempted = _offered(documents)
     bucket = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int")
-    inserted = change.insert_new(name, documents.withColumn("Bucket", bucket), [key], "Bucket", order)
+    inserted = change.insert_new(name, counted.withColumn("Bucket", bucket), [key], "Bucket", order)
     change.commit()
-    return LoadCounts(attempted, inserted)
+    return LoadCounts(attempted(inserted), inserted)
 
 
 def insert_measurements(
@@ -160,8 +169,8 @@ def insert_measurements(
     Within a file they are sorted by time, station and item.
     """
     change = PieceStore(documents.sparkSession, folder).begin()
-    attempted = documents.count()
-    keyed = documents.withColumns(
+    counted, attempted = _offered(documents)
+    keyed = counted.withColumns(
         {
             "_station": F.col("meta.station_code"),
             "_item": F.col("meta.item_code"),
@@ -170,7 +179,7 @@ def insert_measurements(
     )
     inserted = change.insert_new(name, keyed, ["ts", "_station", "_item"], "Period")
     change.commit()
-    return LoadCounts(attempted, inserted)
+    return LoadCounts(attempted(inserted), inserted)
 
 
 def _cell(item_code: Column | int, station_code: Column | int, cells: int) -> Column | int:
@@ -185,14 +194,14 @@ def insert_history(
     station: by cells of both codes, and inside a file by station, item and time. Documents that are
     there, or without a code, are left out. Keep ``cells``: it is part of the layout."""
     change = PieceStore(documents.sparkSession, folder).begin()
-    attempted = documents.count()
+    counted, attempted = _offered(documents)
     station, item = F.col("meta.station_code").cast("bigint"), F.col("meta.item_code").cast("bigint")
-    keyed = documents.filter(station.isNotNull() & item.isNotNull()).withColumns(
+    keyed = counted.filter(station.isNotNull() & item.isNotNull()).withColumns(
         {"_station": station, "_item": item, "Cell": _cell(item, station, cells)}
     )
     inserted = change.insert_new(name, keyed, ["_station", "_item", "ts"], "Cell")
     change.commit()
-    return LoadCounts(attempted, inserted)
+    return LoadCounts(attempted(inserted), inserted)
 
 
 def read_history(

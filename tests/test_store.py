@@ -317,3 +317,29 @@ def test_report_accounts_for_malformed_lines(spark):
     found = {(r["Table"], r["Outcome"]): r["Rows"] for r in report.collect()}
     assert found["station", "Raw"] == 2 and found["station", "Malformed line"] == 2
     assert found["item", "Raw"] == 0 and ("item", "Malformed line") not in found
+
+
+def test_inserts_compute_their_documents_once(spark, tmp_path):
+    """They are counted while they are reduced; where nothing new or nothing at all comes, the counts
+    are right all the same."""
+    rows = [(datetime(2020, 1, d % 20 + 1), float(d), (d % 3, 1), d % 60) for d in range(90)]
+    schema = "ts timestamp, avg double, meta struct<station_code: int, item_code: int>, _id int"
+    documents, seen = spark.createDataFrame(rows, schema), spark.sparkContext.accumulator(0)
+
+    def touched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    offered = documents.mapInArrow(touched, documents.schema)
+    loads = {
+        "m": lambda df: insert_measurements(df, str(tmp_path / "m")),
+        "h": lambda df: insert_history(df, str(tmp_path / "h")),
+        "d": lambda df: insert_documents(df, str(tmp_path / "d"), "d", buckets=4),
+    }
+    for insert in loads.values():
+        seen.value = 0
+        counts = insert(offered)
+        assert (counts.attempted, counts.inserted, seen.value) == (90, 60, 90)
+        again, none = insert(offered), insert(offered.filter("avg < 0"))
+        assert (again.attempted, again.inserted, none.attempted, none.inserted) == (90, 0, 0, 0)
