@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows of about this many bytes of text are worked on at a time inside a task.
 SLICE_BYTES = 1 << 20
+# A task that counts hashes gathers about so many, and sends their counts on by so many rows.
+HELD_HASHES, SENT_HASHES = 1 << 22, 1 << 16
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,23 +29,28 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, batch_bytes: int | None = None) -> DataFrame:
     """The rows written once to the shared folder and read back, so that lost executors cost no
     recomputation and no lineage grows. Shuffle files of the write are of no use afterwards and
-    are dropped with it."""
+    are dropped with it. Where ``batch_bytes`` is given, Arrow batches of the write are cut at about
+    so many bytes, whatever the number of their rows."""
     spark = df.sparkSession
     folder = shared_folder(spark, purpose)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true"} | ({BATCH: str(batch_bytes)} if batch_bytes else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(folder)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -195,17 +202,38 @@ def hash_filter(hashes: DataFrame, known: int, least: int = 20, most: int = 30)
     return HashFilter(bits, table)
 
 
+def _counted(held: list[np.ndarray], name: str) -> Iterator[pa.RecordBatch]:
+    """The distinct hashes of a list of arrays, which is emptied, with their counts, in batches of
+    SENT_HASHES rows."""
+    values = np.concatenate(held) if held else np.zeros(0, np.int64)
+    held.clear()
+    values.sort()
+    fresh = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    first = np.append(np.flatnonzero(fresh), len(values))
+    for start in range(0, len(first) - 1, SENT_HASHES):
+        own = first[start : start + SENT_HASHES + 1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values[own[:-1]]), pa.array(np.diff(own))], names=[name, "count"]
+        )
+
+
 def counted_hashes(texts: DataFrame, hashes_of, name: str, most: int = SLICE_BYTES) -> DataFrame:
     """(name, count): in how many texts each hash of ``hashes_of`` occurs. ``hashes_of`` gives the
-    hashes of a column of texts of about ``most`` bytes, each once per text. Equal hashes of a batch
-    are counted before the shuffle, so that one that all texts have is no burden."""
+    hashes of a column of texts of about ``most`` bytes, each once per text. Equal hashes of
+    about HELD_HASHES are counted before the shuffle, so that one that all texts have is no burden. A
+    task holds no more, however long the texts are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            parts = [hashes_of(part.column(0)) for part in text_slices(batch, "text", most)]
-            if parts:
-                values, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], names=[name, "count"])
+            for part in text_slices(batch, "text", most):
+                held.append(hashes_of(part.column(0)))
+                size += len(held[-1])
+                if size >= HELD_HASHES:
+                    yield from _counted(held, name)
+                    size = 0
+        yield from _counted(held, name)
 
     rows = texts.select("text").mapInArrow(run, f"{name} bigint, count bigint")
     return rows.repartition(name).groupBy(name).agg(F.sum("count").alias("count"))

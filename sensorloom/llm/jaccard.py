@@ -43,6 +43,9 @@ SIMILAR = 80  # in hundredths
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+# Texts are sent to Python by about so many bytes at a time.
+BATCH_BYTES = 8 << 20
+
 # The most frequent shingles, at most so many, are ordered by how frequent they are.
 FREQUENT = 1 << 20
 
@@ -104,7 +107,7 @@ def shingle_order(texts: DataFrame, words: int = WORDS) -> Order:
     """Count the sets of every shingle, of all documents; the counts combine before the shuffle.
     What is sent on is a filter of bounded size and a bounded list of the most frequent."""
     counts = counted_hashes(texts, lambda column: shingle_sets(column, words)[0], "shingle")
-    several = stored(counts.filter("count > 1"), "shingles")
+    several = stored(counts.filter("count > 1"), "shingles", BATCH_BYTES)
     levels = (
         several.groupBy(F.floor(F.log2(F.col("count").cast("double"))).cast("int").alias("level"))
         .count()
@@ -273,7 +276,7 @@ def similar_documents(
     rows = require(documents, ["doc_id", "text"])
     named = rows.filter("doc_id is not null")
     sent = rows.sparkSession.sparkContext.broadcast(shingle_order(named, words))
-    made = stored(rows.mapInArrow(_set_rows(sent, words, similar), _SETS), "sets")
+    made = stored(rows.mapInArrow(_set_rows(sent, words, similar), _SETS), "sets", BATCH_BYTES)
     sent.destroy()
 
     # Equal sets are one vertex: the smallest doc_id stands for them.

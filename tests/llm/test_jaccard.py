@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 
-from sensorloom.llm import jaccard as J
+from sensorloom.llm import common, jaccard as J
+from sensorloom.llm.common import stored
 from tests.llm.helpers import awkward, documents, edited, prose
 
 
@@ -116,3 +118,26 @@ def test_a_poor_first_member_costs_no_square_of_pairs(spark, monkeypatch):
     monkeypatch.setattr(J, "_verified", counted)
     check(spark, texts)
     assert sum(formed) < 20 * len(texts)
+
+
+def test_counts_are_sent_in_small_batches():
+    """A task that counts hashes empties what it has gathered and sends it in batches of few rows."""
+    rng = random.Random(4)
+    held = [np.array([rng.randrange(200_000) - 100_000 for _ in range(80_000)]) for _ in range(3)]
+    values, counts = np.unique(np.concatenate(held), return_counts=True)
+    sent = list(common._counted(held, "h"))
+    assert held == [] and max(batch.num_rows for batch in sent) <= common.SENT_HASHES < len(values)
+    assert np.array_equal(np.concatenate([batch["h"] for batch in sent]), values)
+    assert np.array_equal(np.concatenate([batch["count"] for batch in sent]), counts)
+    assert list(common._counted([], "h")) == list(common._counted([values[:0]], "h")) == []
+
+
+def test_batches_of_a_stored_table_are_cut_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    texts = spark.range(0, 400, 1, 1).selectExpr("repeat('x', 1000) text")
+    rows = stored(texts.mapInArrow(sizes, "n bigint"), "sizes", 40_000).collect()
+    assert sum(row["n"] for row in rows) == 400 and max(row["n"] for row in rows) < 100
+    assert spark.conf.get(common.BATCH) != "40000"
