@@ -191,7 +191,10 @@ def _digest(values: np.ndarray, size: int) -> int:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs (a, b) of set ids whose whole sets are similar."""
+    """The pairs (a, b) of set ids whose whole sets are similar. ``pairs`` is a stored table; only the
+    sets that it names are moved."""
+    named = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = sets.join(named, "id", "left_semi")
     one = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     two = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
@@ -220,21 +223,24 @@ def _fits(similar: int):
 
 def _mixed(postings: DataFrame) -> DataFrame:
     """The postings (shingle, id, n, at, c) of shingles whose sets are in several components, with
-    the largest of them."""
+    the largest of them and with about how many rows of pairs across components come on each row."""
     sizes = postings.groupBy("shingle", "c").count()
     main = sizes.groupBy("shingle").agg(
-        F.max(F.struct("count", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")
+        F.max(F.struct("count", "c")).alias("most"), F.sum("count").cast("double").alias("all")
     )
-    return postings.join(main.filter("parts > 1").select("shingle", "main"), "shingle")
+    others = F.col("all") - F.col("most.count")
+    main = main.filter(others > 0).select(
+        "shingle", F.col("most.c").alias("main"), (others * (1 - others / F.col("all") / 2)).alias("pairs_a_row")
+    )
+    return postings.join(main, "shingle")
 
 
-def _load(mixed: DataFrame) -> tuple[int, float]:
-    """The rows of postings, and about how many rows the pairs across components would have."""
+def _load(mixed: DataFrame) -> float:
+    """About how many rows the pairs across components would have."""
     per = mixed.groupBy("shingle").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.count_if(F.col("c") != F.col("main")).cast("double").alias("o")
     )
-    rows, pairs = per.agg(F.sum("n"), F.sum(F.col("o") * (F.col("n") - F.col("o") / 2))).first()
-    return int(rows or 0), pairs or 0.0
+    return per.agg(F.sum(F.col("o") * (F.col("n") - F.col("o") / 2))).first()[0] or 0.0
 
 
 def _drawn(mixed: DataFrame, turn: int, similar: int) -> DataFrame:
@@ -262,6 +268,32 @@ def _joined(nodes: DataFrame, name: str, merged: DataFrame) -> DataFrame:
     return both.select(nodes.columns)
 
 
+def _relabelled(mixed: DataFrame, merged: DataFrame) -> DataFrame:
+    """The rows by the components that their own have become part of. The largest at a shingle stays
+    the one that others meet there, whether or not it still is the largest."""
+    return _joined(_joined(mixed, "c", merged), "main", merged)
+
+
+def _met(mixed: DataFrame, sets: DataFrame, rows: int, pairs: float, similar: int) -> DataFrame:
+    """What components (node) become part of (component) when sets meet drawn ones. Only shingles of
+    many pairs a row take part; the others have few pairs as they are."""
+    hot = stored(mixed.filter(F.col("pairs_a_row") > PAIRS_A_ROW).drop("pairs_a_row"), "hot")
+    light, moved = pairs - _load(hot), None
+    for turn in range(TURNS):
+        drawn = stored(_drawn(hot, turn, similar), "drawn")
+        met = stored(_verified(drawn, sets, similar), "met")
+        merged = stored(components(met.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))), "components")
+        asked, linked = (each.select("b").distinct().count() for each in (drawn, met))
+        before, hot = hot, stored(_relabelled(hot, merged), "hot")
+        fresh = merged.filter("node != component")
+        earlier, moved = moved, stored(fresh if moved is None else _joined(moved, "component", merged).union(fresh), "moved")
+        discard(before, drawn, met, merged, *([earlier] if earlier is not None else []))
+        if linked <= WORTHWHILE * asked or light + _load(hot) <= PAIRS_A_ROW * rows:
+            break
+    discard(hot)
+    return moved
+
+
 def similar_documents(
     documents: DataFrame, words: int = WORDS, similar: int = SIMILAR
 ) -> DataFrame:
@@ -334,21 +366,14 @@ def similar_documents(
         "postings",
     )
     mixed = stored(_mixed(spread), "mixed")
-    for turn in range(TURNS):
-        rows, pairs = _load(mixed)
-        if pairs <= PAIRS_A_ROW * rows:
-            break
-        drawn = stored(_drawn(mixed, turn, similar), "drawn")
-        met = stored(_verified(drawn, sets, similar), "met")
-        merged, before = stored(components(met.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))), "components"), mixed
+    rows, pairs = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum("pairs_a_row"), F.lit(0.0))).first()
+    if pairs > PAIRS_A_ROW * rows:
+        moved = _met(mixed, sets, rows, pairs, similar)
+        before, mixed = mixed, stored(_relabelled(mixed, moved), "mixed")
         known = sets.select(F.col("id").alias("node")).join(found, "node", "left")
         known = known.select("node", F.coalesce("component", "node").alias("component"))
-        found = stored(_joined(known, "component", merged), "components")
-        mixed = stored(_mixed(_joined(before.drop("main"), "c", merged)), "mixed")
-        asked, linked = (each.select("b").distinct().count() for each in (drawn, met))
-        discard(before, drawn, met, merged)
-        if linked <= WORTHWHILE * asked:
-            break
+        found = stored(_joined(known, "component", moved), "components")
+        discard(before, moved)
 
     others = mixed.filter("c != main")
     two = others.select(
@@ -357,7 +382,7 @@ def similar_documents(
     one = mixed.select(
         "shingle", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("c").alias("c_a"), "main"
     )
-    across = (
+    across = stored(
         one.join(two, "shingle")
         .filter(
             ((F.col("c_a") == F.col("main")) | (F.col("c_a") < F.col("c_b")))
@@ -366,7 +391,8 @@ def similar_documents(
         )
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
-        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"),
+        "pairs",
     )
     # What is linked across components joins them as wholes.
     c = found.withColumnRenamed("node", "a").withColumnRenamed("component", "c_a")
@@ -381,7 +407,7 @@ def similar_documents(
     joined = components(
         more.union(several.select(F.coalesce("c_a", "a"), F.coalesce("c_b", "b")))
     )
-    discard(sets, postings, tried, links, spread, mixed)
+    discard(sets, postings, tried, links, spread, mixed, across)
     final = (
         same.select(F.col("a").alias("doc_id"), F.col("b").alias("node"))
         .join(found, "node", "left")

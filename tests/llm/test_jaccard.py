@@ -120,6 +120,35 @@ def test_a_poor_first_member_costs_no_square_of_pairs(spark, monkeypatch):
     assert sum(formed) < 20 * len(texts)
 
 
+def test_turns_relabel_what_shingles_join_once(spark, monkeypatch):
+    """However many turns there are, postings meet the largest component of their shingle once, and
+    what the turns link is one component in the end."""
+    monkeypatch.setattr(J, "PAIRS_A_ROW", 0)
+    monkeypatch.setattr(J, "WORTHWHILE", -1)
+    monkeypatch.setattr(J, "TURNS", 3)
+    mixed, drawn, calls = J._mixed, J._drawn, []
+    monkeypatch.setattr(J, "_mixed", lambda *a: calls.append("mixed") or mixed(*a))
+    monkeypatch.setattr(J, "_drawn", lambda *a: calls.append("drawn") or drawn(*a))
+    texts, words = [], [f"w{i}" for i in range(120)]
+    for i in range(40):
+        rng, own = random.Random(i), words[:]
+        for at in rng.sample(range(0, 120, 5), 1 + i % 3):
+            own[at] = f"c{i}at{at}"
+        texts.append((i * 7 % 40, " ".join(own)))
+    check(spark, texts + [(100 + i, text) for i, text in awkward() if i is not None])
+    assert calls.count("mixed") == 1 and calls.count("drawn") > 1
+
+
+def test_only_the_sets_of_pairs_are_moved(spark):
+    """Few pairs do not send all sets through a shuffle."""
+    sets = stored(spark.range(2000).selectExpr("id", "2L n", "array(id, id + 1) shingles"), "sets")
+    pairs = stored(spark.createDataFrame([(1, 1, 5), (2, 7, 6)], "a bigint, b bigint, c bigint"), "pairs")
+    found = J._verified(pairs, sets, 30)
+    assert [tuple(row) for row in found.collect()] == [(1, 1, 5)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 2
+
+
 def test_counts_are_sent_in_small_batches():
     """A task that counts hashes empties what it has gathered and sends it in batches of few rows."""
     rng = random.Random(4)
