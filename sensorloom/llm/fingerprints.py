@@ -27,7 +27,7 @@ from sensorloom.llm.common import lower_ascii, mix64, require, span_hashes, stor
 
 SAMPLES, WORDS, WORD_WEIGHT = 64, 5, 0.25
 # Terms whose draws are held at a time, and texts of a slice.
-TERMS, TEXTS = 512, 1 << 15
+TERMS, TEXTS = 1024, 1 << 15
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _IS_SPACE = np.isin(np.arange(256), SPACES)
 # A term is 47 bits of a hash and one that tells words from shingles; above them stands the number
@@ -104,12 +104,19 @@ class Draws:
         np.right_shift(x, np.uint32(16), out=spare)
         np.bitwise_xor(x, spare, out=x)
 
+    @staticmethod
+    def _centred(half: np.ndarray, out: np.ndarray) -> None:
+        """Numbers of 16 bits plus a half, exactly: as the last bits of a float from 2 ** 23 on, which
+        takes no conversion."""
+        np.bitwise_or(half, np.uint32(0x4B000000), out=half)
+        np.subtract(half.view(np.float32), np.float32(2**23 - 0.5), out=out)
+
     def _gamma(self, bits: np.ndarray, half: np.ndarray, out: np.ndarray, other: np.ndarray) -> None:
         """-ln(u v) for the two halves u and v of the bits."""
         np.bitwise_and(bits, np.uint32(0xFFFF), out=half)
-        np.add(half.view(np.int32), np.float32(0.5), out=out, casting="unsafe", dtype=np.float32)
+        self._centred(half, out)
         np.right_shift(bits, np.uint32(16), out=half)
-        np.add(half.view(np.int32), np.float32(0.5), out=other, casting="unsafe", dtype=np.float32)
+        self._centred(half, other)
         np.multiply(out, other, out=out)
         np.log(out, out=out)
         np.add(out, self._UNIT, out=out)
@@ -131,7 +138,8 @@ class Draws:
         np.log(log_c, out=log_c)
         np.multiply(bits, np.uint32(0x9E3779B1), out=bits)
         np.right_shift(bits, np.uint32(8), out=bits)
-        np.multiply(bits.view(np.int32), np.float32(2.0**-24), out=b, casting="unsafe", dtype=np.float32)
+        np.copyto(b, bits.view(np.int32), casting="same_kind")
+        np.multiply(b, np.float32(2.0**-24), out=b)
         return log_c, r, b
 
 
@@ -179,6 +187,8 @@ def signatures(keys: np.ndarray, texts: int, *weightings: np.ndarray, samples: i
         first, last = np.searchsorted(starts, [start, part.stop - 1], side="right") - 1
         filled = np.flatnonzero(starts[first : last + 1] < starts[first + 1 : last + 2]) + first
         begins = np.maximum(starts[filled], start) - start
+        # Most texts have terms: those of a block mostly follow each other.
+        there = slice(filled[0], filled[-1] + 1) if filled[-1] - filled[0] < len(filled) else filled
         # Most terms have one weight in all weightings that have them.
         ordered = _ordered(_values(*drawn, log[0][part]), np.arange(start, part.stop))
         for least, log_weight, gone, differs in zip(best, log[1:], away, other):
@@ -188,7 +198,7 @@ def signatures(keys: np.ndarray, texts: int, *weightings: np.ndarray, samples: i
                 own = _values(*(each[:, at] for each in drawn), log_weight[part][at])
                 mine[:, at] = _ordered(own, at + start)
             found = np.minimum.reduceat(mine, begins, axis=1)
-            least[:, filled] = np.minimum(least[:, filled], found)
+            least[:, there] = np.minimum(least[:, there], found, out=found)
     return [_codes(hashes, least, log_weight) for least, log_weight in zip(best, log[1:])]
 
 

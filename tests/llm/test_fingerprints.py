@@ -124,3 +124,10 @@ def test_tables_of_few_rows(spark, texts):
     rows = P.edit_and_compare(documents(spark, texts)).collect()
     assert [r["doc_id"] for r in rows] == [i for i, _ in texts]
     assert all(r["near_next"] == 1 for r in rows)
+
+
+def test_numbers_of_sixteen_bits_become_floats_exactly():
+    half = np.arange(1 << 16, dtype=np.uint32)
+    out = np.empty(1 << 16, np.float32)
+    P.Draws._centred(half, out)
+    assert np.array_equal(out, np.arange(1 << 16) + 0.5)
