@@ -97,11 +97,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and bias by Adam on the non-negative risk, with the logistic loss."""
-    both = np.concatenate([positive, unlabelled])
-    both = np.hstack([both, np.ones((len(both), 1))])
-    n = len(positive)
+def _descend(both: np.ndarray, n: int, prior: float) -> tuple[np.ndarray, float]:
+    """Weights and bias by Adam on the non-negative risk, with the logistic loss, from rows of which
+    the first ``n`` are positives and whose last column is 1."""
     w, m, v = (np.zeros(both.shape[1]) for _ in range(3))
     w[-1] = np.log(prior / (1 - prior))
     for step in range(1, STEPS + 1):
@@ -142,10 +140,18 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
         return Model(zeros, zeros + 1, zeros, 30.0, 1.0)
     mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0)
     scale = np.where(scale < 1e-4, 1.0, scale)
-    p, u = (np.clip((rows - mean) / scale, -8, 8) for rows in (positive, unlabelled))
-    w, b = _descend(p, u, 0.5)
-    prior = estimated_prior(p @ w + b, u @ w + b)
-    w, b = _descend(p, u, prior)
+    # One table holds all rows; what they were made from is let go as soon as they stand in it.
+    n = len(positive)
+    both = np.ones((n + len(unlabelled), FEATURES + 1))
+    for rows, out in ((positive, both[:n, :-1]), (unlabelled, both[n:, :-1])):
+        np.subtract(rows, mean, out=out)
+        np.divide(out, scale, out=out)
+        np.clip(out, -8, 8, out=out)
+    del positive, unlabelled, rows
+    w, b = _descend(both, n, 0.5)
+    p, u = (np.ascontiguousarray(rows) @ w + b for rows in (both[:n, :-1], both[n:, :-1]))
+    prior = estimated_prior(p, u)
+    w, b = _descend(both, n, prior)
     return Model(mean, scale, w, b, prior)
 
 

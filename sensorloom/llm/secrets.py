@@ -17,6 +17,7 @@ Everything is made of DataFrame functions. Positions are code points from 0, end
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -120,11 +121,20 @@ def _spans(gaps: Column, matches: Column) -> Column:
     return F.when(F.size(matches) > 0, ended).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often it is used: plans, which the driver
+    holds and rewrites, and the work would else grow with every use of a use."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the normal distribution for z >= 0 (a rational approximation, error < 1e-7)."""
-    t = 1 / (1 + 0.2316419 * z)
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    return F.exp(-z * z / 2) / math.sqrt(2 * math.pi) * poly
+
+    def tail(z: Column, t: Column) -> Column:
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        return F.exp(-z * z / 2) / math.sqrt(2 * math.pi) * poly
+
+    return _once(z, lambda z: _once(1 / (1 + 0.2316419 * z), lambda t: tail(z, t)))
 
 
 def _two_sided(z: Column) -> Column:
@@ -138,13 +148,13 @@ def chi_squared_p(cells: Column, n: Column, size: Column) -> Column:
     def part(c: Column) -> Column:
         observed = F.size(F.filter(cells, lambda x: x == c)).cast("double")
         expected = n * (F.ceil((c + 1) * size / CELLS) - F.ceil(c * size / CELLS)) / size
-        return (observed - expected) * (observed - expected) / expected
+        return _once(expected, lambda e: _once(observed - e, lambda d: d * d / e))
 
     parts = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), part)
     x = F.aggregate(parts, F.lit(0.0), lambda s, o: s + o)
     df = CELLS - 1
     z = (F.pow(x / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
-    upper = F.when(z >= 0, _upper_tail(z)).otherwise(1 - _upper_tail(-z))
+    upper = _once(z, lambda z: F.when(z >= 0, _upper_tail(z)).otherwise(1 - _upper_tail(-z)))
     return F.greatest(F.least(upper, F.lit(1.0)), F.lit(1e-40))
 
 
@@ -204,7 +214,8 @@ def battery(token: Column) -> Column:
                 + F.log(runs_p(values, n, size))
                 + F.log(serial_p(values, n, size))
             )
-            return F.struct(name.alias("encoding"), (F.exp(-x) * (1 + x + x * x / 2)).alias("p"))
+            p = _once(x, lambda x: F.exp(-x) * (1 + x + x * x / 2))
+            return F.struct(name.alias("encoding"), p.alias("p"))
 
         return F.transform(F.array(numbers), tested)[0]
 

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -62,3 +63,16 @@ def test_prior_is_found_from_scores():
     positive = rng.normal(2, 1, 4000)
     mixed = np.concatenate([rng.normal(2, 1, 2800), rng.normal(-2, 1, 1200)])
     assert abs(Q.estimated_prior(positive, mixed) - 0.7) < 0.05
+
+
+def test_fitting_holds_one_table_beside_the_rows():
+    rng = np.random.default_rng(3)
+    positive, unlabelled = rng.random((1500, Q.FEATURES)), rng.random((1500, Q.FEATURES))
+    tracemalloc.start()
+    try:
+        Q.fit_rows(positive, unlabelled)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Before, standardised rows, both lists together and those with a constant were held at a time.
+    assert peak < 2 * (positive.nbytes + unlabelled.nbytes)
