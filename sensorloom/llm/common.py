@@ -198,7 +198,8 @@ def hash_filter(hashes: DataFrame, known: int, least: int = 20, most: int = 30)
         .toArrow()
     )
     table = np.zeros(1 << (bits - 6), np.uint64)
-    table[np.asarray(filled["word"])] = np.asarray(filled["bits"]).view(np.uint64)
+    for part in filled.to_batches():
+        table[np.asarray(part.column("word"))] = np.asarray(part.column("bits")).view(np.uint64)
     return HashFilter(bits, table)
 
 

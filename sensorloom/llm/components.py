@@ -11,10 +11,12 @@ MOST_ROUNDS = 60
 
 def _settled(edges: DataFrame) -> bool:
     """Whether every node that has a smaller neighbour has just one, which has none itself."""
-    parents = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    if not parents.filter("n > 1").isEmpty():
-        return False
-    return edges.join(parents.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
+    ends = F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("smaller"), F.lit(1).alias("larger")),
+    )
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("smaller").alias("smaller"), F.sum("larger").alias("larger"))
+    return nodes.filter("smaller > 1 or smaller > 0 and larger > 0").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:

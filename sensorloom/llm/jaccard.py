@@ -283,7 +283,8 @@ def _met(mixed: DataFrame, sets: DataFrame, rows: int, pairs: float, similar: in
         drawn = stored(_drawn(hot, turn, similar), "drawn")
         met = stored(_verified(drawn, sets, similar), "met")
         merged = stored(components(met.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))), "components")
-        asked, linked = (each.select("b").distinct().count() for each in (drawn, met))
+        both = drawn.select("b", F.lit(0).alias("hit")).union(met.select("b", F.lit(1)))
+        asked, linked = both.groupBy("b").agg(F.max("hit").alias("hit")).agg(F.count("b"), F.coalesce(F.sum("hit"), F.lit(0))).first()
         before, hot = hot, stored(_relabelled(hot, merged), "hot")
         fresh = merged.filter("node != component")
         earlier, moved = moved, stored(fresh if moved is None else _joined(moved, "component", merged).union(fresh), "moved")
@@ -389,24 +390,28 @@ def similar_documents(
             & (F.col("c_a") != F.col("c_b"))
             & _fits(similar)
         )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .select(
+            F.least("a", "b").alias("a"),
+            F.greatest("a", "b").alias("b"),
+            F.when(F.col("a") < F.col("b"), F.col("c_a")).otherwise(F.col("c_b")).alias("c_a"),
+            F.when(F.col("a") < F.col("b"), F.col("c_b")).otherwise(F.col("c_a")).alias("c_b"),
+        )
         .distinct()
         .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"),
         "pairs",
     )
     # What is linked across components joins them as wholes.
-    c = found.withColumnRenamed("node", "a").withColumnRenamed("component", "c_a")
-    d = found.withColumnRenamed("node", "b").withColumnRenamed("component", "c_b")
-    more = _verified(across, sets, similar).join(c, "a", "left").join(d, "b", "left")
-    more = more.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    # A doc_id of several sets joins their components.
+    joins = _verified(across, sets, similar).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    # A doc_id of several sets joins their components. Most tables have none, and then plan nothing for it.
     several = same.groupBy("a").agg(F.min("b").alias("first"), F.max("b").alias("last"))
-    several = same.join(several.filter("first != last").select("a", "first"), "a")
-    several = several.select(F.col("first").alias("a"), "b")
-    several = several.join(c, "a", "left").join(d, "b", "left")
-    joined = components(
-        more.union(several.select(F.coalesce("c_a", "a"), F.coalesce("c_b", "b")))
-    )
+    several = several.filter("first != last").select("a", "first")
+    if not several.isEmpty():
+        several = same.join(several, "a").select(F.col("first").alias("a"), "b")
+        c = found.withColumnRenamed("node", "a").withColumnRenamed("component", "c_a")
+        d = found.withColumnRenamed("node", "b").withColumnRenamed("component", "c_b")
+        several = several.join(c, "a", "left").join(d, "b", "left")
+        joins = joins.union(several.select(F.coalesce("c_a", "a"), F.coalesce("c_b", "b")))
+    joined = components(joins)
     discard(sets, postings, tried, links, spread, mixed, across)
     final = (
         same.select(F.col("a").alias("doc_id"), F.col("b").alias("node"))

@@ -1,5 +1,6 @@
 import random
 
+from sensorloom.llm import components as C
 from sensorloom.llm.components import components
 
 
@@ -28,3 +29,25 @@ def test_components(spark):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_one_look_tells_whether_a_graph_is_settled(spark, monkeypatch):
+    """Each round costs the driver one query without a join, however its edges lie."""
+    table = type(spark.range(1))
+    seen, empty = [], table.isEmpty
+
+    def looked(df):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return empty(df)
+
+    monkeypatch.setattr(table, "isEmpty", looked)
+    for edges, settled in (
+        ([], True),
+        ([(5, 1), (6, 1), (9, 2)], True),
+        ([(5, 1), (5, 2)], False),
+        ([(5, 3), (3, 1)], False),
+        ([(9, 5), (5, 1), (6, 1)], False),
+    ):
+        seen.clear()
+        assert C._settled(spark.createDataFrame(edges, "a bigint, b bigint")) == settled
+        assert len(seen) == 1 and "Join" not in seen[0]

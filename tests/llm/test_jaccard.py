@@ -170,3 +170,21 @@ def test_batches_of_a_stored_table_are_cut_by_bytes(spark):
     rows = stored(texts.mapInArrow(sizes, "n bigint"), "sizes", 40_000).collect()
     assert sum(row["n"] for row in rows) == 400 and max(row["n"] for row in rows) < 100
     assert spark.conf.get(common.BATCH) != "40000"
+
+
+def test_pairs_across_components_carry_their_components(spark, monkeypatch):
+    """What is verified last is not joined to the components of all sets again, and nothing is planned
+    for ids of several sets where there are none."""
+    found, plans = J.components, []
+
+    def planned(edges):
+        plans.append(edges._jdf.queryExecution().optimizedPlan().toString())
+        return found(edges)
+
+    monkeypatch.setattr(J, "components", planned)
+    texts = [(i, text) for i, text in awkward() if i is not None and i != 50]
+    check(spark, texts)
+    assert plans[-1].count("Join ") == 4 and "Join LeftOuter" not in plans[-1]
+    plans.clear()
+    check(spark, texts + [(21, prose(77)), (80, edited(prose(77), 3, 1))])
+    assert plans[-1].count("Join LeftOuter") == 2
